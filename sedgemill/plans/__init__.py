@@ -1,6 +1,6 @@
 """Queries over the given tables and the SQL that states their results."""
 
-from . import archive_queries, merge_queries  # noqa: F401
+from . import archive_queries, feed_queries, merge_queries, reconcile_queries  # noqa: F401
 from .registry import PLANS, SQL
 
 __all__ = ["PLANS", "SQL"]

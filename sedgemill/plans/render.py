@@ -92,3 +92,72 @@ def escape_html(c: Column) -> Column:
     for char, name in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         out = F.replace(out, F.lit(char), F.lit(name))
     return out
+
+
+def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed chunks as JSON text, one per row of the feed relation.
+
+    Every chunk has a story; some also carry an edge of another type, a story without
+    a message object, attachments with an image, a video or both, or the throttle mark.
+    """
+    feed = fixture(spark, sf_dir, "f_feed")
+    n = F.col("response_id") * 10 + F.col("chunk_no")
+    ad = F.when(n % 7 == 0, F.lit('{"node":{"__typename":"Ad"}},')).otherwise("")
+    mute = F.when(n % 11 == 0, F.lit(
+        '{"node":{"__typename":"Story","comet_sections":{"content":{"story":{"id":"mute","message":null}}}}},')).otherwise("")
+    kind = F.when(n % 5 == 0, "Video").otherwise("Photo")
+    image = F.when(n % 3 == 0, F.concat(F.lit(',"image":{"uri":"https://cdn.example.com/f/'), n.cast("string"), F.lit('.jpg"}'))).otherwise("")
+    media = F.concat(F.lit('[{"styles":{"attachment":{"media":{"__typename":"'), kind, F.lit('","id":"'), n.cast("string"), F.lit('"'), image, F.lit("}}}}]"))
+    story = F.concat(
+        F.lit('{"id":"'), "pid", F.lit('","creation_time":'), F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
+        F.lit(',"message":'), F.to_json(F.struct("text")), F.lit(',"attachments":'), media, F.lit("}"))
+    mark = F.when(F.col("is_throttle"), F.lit(',"errors":[{"code":1675004}]')).otherwise("")
+    chunk = F.concat(
+        F.lit('{"data":{"node":{"timeline_list_feed_units":{"edges":['), ad, mute,
+        F.lit('{"node":{"__typename":"Story","comet_sections":{"content":{"story":'), story, F.lit("}}}}]}}}"), mark, F.lit("}"))
+    return feed.select("response_id", "chunk_no", "page", chunk.alias("chunk"))
+
+
+def _bodies(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Response bodies: prefix, numbered lines, a blank line and a line that is no JSON at the end.
+
+    A response has at most ten chunks.
+    """
+    lines = F.transform(
+        F.sort_array(F.collect_list(F.struct("chunk_no", "chunk"))),
+        lambda c: F.concat(c["chunk_no"].cast("string"), F.lit(":"), c["chunk"]))
+    body = F.concat(F.lit("for (;;);"), F.array_join(F.col("lines"), "\r\n"), F.lit("\n \nnot json"))
+    return chunks.groupBy(*keys).agg(lines.alias("lines")).withColumn("body", body).drop("lines")
+
+
+def feed_captures(spark: SparkSession, sf_dir: str, by_page: bool) -> str:
+    """Captured responses, one per line; with ``by_page`` each belongs to one page.
+
+    Every response comes with one from another address that readers have to skip.
+    """
+
+    def write(path: str) -> None:
+        keys = ["response_id", "page"] if by_page else ["response_id"]
+        bodies = _bodies(chunk_rows(spark, sf_dir), keys)
+        if not by_page:
+            bodies = bodies.withColumn("page", F.lit(None).cast("string"))
+        urls = F.array(F.lit("https://www.facebook.com/api/graphql/"), F.lit("https://www.facebook.com/ping"))
+        bodies.select("response_id", "page", F.explode(urls).alias("url"), "body").write.json(path)
+
+    return rendered(spark, sf_dir, "feed-by-page" if by_page else "feed", write)
+
+
+def api_captures(spark: SparkSession, sf_dir: str) -> str:
+    """Captured pages of the document index, one per line, at most 18 items each."""
+
+    def write(path: str) -> None:
+        total = F.lit(table(spark, sf_dir, "events").count())
+        item = F.struct("slug", F.col("download_url").alias("downloadUrl"))
+        pages = fixture(spark, sf_dir, "f_api").groupBy("page").agg(
+            F.sort_array(F.collect_list(F.struct(F.substr("slug", F.lit(4)).cast("bigint").alias("n"), item.alias("item")))).alias("items"))
+        pages.select(
+            "page", F.col("items.item").alias("data"),
+            F.struct(F.struct(total.alias("itemsTotal")).alias("pagination")).alias("meta"),
+        ).write.json(path)
+
+    return rendered(spark, sf_dir, "api-pages", write)
