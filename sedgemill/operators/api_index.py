@@ -58,7 +58,7 @@ def docs_pending(items: DataFrame, archives: DataFrame) -> DataFrame:
     """Groups to download: those with an address and no non-empty ``<slug>.zip`` (name, size)."""
     named = items.withColumn("slug", F.coalesce("slug", F.lit("unknown")))
     wanted = named.where(F.coalesce("download_url", F.lit("")) != "").withColumn("name", F.concat("slug", F.lit(".zip")))
-    have = archives.where(F.col("size") > 0).select("name").distinct()
+    have = archives.where(F.col("size") > 0).select("name")
     return wanted.join(have, "name", "left_anti")
 
 

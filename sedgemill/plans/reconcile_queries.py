@@ -8,7 +8,7 @@ from sedgemill.functions import extract_post_id, video_filename
 from sedgemill.operators import planning as pl, reconcile as rc
 from sedgemill.plans.fixtures import fixture, table, with_views
 from sedgemill.plans.registry import query
-from sedgemill.plans.render import rendered
+from sedgemill.plans.render import archive_files, rendered
 from sedgemill.session import new_folder
 from sedgemill.sinks import append_ledger, write_csv_report
 from sedgemill.sources import lists, read_allow_list, read_file_inventory, read_ledger, read_manifest, read_worklist
@@ -145,10 +145,14 @@ def source_filter_query(spark, sf_dir):
         "slug", "name", "handler")
 
 
-@query("read_file_inventory")
+@query("read_file_inventory", with_views("f_sources") + """
+SELECT slug, true AS stored FROM f_sources UNION ALL SELECT 'broken', true
+""")
 def read_file_inventory_query(spark, sf_dir):
-    """The given tables as stored files."""
-    return read_file_inventory(spark, sf_dir, "*.parquet").select("name", "size")
+    """Files of the archives written one folder per source."""
+    files = read_file_inventory(spark, archive_files(spark, sf_dir), "*.json", recursive=True)
+    slug = F.regexp_extract("path", "/slug=([^/]+)/", 1)
+    return files.groupBy(slug.alias("slug")).agg(F.bool_and((F.col("size") > 0) & F.col("mtime").isNotNull()).alias("stored"))
 
 
 @query("downloaded_set", with_views("f_files", "f_media") + """,

@@ -1,2 +1,157 @@
-def schema_report(*a): ...
-def write_schema_report(*a): ...
+"""Schema report as text, Markdown or JSON, rendered row by row."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from sedgemill.operators import profile as pf
+from sedgemill.operators.shuffles import with_row_index
+
+# Rules and marks of the report.
+WIDE, THIN, TREE = "=" * 65, "-" * 65, "-" * 40
+BRANCH, LEAF = "├─ ", "└─ sample item:"
+
+HEAD, FILES, TAIL = 0, 1, 2
+
+
+def _quoted(names: Column) -> Column:
+    """``['a', 'b']``; an empty list gives ``[]``."""
+    return F.concat(F.lit("["), F.array_join(F.transform(names, lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", "), F.lit("]"))
+
+
+def _text(*parts) -> Column:
+    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+
+def _node_text() -> Column:
+    kind = F.col("type")
+    tag = F.concat(F.lit("["), kind, F.lit("]"))
+    num = lambda c: F.col(c).cast("string")
+    uniform = F.when(F.col("is_uniform"), "True").otherwise("False")
+    return (
+        F.when(kind == "object", _text(tag, "  (", num("field_count"), " fields)"))
+        .when(kind == "array", _text(tag, "  length=", num("length"), "  item_types=", _quoted(F.col("item_types")), "  uniform=", uniform))
+        .when(kind == "string", _text(tag, "  length=", num("length"), '  example="', F.translate("example", "\r\n", "  "), '"'))
+        .when(kind.isin("integer", "float"), _text(tag, "  value=", F.col("value")))
+        .otherwise(tag))
+
+
+def _tree_lines(fields: DataFrame, indent: int) -> DataFrame:
+    """Two lines per field below the root: its name and its description."""
+    pad = lambda extra: F.repeat(F.lit("  "), F.col("depth") * 2 + indent + extra)
+    name = F.element_at("trail", -1)
+    label = F.when(F.col("depth") > 0, F.concat(
+        pad(-1), F.when(name == pf.ITEM, F.lit(LEAF)).otherwise(_text(BRANCH, name, ":"))))
+    lines = F.array_compact(F.array(label, F.concat(pad(0), _node_text())))
+    return fields.select("path", F.lit(50).alias("step"), "trail", F.posexplode(lines).alias("sub", "line"))
+
+
+def _numbered(profile: DataFrame) -> DataFrame:
+    return with_row_index(profile, [F.split("path", "/")], "file_no")
+
+
+def _file_lines(files: DataFrame, total: int, generated: str, style: str) -> tuple[Column, Column]:
+    """Lines before and after the schema tree of one file."""
+    ok = F.col("success")
+    no = (F.col("file_no") + 1).cast("string")
+    size = F.format_number("file_size_bytes", 0)
+    kind = F.col("root_type")
+    keys = F.array_join("top_level_keys", ", ")
+    count = F.col("top_level_count").cast("string")
+    length = F.format_number("array_length", 0)
+    if style == "text":
+        before = [
+            _text("FILE ", no, f"/{total}: ", F.col("filename")), F.lit(THIN),
+            _text("  Path      : ", F.col("path")), F.lit(f"  Analyzed  : {generated}"),
+            F.when(~ok, _text("  ✗ ERROR   : ", F.col("error"))),
+            F.when(ok, _text("  Size      : ", size, " bytes")),
+            F.when(ok, _text("  Root type : ", kind)),
+            F.when(kind == "object", _text("  Keys (", count, "): ", keys)),
+            F.when(kind == "array", _text("  Length    : ", length)),
+            F.when(kind == "array", _text("  Item types: ", _quoted(F.col("item_types")))),
+            F.when(ok, ""), F.when(ok, "  SCHEMA TREE"), F.when(ok, "  " + TREE),
+        ]
+        after = [F.lit("")]
+    else:
+        before = [
+            F.lit("---"), _text("## ", no, ". `", F.col("filename"), "`"), F.lit(""),
+            F.lit("| Property | Value |"), F.lit("|----------|-------|"),
+            _text("| Path | `", F.col("path"), "` |"), F.lit(f"| Analyzed | {generated} |"),
+            F.when(~ok, "| Status | ❌ Error |"), F.when(~ok, _text("| Error | ", F.col("error"), " |")),
+            F.when(ok, _text("| Size | ", size, " bytes |")), F.when(ok, _text("| Root type | `", kind, "` |")),
+            F.when(ok, "| Status | ✅ OK |"), F.when(ok, ""),
+            F.when(kind == "object", _text("**Top-level keys (", count, "):** ", F.array_join(
+                F.transform("top_level_keys", lambda k: _text("`", k, "`")), ", "))),
+            F.when(kind == "array", _text("**Array length:** ", length)),
+            F.when(ok, ""), F.when(ok, "### Schema Tree"), F.when(ok, "```"),
+        ]
+        after = [F.when(ok, "```"), F.lit("")]
+    return F.array_compact(F.array(*before)), F.array_compact(F.array(*after))
+
+
+def schema_report(files: DataFrame, generated: str, style: str = "text") -> DataFrame:
+    """Report lines; sort by (block, file_no, step, trail, sub) for reading order.
+
+    The comparison lists shared, unshared and conflicting keys in one line per key and
+    file, so a key found in very many files makes many lines, not a long one.
+    """
+    profile = _numbered(pf.json_file_profile(files))
+    total = profile.count()
+    before, after = _file_lines(profile, total, generated, style)
+    none = F.array().cast("array<string>")
+    part = lambda step, lines: profile.select(
+        F.lit(FILES).alias("block"), "file_no", F.lit(step).alias("step"), none.alias("trail"), F.posexplode(lines).alias("sub", "line"))
+    tree = _tree_lines(pf.json_field_profile(files), 1 if style == "text" else 0).join(
+        profile.select("path", "file_no"), "path").select(F.lit(FILES).alias("block"), "file_no", "step", "trail", "sub", "line")
+
+    sets = pf.json_key_sets(files)
+    tick = (lambda k: k) if style == "text" else (lambda k: _text("`", k, "`"))
+    listed = lambda df, step, line: df.select(
+        F.lit(TAIL).alias("block"), F.lit(0).cast("bigint").alias("file_no"), F.lit(step).alias("step"),
+        F.array("key", *([] if "path" not in df.columns else ["path"])).alias("trail"), F.lit(0).alias("sub"), line.alias("line"))
+    name = F.substring_index("path", "/", -1)
+    arrow = " → " if style == "text" else " → found only in: "
+    tail = [
+        listed(sets.where("shared"), 20, _text("  Shared key: ", F.col("key")) if style == "text" else _text("**Shared key:** ", tick(F.col("key")))),
+        listed(pf.json_unshared_keys(files), 30, _text("    • " if style == "text" else "- ", tick(F.col("key")), arrow, name)),
+        listed(pf.json_type_conflicts(files), 40, _text(
+            "    ⚠ " if style == "text" else "- ⚠️ ", tick(F.col("key")), ": ", name, ": " if style == "text" else " → ", F.col("type"))),
+    ]
+    spark = files.sparkSession
+    fixed = lambda block, step, lines: spark.range(1).select(
+        F.lit(block).alias("block"), F.lit(0).cast("bigint").alias("file_no"), F.lit(step).alias("step"), none.alias("trail"),
+        F.posexplode(F.array(*[F.lit(x) for x in lines])).alias("sub", "line"))
+    compared = pf.json_consistency(sets).select(
+        F.lit(TAIL).alias("block"), F.lit(0).cast("bigint").alias("file_no"), F.lit(10).alias("step"), none.alias("trail"),
+        F.posexplode(F.array(*[
+            _text(left, value.cast("string"), right) for left, value, right in (
+                [("  Total keys     : ", F.col("all_keys"), ""), ("  Shared keys    : ", F.col("shared_keys"), ""),
+                 ("  Consistency    : ", F.col("consistency_pct"), "%")] if style == "text" else
+                [("| Total keys | ", F.col("all_keys"), " |"), ("| Shared keys | ", F.col("shared_keys"), " |"),
+                 ("| Consistency | **", F.col("consistency_pct"), "%** |")])
+        ])).alias("sub", "line"))
+    if style == "text":
+        head = fixed(HEAD, 0, [WIDE, "  JSON SCHEMA ANALYSIS REPORT", f"  Generated : {generated}", f"  Files     : {total}", WIDE, ""])
+        middle = fixed(TAIL, 0, [WIDE, "  CROSS-FILE COMPARISON", THIN])
+        end = fixed(TAIL, 90, [WIDE])
+    else:
+        head = fixed(HEAD, 0, ["# JSON Schema Analysis Report", "", f"> **Generated:** {generated}  ", f"> **Files analyzed:** {total}", ""])
+        middle = fixed(TAIL, 0, ["---", "## Cross-File Comparison", "", "| Metric | Value |", "|--------|-------|"])
+        end = fixed(TAIL, 90, [""])
+    out = head
+    for more in (part(10, before), tree, part(90, after), middle, compared, *tail, end):
+        out = out.unionByName(more)
+    return out
+
+
+def write_schema_report(files: DataFrame, path: str, generated: str, fmt: str = "text") -> None:
+    """Write the report below ``path``: ordered lines, or three JSON tables for ``json``."""
+    if fmt == "json":
+        pf.json_file_profile(files).withColumn("analyzed", F.lit(generated)).write.json(f"{path}/files")
+        pf.json_field_profile(files).drop("trail").write.json(f"{path}/fields")
+        pf.json_key_sets(files).write.json(f"{path}/keys")
+        return
+    if fmt not in ("text", "markdown"):
+        raise ValueError(f"unknown format {fmt}")
+    lines = schema_report(files, generated, fmt)
+    lines.orderBy("block", "file_no", "step", "trail", "sub").select("line").write.text(path)
