@@ -36,7 +36,6 @@ def main() -> None:
     started = time.perf_counter()
     if not sys.argv[1:]:
         render.archive_lines(spark, sf_dir)
-        render.archive_files(spark, sf_dir)
         for side in ("old", "new"):
             render.snapshot_docs(spark, sf_dir, side)
         for by_page in (False, True):

@@ -8,23 +8,23 @@ def variant_text(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "string")
 
 
+# Leading word of a variant's schema text -> JSON type name.
+_TYPE_NAMES = {
+    "VOID": "null", "BOOLEAN": "boolean", "BIGINT": "integer", "DECIMAL": "float", "DOUBLE": "float", "FLOAT": "float",
+    "STRING": "string", "ARRAY": "array", "OBJECT": "object",
+}
+
+
 def type_name(schema: Column) -> Column:
     """One of seven JSON type names from the text ``schema_of_variant`` gives.
 
     Whole numbers beyond 64 bits show as DECIMAL(p,0) with p of 19 or more; smaller
-    decimals of scale 0 come from texts such as ``1.0`` and are floats.
+    decimals of scale 0 come from texts such as ``1.0`` and are floats. The schema text is
+    referred to once, so it is computed once per value.
     """
-    precision = F.regexp_extract(schema, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
-    return (
-        F.when(schema == "VOID", "null")
-        .when(schema == "BOOLEAN", "boolean")
-        .when(schema == "BIGINT", "integer")
-        .when(precision >= 19, "integer")
-        .when(schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT"), "float")
-        .when(schema == "STRING", "string")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema.startswith("OBJECT"), "object")
-    )
+    whole = F.regexp_replace(schema, r"^DECIMAL\((?:19|[23]\d),0\)$", "BIGINT")
+    names = F.create_map(*[F.lit(x) for pair in _TYPE_NAMES.items() for x in pair])
+    return F.try_element_at(names, F.regexp_extract(whole, "^[A-Z]+", 0))
 
 
 def json_type(v: Column) -> Column:

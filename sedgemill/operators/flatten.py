@@ -135,20 +135,19 @@ def load_stats(docs: DataFrame, by: str = "path") -> DataFrame:
 
     ``by="file_slug"`` counts per archive instead, where archives have several parts.
     """
-    posts = explode_posts(docs)
-    length = lambda name: F.coalesce(F.size(name), F.lit(0)).cast("bigint")
-    per_post = posts.select(
-        by, F.lit(1).cast("bigint").alias("posts"), length("media").alias("media"),
-        length("links").alias("links"), length("download_errors").alias("errors_dl"),
-        F.lit(None).cast("boolean").alias("success"), F.lit(None).cast("string").alias("error"),
-    )
-    zero = F.lit(0).cast("bigint")
-    per_file = docs.select(
-        by, zero.alias("posts"), zero.alias("media"), zero.alias("links"), zero.alias("errors_dl"),
-        F.col("error").isNull().alias("success"), "error",
+    named = F.filter("posts", lambda p: clean_text(variant_text(p, "$.id")).isNotNull())
+
+    def items(key: str) -> Column:
+        size = lambda p: F.coalesce(F.size(F.try_variant_get(p, f"$.{key}", "array<variant>")), F.lit(0)).cast("bigint")
+        return F.aggregate("_named", F.lit(0).cast("bigint"), lambda total, p: total + size(p))
+
+    # Counted inside each document, so posts are never exploded.
+    per_file = docs.withColumn("_named", F.coalesce(named, F.array().cast("array<variant>"))).select(
+        by, F.col("error").isNull().alias("success"), F.size("_named").cast("bigint").alias("posts"),
+        items("media").alias("media"), items("links").alias("links"), items("download_errors").alias("errors_dl"), "error",
     )
-    return per_post.unionByName(per_file).groupBy(by).agg(
-        F.min("success").alias("success"),
+    return per_file.groupBy(by).agg(
+        F.bool_and("success").alias("success"),
         *[F.sum(c).alias(c) for c in ("posts", "media", "links", "errors_dl")],
         F.max("error").alias("error"),
     )

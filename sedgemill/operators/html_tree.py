@@ -16,10 +16,11 @@ JS_SPACE = "\t\n\x0b\x0c\r \xa0                
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parent", "children")
+    __slots__ = ("tag", "attrs", "classes", "parent", "children")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.classes = frozenset(attrs["class"].split()) if "class" in attrs else frozenset()
         self.children: list[Element | str] = []
 
     def below(self) -> Iterator[Element]:
@@ -42,14 +43,13 @@ class Element:
                 waiting.extend(reversed(node.children))
         return "".join(parts)
 
-    def fits(self, step: str) -> bool:
-        """Match one selector step such as ``div``, ``.a.b`` or ``article.post``."""
-        tag, *classes = step.split(".")
-        return (not tag or tag == self.tag) and set(classes) <= set((self.attrs.get("class") or "").split())
+    def fits(self, step: tuple[str, frozenset[str]]) -> bool:
+        tag, classes = step
+        return (not tag or tag == self.tag) and classes <= self.classes
 
     def find(self, selector: str) -> list[Element]:
         """Descendants that match a chain of steps separated by spaces."""
-        *outer, last = selector.split()
+        *outer, last = steps(selector)
         found = []
         for element in self.below():
             if not element.fits(last):
@@ -64,6 +64,17 @@ class Element:
         return found
 
 
+_known_steps: dict[str, list[tuple[str, frozenset[str]]]] = {}
+
+
+def steps(selector: str) -> list[tuple[str, frozenset[str]]]:
+    """Steps such as ``div``, ``.a.b`` or ``article.post`` as a tag and its classes."""
+    if selector not in _known_steps:
+        parts = [step.split(".") for step in selector.split()]
+        _known_steps[selector] = [(tag, frozenset(classes)) for tag, *classes in parts]
+    return _known_steps[selector]
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)

@@ -103,7 +103,8 @@ def _object_files(files: DataFrame) -> DataFrame:
 
 
 def _key_types(files: DataFrame) -> DataFrame:
-    entries = _object_files(files).select("path", F.explode(F.try_variant_get("_v", "$", "map<string,variant>")).alias("key", "_value"))
+    # Files of another root type have no entries.
+    entries = _parsed(files).select("path", F.explode(F.try_variant_get("_v", "$", "map<string,variant>")).alias("key", "_value"))
     return entries.select("path", "key", json_type(F.col("_value")).alias("type"))
 
 

@@ -125,13 +125,14 @@ per_source AS (
     CAST((SELECT count(*) FROM f_errors c WHERE c.source_slug = s.slug) AS BIGINT) AS errors_dl,
     CAST(NULL AS VARCHAR) AS error
   FROM f_sources s
-  UNION ALL SELECT 'broken', false, 0, 0, 0, 0, 'not a JSON object with a list of posts')
+  UNION ALL SELECT NULL, false, 0, 0, 0, 0, 'not a JSON object with a list of posts')
 """
 
 
 @query("load_stats", STATS_SQL + "SELECT * FROM per_source")
 def load_stats_query(spark, sf_dir):
-    return fl.load_stats(read_archives(spark, archive_files(spark, sf_dir)), by="file_slug")
+    """Per archive; the unreadable lines have no name and stand together."""
+    return fl.load_stats(archive_docs(spark, sf_dir), by="file_slug")
 
 
 @query("load_totals", STATS_SQL + """
@@ -140,7 +141,7 @@ SELECT count(*) AS files, count(*) FILTER (WHERE NOT success) AS failed_files, C
 FROM per_source
 """)
 def load_totals_query(spark, sf_dir):
-    return fl.load_totals(fl.load_stats(read_archives(spark, archive_files(spark, sf_dir)), by="file_slug"))
+    return fl.load_totals(fl.load_stats(archive_docs(spark, sf_dir), by="file_slug"))
 
 
 @query("source_stats", with_views("f_sources", "f_posts", "f_media", "f_post_links", "f_errors") + """

@@ -61,13 +61,15 @@ class Sides:
     new: DataFrame
     matches: DataFrame
 
-    def groups(self) -> DataFrame:
-        light = lambda p: p.drop("media", "links", "download_errors")
-        return mg.merge_groups(light(self.old), light(self.new), self.matches)
+    def groups(self, with_records: bool = True) -> DataFrame:
+        """Post groups; counts and places need no post fields and shuffle none."""
+        kept = [c for c in self.old.columns if c not in ("media", "links", "download_errors")] if with_records else [
+            "path", "file_slug", "part", "post_pos", "id"]
+        return mg.merge_groups(self.old.select(*kept), self.new.select(*kept), self.matches)
 
     def errors(self) -> DataFrame:
         return mg.merge_errors(
-            fl.flatten_errors(self.old), fl.flatten_errors(self.new), self.groups(), self.matches)
+            fl.flatten_errors(self.old), fl.flatten_errors(self.new), self.groups(False), self.matches)
 
 
 def sides(spark, sf_dir) -> Sides:
@@ -139,7 +141,7 @@ FROM o JOIN n USING (source_slug) LEFT JOIN b USING (source_slug)
 """)
 def merge_stats_query(spark, sf_dir):
     s = sides(spark, sf_dir)
-    return mg.merge_stats(s.groups(), s.old_docs, s.new_docs, s.matches)
+    return mg.merge_stats(s.groups(False), s.old_docs, s.new_docs, s.matches)
 
 
 CONSOLIDATED_AT = "2026-05-02T00:00:00Z"
@@ -168,7 +170,7 @@ FROM matches GROUP BY status
 """)
 def merge_summary_query(spark, sf_dir):
     s = sides(spark, sf_dir)
-    return mg.merge_summary(s.matches, mg.merge_stats(s.groups(), s.old_docs, s.new_docs, s.matches))
+    return mg.merge_summary(s.matches, mg.merge_stats(s.groups(False), s.old_docs, s.new_docs, s.matches))
 
 
 OLD_ONLY_SQL = SLUG_SQL + """,
@@ -178,7 +180,7 @@ gone AS (SELECT * FROM older o WHERE NOT EXISTS
 
 
 def _old_only(s: Sides) -> DataFrame:
-    return mg.old_only_posts(s.old, s.new, s.groups(), s.matches)
+    return mg.old_only_posts(s.old, s.new, s.groups(False), s.matches)
 
 
 @query("old_only_posts", OLD_ONLY_SQL + "SELECT source_slug AS file_slug, id, date_iso, content FROM gone")

@@ -11,7 +11,7 @@ from sedgemill.plans.registry import query
 from sedgemill.plans.render import archive_files, rendered
 from sedgemill.session import new_folder
 from sedgemill.sinks import append_ledger, write_csv_report
-from sedgemill.sources import lists, read_allow_list, read_file_inventory, read_ledger, read_manifest, read_worklist
+from sedgemill.sources import lists, read_allow_list, read_archives, read_file_inventory, read_ledger, read_manifest, read_worklist
 
 ROOT = "/archive/data"
 
@@ -149,10 +149,13 @@ def source_filter_query(spark, sf_dir):
 SELECT slug, true AS stored FROM f_sources UNION ALL SELECT 'broken', true
 """)
 def read_file_inventory_query(spark, sf_dir):
-    """Files of the archives written one folder per source."""
-    files = read_file_inventory(spark, archive_files(spark, sf_dir), "*.json", recursive=True)
-    slug = F.regexp_extract("path", "/slug=([^/]+)/", 1)
-    return files.groupBy(slug.alias("slug")).agg(F.bool_and((F.col("size") > 0) & F.col("mtime").isNotNull()).alias("stored"))
+    """Stored archive files, told apart by the slug each of them holds."""
+    folder = archive_files(spark, sf_dir)
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    files = read_file_inventory(spark, folder, "*.json").withColumn("path", plain("path"))
+    docs = read_archives(spark, folder).select(plain("path").alias("path"), F.col("file_slug").alias("slug"))
+    return files.join(docs, "path").groupBy("slug").agg(
+        F.bool_and((F.col("size") > 0) & F.col("mtime").isNotNull()).alias("stored"))
 
 
 @query("downloaded_set", with_views("f_files", "f_media") + """,

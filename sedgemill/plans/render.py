@@ -42,11 +42,17 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.withColumn("id", F.explode(ids))
 
 
+def _stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts with their lists, nested once for both archive layouts."""
+    path = rendered(spark, sf_dir, "records", lambda p: _records(spark, sf_dir).write.parquet(p))
+    return spark.read.parquet(path)
+
+
 def archive_lines(spark: SparkSession, sf_dir: str) -> str:
     """All archives, one document per line, and two lines that are no archives."""
 
     def write(path: str) -> None:
-        write_archives(fixture(spark, sf_dir, "f_sources"), _records(spark, sf_dir), path, ["date_iso"])
+        write_archives(fixture(spark, sf_dir, "f_sources"), _stored_records(spark, sf_dir), path, ["date_iso"], stored=True)
         spark.createDataFrame([('{"metadata": {"slug"',), ('[{"posts": []}]',)], "value string").write.mode(
             "append").text(path)
 
@@ -54,13 +60,13 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 def archive_files(spark: SparkSession, sf_dir: str) -> str:
-    """All archives as separate files in ``slug=...`` folders, and one broken file."""
+    """All archives as separate files, and one broken file."""
 
     def write(path: str) -> None:
         write_archives(
-            fixture(spark, sf_dir, "f_sources"), _records(spark, sf_dir), path, ["date_iso"], layout="files")
-        spark.createDataFrame([("broken", "no list")], "slug string, posts string").write.mode("append").partitionBy(
-            "slug").json(path)
+            fixture(spark, sf_dir, "f_sources"), _stored_records(spark, sf_dir), path, ["date_iso"], layout="files", stored=True)
+        broken = spark.createDataFrame([(("broken",), "no list")], "metadata struct<slug:string>, posts string")
+        broken.write.mode("append").json(path)
 
     return rendered(spark, sf_dir, "archive-files", write)
 

@@ -84,17 +84,20 @@ def write_archives(
     layout: str = "lines",
     slug: str = "source_slug",
     posts_per_document: int = POSTS_PER_DOCUMENT,
+    stored: bool = False,
 ) -> None:
     """One archive per source: metadata, scrape time and its posts in ``order``.
 
     A source with many posts is cut into numbered documents of at most
     ``posts_per_document`` posts, so no document depends on the size of its source.
     ``sources`` needs slug, name, orig_url, handler, scraped_at and may carry
-    consolidated_at, old_scraped_at and new_scraped_at. The commit protocol makes the
+    consolidated_at, old_scraped_at and new_scraped_at; ``stored`` says that ``records``
+    is a plain table scan, cheap to read more than once. The commit protocol makes the
     output appear as a whole or not at all.
     """
     # The range sort reads its input twice and the empty sources once more.
-    records = written(records, "archive-records")
+    if not stored:
+        records = written(records, "archive-records")
     fields = [c for c in ["id", *POST_FIELDS, *NESTED] if c in records.columns]
     ranked = records.withColumn("_slug", F.col(slug)).orderBy(
         "_slug", *[F.col(c) for c in order], "id", F.desc("_cut")
@@ -117,6 +120,8 @@ def write_archives(
     if layout == "lines":
         out.drop("slug").write.json(path)
     elif layout == "files":
-        out.write.option("maxRecordsPerFile", 1).partitionBy("slug").json(path)
+        # Many small files: spread them by number, not by bytes.
+        tasks = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out.drop("slug").repartition(tasks, "metadata.slug", "part").write.option("maxRecordsPerFile", 1).json(path)
     else:
         raise ValueError(f"unknown layout {layout}")

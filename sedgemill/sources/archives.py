@@ -50,8 +50,8 @@ def read_archives(
 
     ``files``: one document per ``*.json`` file, in any sub-folder except the pruned ones.
     ``lines``: one document per line, which Spark can split; the layout for large data.
-    ``file_slug`` names the archive: the folder ``slug=<slug>`` or the file name in the
-    first layout, the slug in the metadata in the second.
+    ``file_slug`` names the archive: the file name in the first layout (the slug in the
+    metadata for files named by a Spark writer), the slug in the metadata in the second.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("recursiveFileLookup", "true")
@@ -66,9 +66,9 @@ def read_archives(
     for folder in prune if layout == "files" else ():
         raw = raw.where(~F.col("path").contains(f"/{folder}/"))
     if layout == "files":
-        # A folder ``slug=<slug>`` holds the parts of one archive.
-        folder_slug = F.try_url_decode(F.regexp_extract("path", r"/slug=([^/]+)/[^/]+$", 1))
-        slug = F.coalesce(F.nullif(folder_slug, F.lit("")), file_stem(F.col("path")))
+        # Files named by a Spark writer carry their slug inside only.
+        written = F.regexp_like(F.substring_index("path", "/", -1), F.lit(r"^part-\d{5}-"))
+        slug = F.when(written, F.get_json_object("value", "$.metadata.slug")).otherwise(file_stem(F.col("path")))
     else:
         raw = raw.where(F.trim("value") != "")
         slug = F.get_json_object("value", "$.metadata.slug")
