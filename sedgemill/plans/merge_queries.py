@@ -208,7 +208,7 @@ def merge_write_back_query(spark, sf_dir):
     posts = mg.merge_posts(groups).withColumn("falling", F.translate("date_iso", "0123456789", "9876543210"))
     posts = posts.withColumn("side_kept", F.col("side")).drop("source_slug")
     heads = mg.merge_metadata(s.old_docs, s.new_docs, mg.orient_snapshots(s.matches), CONSOLIDATED_AT)
-    errors = s.errors().withColumn("pos", F.monotonically_increasing_id())
+    errors = s.errors().withColumn("pos", F.struct("newer", "part", "post_pos", "pos"))
     records = archive_records(posts.withColumn("source_slug", F.col("file_slug")), errors=errors.drop("file_slug"))
     path = new_folder(spark, "merged")
     write_archives(heads, records, path, ["falling", "first_place"])

@@ -35,7 +35,7 @@ def archive_records(
 ) -> DataFrame:
     """Posts with their lists nested, as they stand in an archive document.
 
-    A list is ordered by the child's ``pos`` where it has one. A post with more than
+    A list is ordered by the child's ``pos`` (of any type that sorts) where it has one. A post with more than
     ``items_per_record`` children becomes several records of the same id: readers replace
     the post on its id and append its children, so nothing is lost and no task has to
     hold all of them. The record numbered 0 is meant to be read last.
@@ -46,7 +46,7 @@ def archive_records(
         if table is None:
             continue
         renamed = table.withColumnRenamed("media_type", "type")
-        pos = F.col("pos").cast("bigint") if "pos" in table.columns else F.lit(None).cast("bigint")
+        pos = F.col("pos") if "pos" in table.columns else F.lit(None).cast("bigint")
         item = F.struct(pos.alias("pos"), *NESTED[kind])
         empty = {k: F.lit(None) for k in NESTED}
         parts.append(renamed.select(F.col("post_id").alias("id"), item.alias("_item")).select(
@@ -99,8 +99,11 @@ def write_archives(
     if not stored:
         records = written(records, "archive-records")
     fields = [c for c in ["id", *POST_FIELDS, *NESTED] if c in records.columns]
+    # Only equal rows may tie, so a task that runs again numbers its rows the same way.
+    ties = [F.col(c) for c in POST_FIELDS if c in records.columns]
+    lists = F.xxhash64(*[F.to_json(k) for k in NESTED if k in records.columns])
     ranked = records.withColumn("_slug", F.col(slug)).orderBy(
-        "_slug", *[F.col(c) for c in order], "id", F.desc("_cut")
+        "_slug", *[F.col(c) for c in order], "id", F.desc("_cut"), *ties, lists
     ).withColumn("_row", F.monotonically_increasing_id())
     post = F.struct("_row", *fields, F.col("_slug").alias("source_slug"))
     chunk = F.floor(F.col("_row") / posts_per_document).cast("bigint")

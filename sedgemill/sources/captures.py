@@ -17,8 +17,13 @@ def feed_responses(captured: DataFrame) -> DataFrame:
     return captured.where(wanted).drop("url")
 
 
-def read_feed_responses(spark: SparkSession, paths: str | list[str], stream: bool = False) -> DataFrame:
+def read_feed_responses(
+    spark: SparkSession, paths: str | list[str], stream: bool = False, max_files: int | None = None
+) -> DataFrame:
+    """Captured feed responses; a stream takes at most ``max_files`` files into one micro-batch."""
     reader = spark.readStream if stream else spark.read
+    if stream and max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return feed_responses(reader.schema(RESPONSE_SCHEMA).json(paths))
 
 

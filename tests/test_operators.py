@@ -254,3 +254,14 @@ def test_tables_replace_or_append_children(spark, tmp_path):
     for _ in range(2):
         write_tables(tables, root, children="append")
     assert current_tables(spark, root)["links"].count() == 6
+
+
+def test_merged_errors_keep_their_order_in_the_archive(spark, tmp_path):
+    _, _, _, groups, errors = merged(spark, OLD, NEW)
+    posts = mg.merge_posts(groups).drop("source_slug").withColumn("source_slug", F.col("file_slug"))
+    records = archive_records(posts, errors=errors.withColumn("pos", F.struct("newer", "part", "post_pos", "pos")))
+    sources = spark.createDataFrame([("s0", "n", "o", "h", "t")], "slug string, name string, orig_url string, handler string, scraped_at string")
+    write_archives(sources, records, str(tmp_path / "m"), ["first_place"])
+    back = fl.explode_posts(read_archives(spark, str(tmp_path / "m"), layout="lines"))
+    ordered = fl.flatten_errors(back).orderBy("post_id", "pos").select("post_id", "error").collect()
+    assert [tuple(r) for r in ordered] == [("1", "b"), ("1", "c"), ("1", "d")]
