@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sedgemill.llm.simhash import near_duplicates
+from sedgemill.llm.substrings import remove_repeats
 
 Plan = Callable[[SparkSession, str], DataFrame]
 LLM_PLANS: dict[str, Plan] = {}
@@ -27,3 +28,9 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"), width=3, radius=3)
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+@register
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_table(spark, sf_dir, "documents"), width=20, block=10)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
