@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sedgemill.llm.boosting import quality_scores, train
+from sedgemill.llm.repetition import repetition_rules
 from sedgemill.llm.simhash import near_duplicates
 from sedgemill.llm.substrings import remove_repeats
 
@@ -34,3 +36,16 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(_table(spark, sf_dir, "documents"), width=20, block=10)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_covered_words", "longest_repeat")
+
+
+@register
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_scores(docs, train(docs, _table(spark, sf_dir, "labels")))
