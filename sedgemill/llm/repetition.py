@@ -13,8 +13,8 @@ COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def repetition_rules(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = 4, most_covered: float = 0.3,
-    longest: int = 400, least_words: int = 50, most_repeated: int = 50,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = 4, most_covered: float = 0.5,
+    longest: int = 100, least_words: int = 50, most_repeated: int = 50,
 ) -> DataFrame:
     """Counts and verdict of every row.
 
