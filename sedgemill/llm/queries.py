@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sedgemill.llm.boosting import quality_scores, train
+from sedgemill.llm.language import fit as fit_languages, identify
 from sedgemill.llm.repetition import repetition_rules
 from sedgemill.llm.simhash import near_duplicates
 from sedgemill.llm.substrings import remove_repeats
@@ -49,3 +50,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_scores(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, fit_languages(docs)).select(
+        "doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
