@@ -11,6 +11,7 @@ from sedgemill.llm.language import fit as fit_languages, identify
 from sedgemill.llm.repetition import repetition_rules
 from sedgemill.llm.simhash import near_duplicates
 from sedgemill.llm.substrings import remove_repeats
+from sedgemill.llm.transducer import token_counts
 
 Plan = Callable[[SparkSession, str], DataFrame]
 LLM_PLANS: dict[str, Plan] = {}
@@ -57,3 +58,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return identify(docs, fit_languages(docs)).select(
         "doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@register
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
