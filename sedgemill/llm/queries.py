@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sedgemill.llm.boosting import quality_scores, train
 from sedgemill.llm.language import fit as fit_languages, identify
+from sedgemill.llm.packing import pack
 from sedgemill.llm.repetition import repetition_rules
 from sedgemill.llm.simhash import near_duplicates
 from sedgemill.llm.substrings import remove_repeats
@@ -65,3 +66,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+@register
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
