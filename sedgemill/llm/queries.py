@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sedgemill.llm.boosting import quality_scores, train
 from sedgemill.llm.language import fit as fit_languages, identify
+from sedgemill.llm.lines import common_blocks
 from sedgemill.llm.packing import pack
 from sedgemill.llm.repetition import repetition_rules
 from sedgemill.llm.simhash import near_duplicates
 from sedgemill.llm.substrings import remove_repeats
+from sedgemill.llm.templates import contaminated
 from sedgemill.llm.transducer import token_counts
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +75,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+
+
+@register
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return common_blocks(_table(spark, sf_dir, "documents")).drop("key")
