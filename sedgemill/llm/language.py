@@ -201,6 +201,34 @@ def _has_letter(texts: Texts) -> np.ndarray:
     return known
 
 
+def _labelled(model: LanguageModel, texts: Texts, penalty: float):
+    """Language number (the last is none), score, and for each word its text and language."""
+    words = words_of(texts)
+    n, k = len(texts), max(len(model.languages), 1)
+    share, path = np.zeros((n, k)), np.zeros(0, np.int8)
+    if model.languages and len(words):
+        scores = model.word_scores(texts, words)
+        path = best_path(scores, words.first, penalty)
+        counts = np.where(scores.any(1), words.end - words.start, 0)
+        share = np.bincount(words.text_of_word() * k + path, counts, n * k).reshape(n, k)
+    total = share.sum(1)
+    known = _has_letter(texts) & bool(model.languages)
+    score = np.where(known & (total > 0), share.max(1) / np.maximum(total, 1), 0.0)
+    return np.where(known, share.argmax(1), len(model.languages)), score, words, path
+
+
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, text: str = "text", penalty: float = 8.0, least_score: float = 0.5
+) -> DataFrame:
+    """Rows whose text has a language that takes at least ``least_score`` of its lettered words."""
+
+    def work(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
+        number, score, _, _ = _labelled(model, texts, penalty)
+        return part.filter(pa.array((number < len(model.languages)) & (score >= least_score)))
+
+    return map_texts(docs, text, docs.schema, work)
+
+
 def identify(
     docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text", penalty: float = 8.0
 ) -> DataFrame:
@@ -219,30 +247,20 @@ def identify(
     names = [*model.languages, "und"]
 
     def work(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
-        words = words_of(texts)
-        n, k = len(texts), max(len(model.languages), 1)
-        share = np.zeros((n, k))
-        lists = [[] for _ in range(n)]
-        lettered = _has_letter(texts)
-        if model.languages and len(words):
-            scores = model.word_scores(texts, words)
-            path = best_path(scores, words.first, penalty)
-            counts = np.where(scores.any(1), words.end - words.start, 0)
+        number, score, words, path = _labelled(model, texts, penalty)
+        known = number < len(model.languages)
+        lists = [[] for _ in range(len(texts))]
+        if len(path):
             doc = words.text_of_word()
-            share = np.bincount(doc * k + path, counts, n * k).reshape(n, k)
             new = np.ones(len(path), dtype=bool)
             new[1:] = (path[1:] != path[:-1]) | (doc[1:] != doc[:-1])
             begin = np.flatnonzero(new)
             for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(path)], strict=True):
                 lists[doc[a]].append({"lang": names[path[a]], "start": a - int(words.first[doc[a]]), "words": b - a})
-        total = share.sum(1)
-        known = lettered & bool(model.languages)
-        pred = np.where(known, share.argmax(1), len(names) - 1)
-        score = np.where(known & (total > 0), share.max(1) / np.maximum(total, 1), 0.0)
         spans = [x if ok else [] for x, ok in zip(lists, known, strict=True)]
         kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("words", pa.int32())]))
         return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(np.array(names, dtype=object)[pred], pa.string()), pa.array(score), pa.array(spans, kind)],
+            [part.column(0), pa.array(np.array(names, dtype=object)[number], pa.string()), pa.array(score), pa.array(spans, kind)],
             ["doc_id", "lang_pred", "score", "spans"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))

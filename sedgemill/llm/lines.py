@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.docstats import line_hashes, lines_of
-from sedgemill.llm.textkit import Texts, map_texts, words_of
+from sedgemill.llm.textkit import Texts, map_texts, row_key, words_of
 from sedgemill.session import written
 
 LAST_ID = (1 << 63) - 1
@@ -87,7 +87,7 @@ def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.withColumns({
-        "id": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), "key": F.xxhash64(F.col(doc_id).cast("long"), text),
+        "id": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), "key": row_key(doc_id, text),
         "text": F.col(text)})
 
 
@@ -144,7 +144,7 @@ def without_common_blocks(docs: DataFrame, blocks: DataFrame, doc_id: str = "doc
     The other rows and columns stay as they are.
     """
     gone = blocks.groupBy("key").agg(F.collect_set(F.struct("line_start", "n_lines")).alias("_gone"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(doc_id).cast("long"), text))
+    keyed = docs.withColumn("_key", row_key(doc_id, text))
     joined = keyed.join(gone.withColumnRenamed("key", "_key"), "_key", "left")
     lines = F.split(text, "\n", -1)
     inside = lambda i: F.exists("_gone", lambda g: (i >= g["line_start"]) & (i < g["line_start"] + g["n_lines"]))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.components import star_components
-from sedgemill.llm.textkit import SPACE, Texts, map_texts, spaced, words_of, xxh64
+from sedgemill.llm.textkit import Texts, map_texts, row_key, spaced, words_of, xxh64
 from sedgemill.session import written
 
 TILE = 4096
@@ -43,14 +43,14 @@ def fingerprint_values(texts: Texts, width: int = 3, seed: int = 42) -> np.ndarr
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """One row (doc_id, fp) per row of ``docs``; the fingerprint is the signed value of its 64 bits."""
+    """One row (doc_id, key, fp) per row of ``docs``: ``fp`` is the signed value of the 64 bits, ``key`` a hash of id and text."""
 
     def work(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
         values = fingerprint_values(texts, width).view(np.int64)
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(values)], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(values)], ["doc_id", "key", "fp"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    return map_texts(rows, "_text", "doc_id long, fp long", work)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), F.col(text).alias("_text"))
+    return map_texts(rows, "_text", "doc_id long, key long, fp long", work)
 
 
 def _ones(masks: list[int]) -> list:
@@ -161,26 +161,30 @@ def links(packed: DataFrame, radius: int = 3) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3, tile: int = TILE
 ) -> DataFrame:
-    """Fingerprint and class of every row: (doc_id, fp, component_id).
+    """Fingerprint and class of every row: (doc_id, key, fp, component_id, component_key).
 
     Rows are linked where their fingerprints differ in at most ``radius`` bits; a class is
     what links reach, named by its smallest doc_id. Copies share one fingerprint and are
     compared once. Null and word-less texts have fingerprint 0, which links like any other;
-    a null doc_id keeps its row and names no class unless all ids of the class are null.
+    a null doc_id keeps its row and names no class unless all ids of the class are null;
+    ``component_key`` is the key of the row that names the class.
     Repeated rows stay. Other columns are not read.
     """
     marks = written(fingerprints(docs, doc_id, text, width), "simhash-marks")
-    distinct = written(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
+    distinct = written(marks.groupBy("fp").agg(first), "simhash-distinct")
     found = written(links(tiles(distinct, tile), radius), "simhash-links")
     roots = star_components(found)
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return marks.join(classes, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_first_of_class(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id names a class of ``classes``, or has no id."""
-    kept = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(kept, doc_id, "left_semi").unionByName(docs.where(F.col(doc_id).isNull()))
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    classes = rooted.select("fp", "root").join(named, "root").select(
+        "fp", F.col("first.doc_id").alias("component_id"), F.col("first.key").alias("component_key"))
+    return marks.join(classes, "fp").select("doc_id", "key", "fp", "component_id", "component_key")
+
+
+def keep_first_of_class(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each class: that of the smallest id, and of the smallest key among rows of that id."""
+    kept = classes.where(F.col("key") == F.col("component_key")).select(F.col("key").alias("_key")).distinct()
+    keyed = docs.withColumn("_key", row_key(doc_id, text))
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.textkit import (
-    Texts, Words, gather_words, map_texts, slices, text_bytes, texts_of, window_hashes, word_hashes, words_of,
+    Texts, Words, gather_words, map_texts, row_key, slices, text_bytes, texts_of, window_hashes, word_hashes, words_of,
 )
 from sedgemill.session import written
 
@@ -98,7 +98,7 @@ def _squeezed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.xxhash64(F.col(doc_id).cast("long"), text).alias("uid"), F.col(text).alias("_text"))
+        row_key(doc_id, text).alias("uid"), F.col(text).alias("_text"))
 
 
 def _probe_units(rows: DataFrame, width: int, block: int, buckets: int) -> DataFrame:

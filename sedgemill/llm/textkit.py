@@ -254,6 +254,11 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
 
 
+def row_key(doc_id: str, text: str) -> "F.Column":
+    """A hash of id and text: tells rows apart that share an id or have none."""
+    return F.xxhash64(F.col(doc_id).cast("long"), F.col(text))
+
+
 def held_out(doc_id) -> "F.Column":
     """True where crc32 of the id as text leaves 1 modulo 3; such rows are never learned from."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
