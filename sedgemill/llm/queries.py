@@ -15,11 +15,17 @@ from sedgemill.llm.simhash import near_duplicates
 from sedgemill.llm.substrings import remove_repeats
 from sedgemill.llm.templates import contaminated
 from sedgemill.llm.transducer import token_counts
+from sedgemill.llm.urls import judge
 
 Plan = Callable[[SparkSession, str], DataFrame]
 LLM_PLANS: dict[str, Plan] = {}
 LLM_SQL: dict[str, str] = {}
 
+# The rules that op5 judges by.
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
 
 def register(plan: Plan) -> Plan:
     LLM_PLANS[plan.__name__] = plan
@@ -85,3 +91,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common_blocks(_table(spark, sf_dir, "documents")).drop("key")
+
+
+@register
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"), URL_RULES)
