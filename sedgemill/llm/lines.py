@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.docstats import line_hashes, lines_of
-from sedgemill.llm.textkit import Texts, map_texts, row_key, words_of
+from sedgemill.llm.textkit import Texts, free_name, map_texts, row_key, words_of
 from sedgemill.session import written
 
 LAST_ID = (1 << 63) - 1
@@ -143,12 +143,12 @@ def without_common_blocks(docs: DataFrame, blocks: DataFrame, doc_id: str = "doc
 
     The other rows and columns stay as they are.
     """
-    gone = blocks.groupBy("key").agg(F.collect_set(F.struct("line_start", "n_lines")).alias("_gone"))
-    keyed = docs.withColumn("_key", row_key(doc_id, text))
-    joined = keyed.join(gone.withColumnRenamed("key", "_key"), "_key", "left")
-    lines = F.split(text, "\n", -1)
-    inside = lambda i: F.exists("_gone", lambda g: (i >= g["line_start"]) & (i < g["line_start"] + g["n_lines"]))
-    kept = F.array_join(F.filter(lines, lambda _, i: ~inside(i)), "\n")
-    left = joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept))
-    some = F.col("_gone").isNull() | F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]"))
+    name, list_name = free_name(docs, "_key"), free_name(docs, "_gone")
+    gone = blocks.groupBy(F.col("key").alias(name)).agg(F.collect_set(F.struct("line_start", "n_lines")).alias(list_name))
+    joined = docs.withColumn(name, row_key(doc_id, text)).join(gone, name, "left")
+    inside = lambda i: F.exists(list_name, lambda g: (i >= g["line_start"]) & (i < g["line_start"] + g["n_lines"]))
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~inside(i)), "\n")
+    whole = F.col(list_name).isNull()
+    left = joined.withColumn(text, F.when(whole, F.col(text)).otherwise(kept))
+    some = whole | F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]"))
     return left.where(some).select(*docs.columns)

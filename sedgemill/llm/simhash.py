@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.components import star_components
-from sedgemill.llm.textkit import Texts, map_texts, row_key, spaced, words_of, xxh64
+from sedgemill.llm.textkit import Texts, free_name, map_texts, row_key, spaced, words_of, xxh64
 from sedgemill.session import written
 
 TILE = 4096
@@ -185,6 +185,7 @@ def near_duplicates(
 
 def keep_first_of_class(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` for each class: that of the smallest id, and of the smallest key among rows of that id."""
-    kept = classes.where(F.col("key") == F.col("component_key")).select(F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", row_key(doc_id, text))
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    name = free_name(docs, "_key")
+    kept = classes.where(F.col("key") == F.col("component_key")).select(F.col("key").alias(name)).distinct()
+    keyed = docs.withColumn(name, row_key(doc_id, text))
+    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

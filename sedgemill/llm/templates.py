@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.docstats import IS_DIGIT, IS_LOWER, IS_UPPER
-from sedgemill.llm.textkit import Texts, _table, map_texts, mix, range_hash, row_key, words_of
+from sedgemill.llm.textkit import Texts, _table, free_name, map_texts, mix, range_hash, row_key, words_of
 from sedgemill.session import written
 
 #: Bits of the filter that documents' windows are tried on before any of them is shuffled.
@@ -202,6 +202,7 @@ def contaminated(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item; rows are told apart by id and text."""
-    keyed = docs.withColumn("_key", row_key(doc_id, text))
-    found = contaminated(keyed, benchmark, doc_id="_key", text=text).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
+    name = free_name(docs, "_key")
+    keyed = docs.withColumn(name, row_key(doc_id, text))
+    found = contaminated(keyed, benchmark, doc_id=name, text=text).select(F.col("doc_id").alias(name)).distinct()
+    return keyed.join(found, name, "left_anti").drop(name)

@@ -254,6 +254,14 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_key(doc_id: str, text: str) -> "F.Column":
     """A hash of id and text: tells rows apart that share an id or have none."""
     return F.xxhash64(F.col(doc_id).cast("long"), F.col(text))
