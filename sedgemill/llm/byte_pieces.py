@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import sys
-import types
 
 import numpy as np
 
-from sedgemill.llm.textkit import Texts, _table, range_hash
+from sedgemill.llm.textkit import Texts, _table, process_store, range_hash
 from sedgemill.llm.transducer import DIGIT, LETTER, SHORT_ENDINGS, SIGN, SPACE_CLASS, byte_classes
 
 #: Distinct pieces kept in a process; beyond them the store starts anew.
@@ -111,7 +109,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The encoder of this process for a tokenizer file; tasks that follow each other share it."""
-    kept = sys.modules.setdefault("_sedgemill_encoders", types.ModuleType("_sedgemill_encoders")).__dict__
+    kept = process_store("encoders")
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]

@@ -16,6 +16,8 @@ TRAINING_TEXTS = 3_000
 #: Buckets of hashed byte sequences, for each of their lengths.
 BUCKETS = 1 << 15
 LENGTHS = (1, 2, 3, 4)
+#: Words scored at a time: bounds the memory of their byte sequences.
+BLOCK_WORDS = 1 << 14
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -87,17 +89,25 @@ class LanguageModel:
     logs: np.ndarray
     scripts: np.ndarray
 
-    def word_scores(self, texts: Texts, words: Words) -> np.ndarray:
-        """Score of each word in each language; a word without letters scores 0 in all."""
-        data, start, end = _padded(texts, words)
-        total = np.zeros((len(data) + 1, len(self.languages)), dtype=np.float64)
-        scores = np.zeros((len(words), len(self.languages)))
+    def _block_scores(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        total = np.zeros((len(data) + 1, len(self.languages)))
+        scores = np.zeros((len(start), len(self.languages)))
         for table, length in zip(self.logs, LENGTHS, strict=True):
             found = table[sequence_buckets(data, length)]
             np.cumsum(found, axis=0, out=total[1:len(found) + 1])
             low, high = start - (length > 1), np.maximum(end + (length > 1) - length + 1, start - (length > 1))
             high = np.minimum(high, len(found))
             scores += total[np.maximum(high, low)] - total[low]
+        return scores
+
+    def word_scores(self, texts: Texts, words: Words) -> np.ndarray:
+        """Score of each word in each language; a word without letters scores 0 in all."""
+        data, start, end = _padded(texts, words)
+        scores = np.zeros((len(words), len(self.languages)))
+        for at in range(0, len(words), BLOCK_WORDS):
+            upto = min(at + BLOCK_WORDS, len(words))
+            low, high = start[at] - 1, end[upto - 1] + 1
+            scores[at:upto] = self._block_scores(data[low:high], start[at:upto] - low, end[at:upto] - low)
         seen = np.bitwise_or.reduceat(scripts_of_bytes(data), start) if len(words) else np.zeros(0, np.int32)
         fits = (seen[:, None] & self.scripts[None, :]) != 0
         scores[(seen != 0)[:, None] & ~fits & fits.any(1)[:, None]] -= 1e6

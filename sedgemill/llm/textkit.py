@@ -7,6 +7,9 @@ Arrow keeps them, so no Python object is made per word. Memory is bounded by the
 
 from __future__ import annotations
 
+import gc
+import sys
+import types
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -32,12 +35,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def process_store(name: str) -> dict:
+    """A dictionary that outlives tasks: these functions reach executors by value, so their modules' globals do not."""
+    return sys.modules.setdefault(f"_sedgemill_{name}", types.ModuleType(f"_sedgemill_{name}")).__dict__
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^0 .. base^n and base^-0 .. base^-n modulo 2^64 (an odd base has an inverse)."""
-    have = _POWERS.get(base)
+    kept = process_store("powers")
+    have = kept.get(base)
     if have is None or len(have[0]) <= n:
         size = max(n + 1, 1 << 16)
         made = []
@@ -47,7 +53,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             made.append(np.cumprod(steps))
         have = (made[0], made[1])
         if size <= 4 << 20:
-            _POWERS[base] = have
+            kept[base] = have
     return have
 
 
@@ -101,6 +107,7 @@ def map_texts(
     """Apply ``work`` to slices of rows; it gets the slice and its texts and returns the rows to emit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()  # what an earlier task of this process left in reference cycles
         for batch in batches:
             for part in slices(batch, text):
                 out = work(part, texts_of(part.column(part.schema.get_field_index(text))))

@@ -11,8 +11,6 @@ prefixes, is all a state needs; states are made when first reached and kept for
 from __future__ import annotations
 
 import json
-import sys
-import types
 import unicodedata
 
 import numpy as np
@@ -20,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.docstats import IS_DIGIT
-from sedgemill.llm.textkit import Texts, map_texts
+from sedgemill.llm.textkit import Texts, map_texts, process_store
 
 #: States and symbols for which the tables have room; beyond them the machine is compiled anew.
 MOST_STATES, SYMBOLS = 1 << 17, 160
@@ -256,7 +254,7 @@ class Machine:
 
 def machine(path: str) -> Machine:
     """The machine of this process for a tokenizer file; tasks that follow each other share it."""
-    kept = sys.modules.setdefault("_sedgemill_machines", types.ModuleType("_sedgemill_machines")).__dict__
+    kept = process_store("machines")
     if path not in kept:
         kept[path] = Machine(path)
     return kept[path]
