@@ -18,6 +18,8 @@ BUCKETS = 1 << 15
 LENGTHS = (1, 2, 3, 4)
 #: Words scored at a time: bounds the memory of their byte sequences.
 BLOCK_WORDS = 1 << 14
+#: Bytes of texts whose paths are found in step; more make fewer steps.
+PATH_BYTES = 2 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -236,7 +238,7 @@ def keep_identified(
         number, score, _, _ = _labelled(model, texts, penalty)
         return part.filter(pa.array((number < len(model.languages)) & (score >= least_score)))
 
-    return map_texts(docs, text, docs.schema, work)
+    return map_texts(docs, text, docs.schema, work, PATH_BYTES)
 
 
 def identify(
@@ -275,5 +277,5 @@ def identify(
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
     schema = "doc_id long, lang_pred string, score double, spans array<struct<lang: string, start: int, words: int>>"
-    found = map_texts(rows, "_text", schema, work)
+    found = map_texts(rows, "_text", schema, work, PATH_BYTES)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")

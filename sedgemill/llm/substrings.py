@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.llm.textkit import (
-    Texts, Words, gather_words, map_texts, row_key, slices, text_bytes, texts_of, window_hashes, word_hashes, words_of,
+    SLICE_BYTES, Texts, Words, gather_words, map_texts, row_key, slices, text_bytes, texts_of, window_hashes, word_hashes, words_of,
 )
 from sedgemill.session import written
 
@@ -240,7 +240,7 @@ def _read_joined(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray
         texts.append(zlib.decompress(packed.as_py()))
         places.append(np.frombuffer(found.as_py() or b"", np.uint32))
         held += len(texts[-1])
-        if held >= 2 << 20 or i + 1 == batch.num_rows:
+        if held >= SLICE_BYTES or i + 1 == batch.num_rows:
             off = np.cumsum([0, *map(len, texts)])
             own = np.repeat(np.arange(len(texts)), [len(p) for p in places])
             yield (ids[first:i + 1], uids[first:i + 1], Texts(np.frombuffer(b"".join(texts), np.uint8), off), own,

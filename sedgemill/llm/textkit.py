@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 
@@ -102,17 +102,19 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 
 
 def map_texts(
-    df: DataFrame, text: str, schema: str, work: Callable[[pa.RecordBatch, Texts], pa.RecordBatch | None]
+    df: DataFrame, text: str, schema: str, work: Callable[[pa.RecordBatch, Texts], pa.RecordBatch | None],
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
-    """Apply ``work`` to slices of rows; it gets the slice and its texts and returns the rows to emit."""
+    """Apply ``work`` to slices of rows of about ``most`` bytes of text; it gets the slice and its texts and returns the rows to emit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.collect()  # what an earlier task of this process left in reference cycles
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 out = work(part, texts_of(part.column(part.schema.get_field_index(text))))
                 if out is not None and out.num_rows:
                     yield out
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
