@@ -6,36 +6,44 @@ from pyspark.sql import DataFrame, functions as F
 
 # Fixed value: items the index puts on a page.
 ITEMS_PER_PAGE = 18
+# Fixed value: items expected where the first page, which tells, is missing.
+ITEMS_EXPECTED = 5_146
 
 
 def pages_for(items_total, items_per_page: int = ITEMS_PER_PAGE):
     return F.ceil(items_total / F.lit(items_per_page)).cast("bigint")
 
 
-def expected_pages(pages: DataFrame, fixed_total: int | None = None) -> DataFrame:
-    """Every page number there should be: from the total the first page reports, or a fixed one."""
+def expected_pages(pages: DataFrame, fixed_total: int | None = None, default_total: int = ITEMS_EXPECTED) -> DataFrame:
+    """Every page number there should be: from a fixed total, or the one the first page reports.
+
+    Without a first page ``default_total`` counts. A total of 0 gives no pages.
+    """
     if fixed_total is not None:
         counts = pages.sparkSession.range(1).select(pages_for(F.lit(fixed_total)).alias("n"))
     else:
-        counts = pages.where(F.col("page") == 1).agg(pages_for(F.max("items_total")).alias("n"))
+        counts = pages.where(F.col("page") == 1).agg(
+            pages_for(F.coalesce(F.max("items_total"), F.lit(default_total))).alias("n"))
     # The sequence comes as one number per thousand pages, so no row grows with the index.
-    blocks = counts.select("n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 1000))).alias("b"))
+    blocks = counts.where(F.col("n") > 0).select("n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / 1000))).alias("b"))
     last = F.least(F.col("n"), F.col("b") * 1000 + 1000)
     return blocks.select(F.explode(F.sequence(F.col("b") * 1000 + 1, last)).alias("page"))
 
 
-def api_failed_pages(pages: DataFrame, fixed_total: int | None = None) -> DataFrame:
+def api_failed_pages(pages: DataFrame, fixed_total: int | None = None, default_total: int = ITEMS_EXPECTED) -> DataFrame:
     """Expected pages without a response."""
     got = pages.select("page").distinct()
-    return expected_pages(pages, fixed_total).join(got, "page", "left_anti")
+    return expected_pages(pages, fixed_total, default_total).join(got, "page", "left_anti")
 
 
-def api_index_meta(items: DataFrame, pages: DataFrame, fixed_total: int | None = None) -> DataFrame:
+def api_index_meta(
+    items: DataFrame, pages: DataFrame, fixed_total: int | None = None, default_total: int = ITEMS_EXPECTED
+) -> DataFrame:
     """Head of the index: items found, pages expected and failed. The failed pages are rows of their own."""
     zero = F.lit(0).cast("bigint")
     counted = items.select(F.lit(1).cast("bigint").alias("i"), zero.alias("p"), zero.alias("f"))
-    expected = expected_pages(pages, fixed_total).select(zero.alias("i"), F.lit(1).cast("bigint").alias("p"), zero.alias("f"))
-    failed = api_failed_pages(pages, fixed_total).select(zero.alias("i"), zero.alias("p"), F.lit(1).cast("bigint").alias("f"))
+    expected = expected_pages(pages, fixed_total, default_total).select(zero.alias("i"), F.lit(1).cast("bigint").alias("p"), zero.alias("f"))
+    failed = api_failed_pages(pages, fixed_total, default_total).select(zero.alias("i"), zero.alias("p"), F.lit(1).cast("bigint").alias("f"))
     return counted.unionByName(expected).unionByName(failed).agg(
         F.coalesce(F.sum("i"), zero).alias("total_items"),
         F.coalesce(F.sum("p"), zero).alias("total_pages"),

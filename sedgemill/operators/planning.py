@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.functions import extract_post_id, is_video_host, leading_int, media_local_path, video_filename
 from sedgemill.functions.worklogs import REGISTERED_ONLY_TEXT
-from sedgemill.operators.shuffles import keep_first, spread_join, with_row_index
+from sedgemill.operators.shuffles import keep_first, lookup_join, with_row_index
 
 
 def source_filter(sources: DataFrame, allow_list: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def worklist_pending(
     """
     rows = worklist
     if not retry_failed:
-        rows = spread_join(rows, failed_urls.select("url").distinct(), ["url"], "left_anti", ["page_name"])
+        rows = lookup_join(rows, failed_urls.select("url").distinct(), ["url"], "left_anti")
     post_id = extract_post_id(F.col("url"))
     rows = rows.withColumn("post_id", post_id).withColumn("filename", video_filename(F.col("page_name"), post_id))
     if need_content:
@@ -62,7 +62,7 @@ def worklist_pending(
     else:
         have = disk.select(F.col("name").alias("filename")).unionByName(downloaded.select("filename"))
     known = have.distinct().withColumn("_have", F.lit(True))
-    rows = spread_join(rows, known, ["filename"], "left", ["url"])
+    rows = lookup_join(rows, known, ["filename"], "left")
     label = (
         F.when(F.col("url") == "", "empty_url").when(F.col("post_id").isNull(), "no_post_id")
         .when(F.col("_have"), "already").otherwise("pending"))
@@ -76,7 +76,7 @@ def download_summary(plan: DataFrame, outcomes: DataFrame) -> DataFrame:
     post id as failed.
     """
     tried = outcomes.groupBy("filename").agg(F.bool_or("ok").alias("ok"))
-    rows = spread_join(plan, tried, ["filename"], "left", ["url"])
+    rows = lookup_join(plan, tried, ["filename"], "left")
     good = F.col("label").isin("empty_url", "already") | ((F.col("label") == "pending") & F.coalesce("ok", F.lit(False)))
     return rows.agg(F.count_if(good).alias("succeeded"), F.count_if(~good).alias("failed"), F.count("*").alias("total"))
 
@@ -94,23 +94,29 @@ def media_download_plan(
 
 
 def attach_download_errors(posts: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Failed attempts as rows of their post, numbered as they happened; posts without any keep one empty row.
+    """Posts with their failed attempts as the list ``download_errors``, in the order of ``seq``.
 
-    ``outcomes`` has (post_id, seq, url, error), error NULL for a success. Nesting into
-    the post is left to the archive writer, which bounds the size of a record.
+    ``outcomes`` has (post_id, seq, url, error), error NULL for a success. Errors a post
+    already has come first; a post without any has an empty list.
     """
-    failed = outcomes.where(F.col("error").isNotNull()).select(F.col("post_id").alias("id"), "seq", "url", "error")
-    return posts.join(failed, "id", "left")
+    item = F.struct("seq", "url", "error")
+    failed = outcomes.where(F.col("error").isNotNull()).groupBy(F.col("post_id").alias("id")).agg(F.transform(
+        F.sort_array(F.collect_list(item)), lambda e: F.struct(e["url"].alias("url"), e["error"].alias("error"))).alias("_failed"))
+    rows = lookup_join(posts, failed, ["id"], "left")
+    none = F.array().cast("array<struct<url:string,error:string>>")
+    before = F.coalesce("download_errors", none) if "download_errors" in posts.columns else none
+    return rows.withColumn("download_errors", F.concat(before, F.coalesce("_failed", none))).drop("_failed")
 
 
 def retry_candidates(errors: DataFrame) -> DataFrame:
     """One attempt per archive and address that failed for registered users only.
 
     The file is named after the first post with the address. ``errors`` has (file,
-    post_id, post_pos, url, error).
+    post_id, post_pos, url, error) and, where archives have several parts, ``part``.
     """
     wanted = errors.where(F.col("error").contains(REGISTERED_ONLY_TEXT) & (F.coalesce("url", F.lit("")) != ""))
-    first = keep_first(wanted.select("file", "url", "post_id", "post_pos"), ["file", "url"], ["post_pos", "post_id"])
+    place = [c for c in ("part", "post_pos") if c in errors.columns]
+    first = keep_first(wanted.select("file", "url", "post_id", *place), ["file", "url"], [*place, "post_id"])
     return first.select("file", "url", "post_id", F.concat("post_id", F.lit("_video.mp4")).alias("filename"))
 
 
@@ -118,17 +124,17 @@ def apply_retry_to_errors(errors: DataFrame, succeeded: DataFrame) -> DataFrame:
     """Errors that remain: those of addresses fetched after all are removed from every post."""
     retryable = F.col("error").contains(REGISTERED_ONLY_TEXT)
     done = succeeded.select("file", "url").withColumn("_done", F.lit(True))
-    rows = spread_join(errors, done, ["file", "url"], "left", ["post_id"])
+    rows = lookup_join(errors, done, ["file", "url"], "left")
     return rows.where(~(F.coalesce("_done", F.lit(False)) & F.coalesce(retryable, F.lit(False)))).drop("_done")
 
 
 def apply_retry_to_media(media: DataFrame, errors: DataFrame, succeeded: DataFrame) -> DataFrame:
     """Media after a retry: a post's video without a path gets the fetched file, where its error is removed."""
     removed = errors.where(F.col("error").contains(REGISTERED_ONLY_TEXT)).select("file", "post_id", "url")
-    removed = spread_join(
-        removed, succeeded.select("file", "url", "filename"), ["file", "url"], "inner", ["post_id"])
+    removed = lookup_join(
+        removed, succeeded.select("file", "url", "filename"), ["file", "url"], "inner")
     patch = removed.groupBy("file", "post_id", "url").agg(F.min("filename").alias("_filename"))
-    rows = spread_join(media, patch, ["file", "post_id", "url"], "left", ["local_path"])
+    rows = lookup_join(media, patch, ["file", "post_id", "url"], "left")
     empty = F.coalesce("local_path", F.lit("")) == ""
     fill = (F.col("media_type") == "video") & empty & F.col("_filename").isNotNull()
     path = F.when(fill, F.concat(F.lit("media/"), "_filename")).otherwise(F.col("local_path"))

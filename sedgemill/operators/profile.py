@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sedgemill.functions import json_type
-from sedgemill.operators.shuffles import spread_join
+from sedgemill.operators.shuffles import lookup_join
 
 MAX_DEPTH = 10
 EXAMPLE_LENGTH = 80
@@ -121,7 +121,7 @@ def json_key_sets(files: DataFrame) -> DataFrame:
 def json_unshared_keys(files: DataFrame) -> DataFrame:
     """Keys that some files lack, one row per file that has them."""
     some = json_key_sets(files).where(~F.col("shared")).select("key")
-    return spread_join(_key_types(files).select("key", "path"), some, ["key"], "left_semi", ["path"])
+    return lookup_join(_key_types(files).select("key", "path"), some, ["key"], "left_semi")
 
 
 def json_type_conflicts(files: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def json_type_conflicts(files: DataFrame) -> DataFrame:
     mixed = types.groupBy("key").agg(
         F.count("*").alias("files"), F.min("type").alias("lo"), F.max("type").alias("hi")
     ).where((F.col("files") == _file_count(files)) & (F.col("lo") != F.col("hi"))).select("key")
-    return spread_join(types, mixed, ["key"], "left_semi", ["path"]).select("key", "path", "type")
+    return lookup_join(types, mixed, ["key"], "left_semi").select("key", "path", "type")
 
 
 def json_consistency(key_sets: DataFrame) -> DataFrame:

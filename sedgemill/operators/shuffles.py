@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sedgemill.session import written
 
-DEFAULT_SALTS = 16
+NULL_SALTS = 256
 
 
 def _order(cols: list[str | Column]) -> Column:
@@ -32,22 +32,23 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
     return _pick(df, keys, order, F.min_by)
 
 
-def spread_join(
-    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, by: list[str], salts: int = DEFAULT_SALTS
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join many rows per key with a lookup that has at most one row per key.
 
-    The lookup is repeated once per salt and the facts pick a salt from the columns
-    ``by``, so a hot key is spread over ``salts`` shuffle keys. ``by`` should tell the
-    rows of a key apart and be cheap to read. Both sides keep their own
-    exchange, which lets adaptive execution split what is still skewed or turn the join
-    into a broadcast when the lookup proves small at run time.
+    A plain join: adaptive execution splits the fact rows of a hot key, broadcasts a lookup
+    that proves small, and no lookup row is copied. Fact rows whose key is NULL match
+    nothing; where such rows are kept, they are spread over ``NULL_SALTS`` shuffle keys.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat unmatched lookup rows")
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    if how in ("inner", "left_semi"):
+        return facts.join(lookup, keys, how)
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS)).cast("int") + 1
+    spread = facts.withColumn("_salt", F.when(missing, place).otherwise(0))
+    return spread.join(lookup.withColumn("_salt", F.lit(0)), [*keys, "_salt"], how).drop("_salt")
 
 
 def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index") -> DataFrame:
@@ -69,13 +70,3 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
         .withColumn(name, F.col("_start") + inside)
         .drop("_part", "_place", "_start")
     )
-
-
-def checked_broadcast_join(
-    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, by: list[str], max_rows: int = 1_000_000
-) -> DataFrame:
-    """Broadcast the lookup if counting shows it is small, spread the join otherwise."""
-    size = lookup.select(F.lit(1)).limit(max_rows + 1).count()
-    if size > max_rows:
-        return spread_join(facts, lookup, keys, how, by)
-    return facts.join(F.broadcast(lookup), keys, how)

@@ -198,11 +198,13 @@ def summary_views_query(spark, sf_dir):
     """)
 
 
-@query("write_tables", with_views("f_snap", "f_errors") + """,
+@query("write_tables", with_views("f_snap", "f_errors", "f_snap_media", "f_snap_links") + """,
 last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY side) AS rn FROM f_snap)
 SELECT l.id, l.source_slug, l.date_iso, l.content,
   CAST(l.id IN (SELECT post_id FROM f_errors) AS INTEGER) AS has_errors,
-  (SELECT count(*) FROM f_errors e WHERE e.post_id = l.id) AS stored_errors
+  (SELECT count(*) FROM f_errors e WHERE e.post_id = l.id) AS stored_errors,
+  (SELECT count(*) FROM f_snap_media m WHERE m.post_id = l.id AND m.side = l.side) AS stored_media,
+  (SELECT count(*) FROM f_snap_links k WHERE k.post_id = l.id AND k.side = l.side) AS stored_links
 FROM last l WHERE rn = 1
 """)
 def write_tables_query(spark, sf_dir):
@@ -211,9 +213,24 @@ def write_tables_query(spark, sf_dir):
     for side in ("old", "new"):
         write_tables(fl.flatten(snapshot_docs(spark, sf_dir, side)), root)
     stored = current_tables(spark, root)
-    errors = stored["errors"].groupBy(F.col("post_id").alias("id")).agg(F.count("*").alias("n"))
-    return stored["posts"].join(errors, "id", "left").select(
-        "id", "source_slug", "date_iso", "content", "has_errors", F.coalesce("n", F.lit(0)).alias("stored_errors"))
+    rows = stored["posts"]
+    for kind in ("errors", "media", "links"):
+        counts = stored[kind].groupBy(F.col("post_id").alias("id")).agg(F.count("*").alias("n"))
+        rows = rows.join(counts, "id", "left").withColumn(f"stored_{kind}", F.coalesce("n", F.lit(0))).drop("n")
+    return rows.select(
+        "id", "source_slug", "date_iso", "content", "has_errors", "stored_errors", "stored_media", "stored_links")
+
+
+@query("archive_parts", with_views("f_posts", "f_sources") + """,
+n AS (SELECT s.slug, (SELECT count(*) + count(p.continuation_url) FROM f_posts p WHERE p.source_slug = s.slug) AS posts FROM f_sources s)
+SELECT slug, CAST(greatest(1, ceil(posts / 1000.0)) AS BIGINT) AS documents, CAST(greatest(1, ceil(posts / 1000.0)) - 1 AS BIGINT) AS last_part, posts
+FROM n
+""")
+def archive_parts_query(spark, sf_dir):
+    """Documents of each archive: one for a source of up to 1,000 posts, numbered from 0."""
+    docs = archive_docs(spark, sf_dir).where(F.col("error").isNull())
+    return docs.groupBy(F.col("file_slug").alias("slug")).agg(
+        F.count("*").alias("documents"), F.max("part").alias("last_part"), F.sum(F.size("posts").cast("bigint")).alias("posts"))
 
 
 @query("write_archives", with_views("f_posts", "f_media", "f_errors", "f_sources") + """

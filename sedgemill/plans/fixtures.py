@@ -22,6 +22,10 @@ SELECT concat('page', CAST(c_custkey AS STRING)) AS slug,
        CASE WHEN c_custkey % 4 = 0 THEN 'youtube' ELSE 'facebook' END AS handler,
        '2026-04-17T12:55:21.000Z' AS scraped_at
 FROM customer
+UNION ALL
+SELECT concat('page', CAST(900000000 + c_custkey AS STRING)), c_name, concat('https://www.facebook.com/page', CAST(900000000 + c_custkey AS STRING)),
+       'facebook', '2026-04-17T12:55:21.000Z'
+FROM customer WHERE c_custkey % 10 = 0
 """),
     "f_posts": (["orders"], """
 SELECT CAST(o_orderkey AS STRING) AS id,
@@ -43,7 +47,6 @@ SELECT CAST(o_orderkey AS STRING) AS id,
        concat(o_orderpriority, ' ', o_orderstatus, ' ', CAST(o_orderkey AS STRING)) AS content,
        CASE WHEN o_orderkey % 8 = 0 THEN concat('/post/', CAST(o_orderkey AS STRING)) END AS continuation_url
 FROM orders
-WHERE o_custkey % 10 <> 0
 """),
     "f_media": (["lineitem", "f_posts"], """
 SELECT p.id AS post_id, p.source_slug,
@@ -82,6 +85,14 @@ UNION ALL
 SELECT 'new', '2026-04-01T00:00:00.000Z', id, source_slug, source_name, date, date_iso, original_url, local_url,
        concat(content, ' v2'), continuation_url FROM f_posts
 WHERE CAST(id AS BIGINT) % 7 <> 0 AND CAST(substr(source_slug, 5) AS BIGINT) % 10 <> 2
+"""),
+    "f_snap_media": (["f_snap", "f_media"], """
+SELECT s.side, m.post_id, m.source_slug, m.media_type, concat(m.url, CASE WHEN s.side = 'new' THEN '#2' ELSE '' END) AS url, m.local_path
+FROM f_media m JOIN f_snap s ON s.id = m.post_id
+"""),
+    "f_snap_links": (["f_snap", "f_post_links"], """
+SELECT s.side, l.post_id, l.source_slug, concat(s.side, ' ', l.text) AS text, l.url
+FROM f_post_links l JOIN f_snap s ON s.id = l.post_id
 """),
     "f_links": (["pages"], ""),
     # Links as they hang on posts: the page number is the post's id.

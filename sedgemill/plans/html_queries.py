@@ -46,8 +46,8 @@ def _post_pages(spark, sf_dir) -> DataFrame:
         escape_html(F.col("content")), link, F.lit("\n</div>"),
         F.array_join(F.transform(of("video"), video), ""), F.array_join(F.transform(of("image"), image), ""),
         F.lit('<div class="pt-1 clearfix"><span class="float-right">'), more, F.lit("</span></div></article>"))
-    blocks = records.select(F.floor(n / 20).alias("page_no"), "_cut", n.alias("n"), article.alias("article"))
-    pages = blocks.groupBy("page_no", "_cut").agg(F.array_join(F.transform(
+    blocks = records.select(F.floor(n / 20).alias("page_no"), n.alias("n"), article.alias("article"))
+    pages = blocks.groupBy("page_no").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("n", "article"))), lambda a: a["article"]), "\n").alias("body"))
     return pages.select("page_no", F.concat(
         F.lit('<html><body><script>var a = "<article class=post>";</script><article class="post"><p>no head</p></article>'),

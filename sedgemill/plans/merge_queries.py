@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,7 +11,7 @@ from sedgemill.operators import dedup, flatten as fl, merge as mg
 from sedgemill.plans.fixtures import fixture, with_views
 from sedgemill.plans.registry import query
 from sedgemill.plans.render import snapshot_docs
-from sedgemill.session import new_folder
+from sedgemill.session import new_folder, written
 from sedgemill.sinks.archives import archive_records, write_archives
 from sedgemill.sources import read_archives
 
@@ -53,13 +54,26 @@ def cross_posts_query(spark, sf_dir):
 
 @dataclass
 class Sides:
-    """Both snapshots read back from their archives, and how they match."""
+    """Both snapshots read back from their archives, and how they match.
+
+    Matches and the parsed posts of either side are written on first use, so a merge parses
+    each snapshot's posts once however many of its tables derive from them.
+    """
 
     old_docs: DataFrame
     new_docs: DataFrame
-    old: DataFrame
-    new: DataFrame
-    matches: DataFrame
+
+    @cached_property
+    def old(self) -> DataFrame:
+        return written(fl.explode_posts(self.old_docs), "merge-old")
+
+    @cached_property
+    def new(self) -> DataFrame:
+        return written(fl.explode_posts(self.new_docs), "merge-new")
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return written(mg.slug_match(self.old_docs, self.new_docs), "merge-matches")
 
     def groups(self, with_records: bool = True) -> DataFrame:
         """Post groups; counts and places need no post fields and shuffle none."""
@@ -67,6 +81,10 @@ class Sides:
             "path", "file_slug", "part", "post_pos", "id"]
         return mg.merge_groups(self.old.select(*kept), self.new.select(*kept), self.matches)
 
+    def children(self, flatten) -> DataFrame:
+        """Media or links of the merged posts: those of the record each was taken from."""
+        return mg.merge_children(flatten(self.old), flatten(self.new), mg.merge_posts(self.groups()))
+
     def errors(self) -> DataFrame:
         return mg.merge_errors(
             fl.flatten_errors(self.old), fl.flatten_errors(self.new), self.groups(False), self.matches)
@@ -74,10 +92,10 @@ class Sides:
 
 def sides(spark, sf_dir) -> Sides:
     old, new = (snapshot_docs(spark, sf_dir, s) for s in ("old", "new"))
-    return Sides(old, new, fl.explode_posts(old), fl.explode_posts(new), mg.slug_match(old, new))
+    return Sides(old, new)
 
 
-SLUG_SQL = with_views("f_snap", "f_errors") + """,
+SLUG_SQL = with_views("f_snap", "f_errors", "f_snap_media", "f_snap_links") + """,
 slugs AS (
   SELECT source_slug AS file_slug, max(CASE WHEN side = 'old' THEN scraped_at END) AS old_text,
          max(CASE WHEN side = 'new' THEN scraped_at END) AS new_text
@@ -95,7 +113,8 @@ newer AS (SELECT * FROM sided WHERE newer)
 
 @query("slug_match", SLUG_SQL + "SELECT file_slug, status FROM matches")
 def slug_match_query(spark, sf_dir):
-    return sides(spark, sf_dir).matches.select("file_slug", "status")
+    s = sides(spark, sf_dir)
+    return mg.slug_match(s.old_docs, s.new_docs).select("file_slug", "status")
 
 
 @query("orient_snapshots", SLUG_SQL + """
@@ -120,6 +139,29 @@ def merge_posts_query(spark, sf_dir):
     return mg.merge_posts(sides(spark, sf_dir).groups()).select("file_slug", "id", "date_iso", "content", "side")
 
 
+CHOSEN_SQL = SLUG_SQL + """,
+chosen AS (SELECT o.source_slug, o.id, coalesce(n.side, o.side) AS side FROM older o
+           LEFT JOIN newer n ON n.source_slug = o.source_slug AND n.id = o.id)
+"""
+
+
+@query("merge_media", CHOSEN_SQL + """
+SELECT c.source_slug AS file_slug, c.id AS post_id, m.media_type, m.url, m.local_path
+FROM chosen c JOIN f_snap_media m ON m.post_id = c.id AND m.side = c.side
+""")
+def merge_media_query(spark, sf_dir):
+    """Media of the merged posts: the newer record brings all its own."""
+    return sides(spark, sf_dir).children(fl.flatten_media).select("file_slug", "post_id", "media_type", "url", "local_path")
+
+
+@query("merge_links", CHOSEN_SQL + """
+SELECT c.source_slug AS file_slug, c.id AS post_id, l.text, l.url
+FROM chosen c JOIN f_snap_links l ON l.post_id = c.id AND l.side = c.side
+""")
+def merge_links_query(spark, sf_dir):
+    return sides(spark, sf_dir).children(fl.flatten_links).select("file_slug", "post_id", "text", "url")
+
+
 @query("merge_errors", SLUG_SQL + """
 SELECT o.source_slug AS file_slug, o.id AS post_id, s.newer, e.url, e.error
 FROM older o JOIN sided s ON s.source_slug = o.source_slug AND s.id = o.id JOIN f_errors e ON e.post_id = o.id
@@ -193,14 +235,21 @@ r AS (SELECT *, row_number() OVER (PARTITION BY source_slug ORDER BY date_iso, i
         row_number() OVER (PARTITION BY source_slug ORDER BY date_iso DESC, id DESC) AS down FROM gone)
 SELECT source_slug AS file_slug, id, source_slug, nullif(trim(source_name), '') AS source_name, date_iso, date,
   nullif(original_url, '') AS original_url, replace(substr(content, 1, 200), chr(10), ' ') AS content_preview,
-  0 AS media_count, 0 AS links_count
+  (SELECT CAST(count(*) AS INTEGER) FROM f_snap_media m WHERE m.post_id = r.id AND m.side = r.side) AS media_count,
+  (SELECT CAST(count(*) AS INTEGER) FROM f_snap_links l WHERE l.post_id = r.id AND l.side = r.side) AS links_count
 FROM r WHERE up <= 10 OR down <= 10
 """)
 def old_only_sample_query(spark, sf_dir):
     return mg.old_only_sample(_old_only(sides(spark, sf_dir))).drop("section", "place")
 
 
-@query("merge_write_back", SLUG_SQL + MERGED_SQL.replace("date_iso,", "date_iso, o.local_url,"))
+@query("merge_write_back", CHOSEN_SQL + """
+SELECT c.source_slug AS file_slug, c.id, s.date_iso, s.local_url, s.content, c.side,
+  CAST(c.id IN (SELECT post_id FROM f_errors) AS INTEGER) AS has_errors,
+  (SELECT count(*) FROM f_snap_media m WHERE m.post_id = c.id AND m.side = c.side) AS media,
+  (SELECT count(*) FROM f_snap_links l WHERE l.post_id = c.id AND l.side = c.side) AS links
+FROM chosen c JOIN f_snap s ON s.id = c.id AND s.side = c.side
+""")
 def merge_write_back_query(spark, sf_dir):
     """The merged archives written and read back."""
     s = sides(spark, sf_dir)
@@ -209,10 +258,13 @@ def merge_write_back_query(spark, sf_dir):
     posts = posts.withColumn("side_kept", F.col("side")).drop("source_slug")
     heads = mg.merge_metadata(s.old_docs, s.new_docs, mg.orient_snapshots(s.matches), CONSOLIDATED_AT)
     errors = s.errors().withColumn("pos", F.struct("newer", "part", "post_pos", "pos"))
-    records = archive_records(posts.withColumn("source_slug", F.col("file_slug")), errors=errors.drop("file_slug"))
+    children = [s.children(f).drop("file_slug", "side", "part") for f in (fl.flatten_media, fl.flatten_links)]
+    records = archive_records(posts.withColumn("source_slug", F.col("file_slug")), *children, errors.drop("file_slug"))
     path = new_folder(spark, "merged")
     write_archives(heads, records, path, ["falling", "first_place"])
     back = fl.explode_posts(read_archives(spark, path, layout="lines"))
     newer = F.col("content").endswith(" v2")
     side = F.when(newer, "new").otherwise("old")
-    return back.select("file_slug", "id", "date_iso", "local_url", "content", side.alias("side"))
+    count = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+    return back.select("file_slug", "id", "date_iso", "local_url", "content", side.alias("side"), "has_errors",
+                       count("media").alias("media"), count("links").alias("links"))

@@ -152,7 +152,7 @@ def read_file_inventory_query(spark, sf_dir):
     """Stored archive files, told apart by the slug each of them holds."""
     folder = archive_files(spark, sf_dir)
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    files = read_file_inventory(spark, folder, "*.json").withColumn("path", plain("path"))
+    files = read_file_inventory(spark, folder, "*.json", recursive=True).withColumn("path", plain("path"))
     docs = read_archives(spark, folder).select(plain("path").alias("path"), F.col("file_slug").alias("slug"))
     return files.join(docs, "path").groupBy("slug").agg(
         F.bool_and((F.col("size") > 0) & F.col("mtime").isNotNull()).alias("stored"))
@@ -236,15 +236,20 @@ def media_download_plan_query(spark, sf_dir):
 
 
 @query("attach_download_errors", with_views("f_posts", "f_errors") + """
-SELECT p.id, p.source_slug, e.url, e.error FROM f_posts p LEFT JOIN f_errors e ON e.post_id = p.id
+SELECT p.id, p.source_slug, count(e.url) AS errors,
+  coalesce(string_agg(concat('<', e.url, '> ', e.error), '; ' ORDER BY e.seq, e.url, e.error) FILTER (WHERE e.url IS NOT NULL), '') AS listed
+FROM f_posts p LEFT JOIN (SELECT *, regexp_extract(url, '[0-9]+', 0) AS seq FROM f_errors) e ON e.post_id = p.id
+GROUP BY p.id, p.source_slug
 """)
 def attach_download_errors_query(spark, sf_dir):
     """Outcomes of all media: failures from the error relation, successes without text."""
     errors = fixture(spark, sf_dir, "f_errors").select("post_id", "url", "error")
     fine = fixture(spark, sf_dir, "f_media").select("post_id", "url", F.lit(None).cast("string").alias("error"))
-    outcomes = errors.unionByName(fine).withColumn("seq", F.crc32(F.col("url").cast("binary")))
+    outcomes = errors.unionByName(fine).withColumn("seq", F.regexp_extract("url", "[0-9]+", 0))
     posts = fixture(spark, sf_dir, "f_posts").select("id", "source_slug")
-    return pl.attach_download_errors(posts, outcomes).select("id", "source_slug", "url", "error")
+    nested = pl.attach_download_errors(posts, outcomes)
+    listed = F.transform("download_errors", lambda e: F.concat(F.lit("<"), e["url"], F.lit("> "), e["error"]))
+    return nested.select("id", "source_slug", F.size("download_errors").cast("bigint").alias("errors"), F.array_join(listed, "; ").alias("listed"))
 
 
 RETRY_SQL = with_views("f_errors", "f_media") + """,

@@ -52,7 +52,7 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> str:
     """All archives, one document per line, and two lines that are no archives."""
 
     def write(path: str) -> None:
-        write_archives(fixture(spark, sf_dir, "f_sources"), _stored_records(spark, sf_dir), path, ["date_iso"], stored=True)
+        write_archives(fixture(spark, sf_dir, "f_sources"), _stored_records(spark, sf_dir), path, ["date_iso"])
         spark.createDataFrame([('{"metadata": {"slug"',), ('[{"posts": []}]',)], "value string").write.mode(
             "append").text(path)
 
@@ -64,7 +64,7 @@ def archive_files(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         write_archives(
-            fixture(spark, sf_dir, "f_sources"), _stored_records(spark, sf_dir), path, ["date_iso"], layout="files", stored=True)
+            fixture(spark, sf_dir, "f_sources"), _stored_records(spark, sf_dir), path, ["date_iso"], layout="files")
         broken = spark.createDataFrame([(("broken",), "no list")], "metadata struct<slug:string>, posts string")
         broken.write.mode("append").json(path)
 
@@ -87,7 +87,8 @@ def snapshot_docs(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
             F.lit(None).cast("string").alias("orig_url"),
             F.max("scraped_at").alias("scraped_at"),
         )
-        records = archive_records(snap.drop("side", "scraped_at"), errors=errors)
+        own = lambda view: fixture(spark, sf_dir, view).where(F.col("side") == side).drop("side")
+        records = archive_records(snap.drop("side", "scraped_at"), own("f_snap_media"), own("f_snap_links"), errors)
         write_archives(sources, records, path, ["date_iso"])
 
     return read_archives(spark, rendered(spark, sf_dir, f"snapshot-{side}", write), layout="lines")

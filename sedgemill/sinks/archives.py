@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sedgemill.operators.flatten import POST_FIELDS
-from sedgemill.operators.shuffles import checked_broadcast_join, spread_join
-from sedgemill.session import written
+from sedgemill.operators.shuffles import lookup_join, with_row_index
 
+# Format of large archives: posts in a document; a source with more is written in parts 0, 1, ...
 POSTS_PER_DOCUMENT = 1_000
-ITEMS_PER_RECORD = 10_000
 
 # Fields of the nested lists, in document order.
 NESTED = {
@@ -31,14 +30,10 @@ def archive_records(
     media: DataFrame | None = None,
     links: DataFrame | None = None,
     errors: DataFrame | None = None,
-    items_per_record: int = ITEMS_PER_RECORD,
 ) -> DataFrame:
-    """Posts with their lists nested, as they stand in an archive document.
+    """Posts with their lists nested, one record each, as they stand in an archive document.
 
-    A list is ordered by the child's ``pos`` (of any type that sorts) where it has one. A post with more than
-    ``items_per_record`` children becomes several records of the same id: readers replace
-    the post on its id and append its children, so nothing is lost and no task has to
-    hold all of them. The record numbered 0 is meant to be read last.
+    A list is ordered by the child's ``pos`` (of any type that sorts) where it has one.
     """
     tables = {"media": media, "links": links, "download_errors": errors}
     parts = []
@@ -57,16 +52,9 @@ def archive_records(
         children = parts[0]
         for p in parts[1:]:
             children = children.unionByName(p)
-        # Only posts beyond the bound need cutting; their number is checked before a broadcast.
-        large = children.groupBy("id").agg(F.count("*").alias("_n")).where(F.col("_n") > items_per_record).select(
-            "id", F.ceil(F.col("_n") / items_per_record).cast("bigint").alias("_cuts"))
-        cut = checked_broadcast_join(children, large, ["id"], "left", [k for k in NESTED if tables[k] is not None])
-        place = F.xxhash64(*[F.to_json(k) for k in NESTED if tables[k] is not None])
-        cut = cut.withColumn("_cut", F.pmod(place, F.coalesce("_cuts", F.lit(1))).cast("int"))
         lists = [_ordered(k, NESTED[k]).alias(k) for k in NESTED if tables[k] is not None]
-        nested = cut.groupBy("id", "_cut").agg(*lists)
-    joined = posts.withColumn("_cut", F.lit(0)) if nested is None else posts.join(nested, "id", "left")
-    joined = joined.withColumn("_cut", F.coalesce("_cut", F.lit(0)))
+        nested = children.groupBy("id").agg(*lists)
+    joined = posts if nested is None else lookup_join(posts, nested, ["id"], "left")
     for kind, names in NESTED.items():
         if tables[kind] is None:
             as_type = "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>"
@@ -84,36 +72,32 @@ def write_archives(
     layout: str = "lines",
     slug: str = "source_slug",
     posts_per_document: int = POSTS_PER_DOCUMENT,
-    stored: bool = False,
 ) -> None:
     """One archive per source: metadata, scrape time and its posts in ``order``.
 
-    A source with many posts is cut into numbered documents of at most
-    ``posts_per_document`` posts, so no document depends on the size of its source.
-    ``sources`` needs slug, name, orig_url, handler, scraped_at and may carry
-    consolidated_at, old_scraped_at and new_scraped_at; ``stored`` says that ``records``
-    is a plain table scan, cheap to read more than once. The commit protocol makes the
-    output appear as a whole or not at all.
+    Posts are numbered within their source. A source of up to ``posts_per_document`` posts is
+    one document, ``part`` 0; a larger one continues in parts 1, 2, ..., so no document
+    depends on the size of its source. ``sources`` needs slug, name, orig_url, handler,
+    scraped_at and may carry consolidated_at, old_scraped_at and new_scraped_at. Layout
+    ``lines`` has a document per line, ``files`` a file per document in a folder per slug.
+    The commit protocol makes the output appear as a whole or not at all.
     """
-    # The range sort reads its input twice and the empty sources once more.
-    if not stored:
-        records = written(records, "archive-records")
     fields = [c for c in ["id", *POST_FIELDS, *NESTED] if c in records.columns]
     # Only equal rows may tie, so a task that runs again numbers its rows the same way.
     ties = [F.col(c) for c in POST_FIELDS if c in records.columns]
     lists = F.xxhash64(*[F.to_json(k) for k in NESTED if k in records.columns])
-    ranked = records.withColumn("_slug", F.col(slug)).orderBy(
-        "_slug", *[F.col(c) for c in order], "id", F.desc("_cut"), *ties, lists
-    ).withColumn("_row", F.monotonically_increasing_id())
+    ranked = with_row_index(
+        records.withColumn("_slug", F.col(slug)), [F.col(c) for c in ["_slug", *order, "id"]] + ties + [lists], "_row")
+    first = ranked.groupBy("_slug").agg(F.min("_row").alias("_first"))
+    placed = lookup_join(ranked, first, ["_slug"], "inner")
     post = F.struct("_row", *fields, F.col("_slug").alias("source_slug"))
-    chunk = F.floor(F.col("_row") / posts_per_document).cast("bigint")
-    names = [*fields, "source_slug"]
-    documents = ranked.select(F.col("_slug").alias("slug"), chunk.alias("part"), post.alias("_post")).groupBy(
+    part = F.floor((F.col("_row") - F.col("_first")) / posts_per_document).cast("bigint")
+    documents = placed.select(F.col("_slug").alias("slug"), part.alias("part"), post.alias("_post")).groupBy(
         "slug", "part"
-    ).agg(_ordered("_post", names).alias("posts"))
+    ).agg(_ordered("_post", [*fields, "source_slug"]).alias("posts"))
     # Join before nesting would repeat the metadata per post; here it is one row per document.
-    full = spread_join(documents, sources, ["slug"], "inner", ["part"])
-    bare = sources.join(records.select(F.col(slug).alias("slug")).distinct(), "slug", "left_anti").withColumn(
+    full = lookup_join(documents, sources, ["slug"], "inner")
+    bare = sources.join(first.select(F.col("_slug").alias("slug")), "slug", "left_anti").withColumn(
         "part", F.lit(0).cast("bigint")).withColumn("posts", F.array().cast(documents.schema["posts"].dataType))
     meta = F.struct("slug", "name", "orig_url", "handler").alias("metadata")
     extra = [F.col("consolidated_at")] if "consolidated_at" in sources.columns else []
@@ -125,6 +109,6 @@ def write_archives(
     elif layout == "files":
         # Many small files: spread them by number, not by bytes.
         tasks = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out.drop("slug").repartition(tasks, "metadata.slug", "part").write.option("maxRecordsPerFile", 1).json(path)
+        out.repartition(tasks, "slug", "part").write.partitionBy("slug").option("maxRecordsPerFile", 1).json(path)
     else:
         raise ValueError(f"unknown layout {layout}")

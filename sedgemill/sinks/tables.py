@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from sedgemill.operators.flatten import (
     ERROR_COLUMNS, LINK_COLUMNS, MEDIA_COLUMNS, POST_COLUMNS, SOURCE_COLUMNS, Tables, upsert_posts, upsert_sources,
 )
-from sedgemill.operators.shuffles import keep_last, spread_join
+from sedgemill.operators.shuffles import keep_last, lookup_join
 
 CHILDREN = {"media": MEDIA_COLUMNS, "links": LINK_COLUMNS, "errors": ERROR_COLUMNS}
 
@@ -63,13 +63,13 @@ def write_tables(tables: Tables, root: str, children: str = "replace") -> int:
         rows = getattr(tables, name)
         if children == "replace":
             here = F.struct(F.split("path", "/").alias("p"), "part", "post_pos")
-            rows = spread_join(rows.withColumn("_here", here), winners, ["post_id"], "inner", ["path", "part", "post_pos", "pos"]).where(
+            rows = lookup_join(rows.withColumn("_here", here), winners, ["post_id"], "inner").where(
                 F.col("_here") == F.col("_place"))
         rows = rows.select(*columns)
         if stored:
             kept = stored[name]
             if children == "replace":
-                kept = spread_join(kept, winners.select("post_id"), ["post_id"], "left_anti", columns)
+                kept = lookup_join(kept, winners.select("post_id"), ["post_id"], "left_anti")
             rows = kept.select(*columns).unionByName(rows)
         rows.write.mode("overwrite").parquet(f"{target}/{name}")
 

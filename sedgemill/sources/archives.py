@@ -43,12 +43,35 @@ def archive_documents(raw: DataFrame) -> DataFrame:
     )
 
 
+def _path_only(path: Column) -> Column:
+    """A file's path without scheme and authority, without its name, percent escapes decoded."""
+    folder = F.regexp_replace(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), r"/[^/]*$", "")
+    return F.coalesce(F.try_url_decode(F.regexp_replace(folder, r"\+", "%2B")), folder)
+
+
+def _segments(spark: SparkSession, path: str) -> list[str]:
+    """Parts of a given path after it was made absolute."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop)
+    return whole.toUri().getPath().rstrip("/").split("/")
+
+
+def _starts(folders: Column, parts: list[str]) -> Column:
+    """Do the folders begin with these parts? A part with a pattern sign fits any name."""
+    fits = F.size(folders) >= len(parts)
+    for i, part in enumerate(parts):
+        if not set(part) & set("*?[{"):
+            fits = fits & (folders[i] == part)
+    return fits
+
+
 def read_archives(
-    spark: SparkSession, paths: str | list[str], layout: str = "files", prune: tuple[str, ...] = ("media",)
+    spark: SparkSession, paths: str | list[str], layout: str = "files", prune: tuple[str, ...] = ()
 ) -> DataFrame:
     """Archives below folders, globs or files.
 
-    ``files``: one document per ``*.json`` file, in any sub-folder except the pruned ones.
+    ``files``: one document per ``*.json`` file, in any sub-folder; folders below a given one
+    whose name is in ``prune`` are left out.
     ``lines``: one document per line, which Spark can split; the layout for large data.
     ``file_slug`` names the archive: the file name in the first layout (the slug in the
     metadata for files named by a Spark writer), the slug in the metadata in the second.
@@ -63,11 +86,17 @@ def read_archives(
         raise ValueError(f"unknown layout {layout}")
     path = F.col("_metadata.file_path")
     raw = raw.select(path.alias("path"), "value")
-    for folder in prune if layout == "files" else ():
-        raw = raw.where(~F.col("path").contains(f"/{folder}/"))
+    if layout == "files" and prune:
+        # Only what lies below a given folder is pruned: its own path may have such a name.
+        raw = raw.withColumn("_folders", F.split(_path_only(F.col("path")), "/"))
+        dropped = F.lit(False)
+        for parts in (_segments(spark, p) for p in paths):
+            below = F.slice("_folders", F.lit(len(parts) + 1), F.greatest(F.size("_folders"), F.lit(1)))
+            dropped = dropped | (_starts(F.col("_folders"), parts) & F.exists(below, lambda f: f.isin(*prune)))
+        raw = raw.where(~dropped).drop("_folders")
     if layout == "files":
         # Files named by a Spark writer carry their slug inside only.
-        written = F.regexp_like(F.substring_index("path", "/", -1), F.lit(r"^part-\d{5}-"))
+        written = F.regexp_like(F.substring_index("path", "/", -1), F.lit(r"^part-\d{5}-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"))
         slug = F.when(written, F.get_json_object("value", "$.metadata.slug")).otherwise(file_stem(F.col("path")))
     else:
         raw = raw.where(F.trim("value") != "")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sedgemill.functions import strip_unicode
+from sedgemill.operators.shuffles import lookup_join
 
 WORKLIST_COLUMNS = ["page_name", "url"]
 LEDGER_COLUMNS = ["timestamp", "filename", "filesize"]
@@ -26,45 +27,64 @@ def read_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return manifest_rows(spark.read.text(paths))
 
 
-def _read_header_csv(spark: SparkSession, paths, required: list[str]) -> DataFrame:
-    rows = spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").csv(paths)
-    missing = [c for c in required if c not in rows.columns]
-    if missing:
-        raise ValueError(f"missing columns {missing}; found {rows.columns}")
-    return rows
+def _cells(line: Column) -> Column:
+    """Cells of a CSV line; quoted cells may hold commas and doubled quotes, but no line break."""
+    raw = F.regexp_extract_all(line, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), 1)
+    plain = lambda c: F.when(
+        c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.transform(raw, plain)
+
+
+def csv_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines of CSV files as (path, cells, first): lists with any number of columns, which Spark can split.
+
+    ``first`` has the cells of the file's first line, on every row; ``heads`` marks that line itself.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), place.alias("place"), _cells(
+        F.regexp_replace("value", "^\ufeff|\r$", "")).alias("cells"))
+    heads = lines.where(F.col("place.block") == 0).groupBy("path").agg(
+        F.min("place").alias("_first"), F.min_by("cells", "place").alias("first"))
+    return lookup_join(lines, heads, ["path"], "inner").select(
+        "path", "cells", "first", (F.col("place") == F.col("_first")).alias("heads"))
+
+
+def _named_cells(spark: SparkSession, paths: str | list[str], required: list[str]) -> DataFrame:
+    """The required columns, found by each file's own first line; a file without one of them is refused."""
+    rows = csv_rows(spark, paths)
+    names = F.transform("first", lambda c: strip_unicode(c))
+    short = rows.where(F.col("heads")).select("path", names.alias("names")).where(
+        ~F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.array_contains("names", c))).take(1)
+    if short:
+        raise ValueError(f"missing columns {[c for c in required if c not in short[0].names]} in {short[0].path}; found {short[0].names}")
+    cell = lambda c: F.try_element_at("cells", F.array_position(names, F.lit(c)).cast("int")).alias(c)
+    blank = (F.size("cells") == 1) & (F.col("cells")[0] == "")
+    return rows.where(~F.col("heads") & ~blank).select(*[cell(c) for c in required])
 
 
 def read_worklist(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Page name and address of every entry, trimmed; a list without those columns is refused."""
-    rows = _read_header_csv(spark, paths, WORKLIST_COLUMNS)
+    rows = _named_cells(spark, paths, WORKLIST_COLUMNS)
     return rows.select(*[strip_unicode(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in WORKLIST_COLUMNS])
 
 
 def read_failures(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Addresses in a failure ledger, once each."""
-    rows = _read_header_csv(spark, paths, ["url"]).where(F.coalesce("url", F.lit("")) != "")
+    rows = _named_cells(spark, paths, ["url"]).where(F.coalesce("url", F.lit("")) != "")
     return rows.select(strip_unicode(F.col("url")).alias("url")).distinct()
 
 
 def read_ledger(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Distinct file names of download ledgers, with or without a header line.
 
-    A file with a header is read by the place of its ``filename`` column; without one,
-    the second column counts where it ends in ``.mp4``.
+    A file whose first line has a ``filename`` cell is read by the place of that cell, however
+    many columns there are; in others the second column counts where it ends in ``.mp4``.
     """
-    cells = [f"c{i}" for i in range(8)]
-    schema = ", ".join(f"{c} string" for c in cells)
-    rows = spark.read.schema(schema).option("escape", '"').csv(paths).select("*", F.col("_metadata.file_path").alias("path"))
-    place = F.array_position(F.array(*[F.coalesce(F.trim(c), F.lit("")) for c in cells]), F.lit("filename"))
-    # One row per file: where its header puts the file name (0 without a header).
-    headers = rows.groupBy("path").agg(F.max(place).alias("place"))
-    from sedgemill.operators.shuffles import spread_join
-
-    named = spread_join(rows, headers, ["path"], "inner", cells)
-    by_header = F.try_element_at(F.array(*cells), F.col("place").cast("int"))
-    name = F.when(F.col("place") > 0, F.when(place == 0, by_header)).when(F.col("c1").endswith(".mp4"), F.col("c1"))
-    trimmed = strip_unicode(name)
-    return named.select(trimmed.alias("filename")).where(F.col("filename") != "").distinct()
+    rows = csv_rows(spark, paths)
+    place = F.array_position(F.transform("first", lambda c: strip_unicode(c)), F.lit("filename")).cast("int")
+    second = F.try_element_at("cells", F.lit(2))
+    name = F.when(place > 0, F.when(~F.col("heads"), F.try_element_at("cells", place))).when(second.endswith(".mp4"), second)
+    return rows.select(strip_unicode(name).alias("filename")).where(F.col("filename") != "").distinct()
 
 
 def read_allow_list(spark: SparkSession, paths: str | list[str], prefix: str) -> DataFrame:

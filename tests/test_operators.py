@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedgemill.operators import api_index, dedup, feed, flatten as fl, html, merge as mg, planning as pl, profile as pf, reconcile as rc
-from sedgemill.operators.shuffles import spread_join, with_row_index
+from sedgemill.operators.shuffles import lookup_join, with_row_index
 from sedgemill.operators.upsert import insert_or_ignore
 from sedgemill.sinks import archive_records, current_tables, write_archives, write_tables
 from sedgemill.sources import archive_documents, read_archives, read_ledger, read_manifest, read_worklist
@@ -208,29 +208,33 @@ def test_json_profile(spark):
     assert rows(pf.json_type_conflicts(files), "key", "type") == [("a", "integer"), ("a", "string")]
 
 
-def test_hot_key_join_is_whole(spark):
-    facts = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    lookup = spark.createDataFrame([("hot", 1), ("1", 2)], "k string, v int")
-    assert spread_join(facts, lookup, ["k"], "inner", ["id"]).count() == 1668
-    assert spread_join(facts, lookup, ["k"], "left_anti", ["id"]).count() == 5000 - 1668
+def test_hot_and_missing_keys_join_whole(spark):
+    facts = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 2, F.col("id").cast("string")).alias("k"), "id")
+    lookup = spark.createDataFrame([("hot", 1), ("2", 2), (None, 3)], "k string, v int")
+    assert lookup_join(facts, lookup, ["k"], "inner").count() == 1668
+    assert lookup_join(facts, lookup, ["k"], "left_anti").count() == 5000 - 1668
+    left = lookup_join(facts, lookup, ["k"], "left")
+    assert left.columns == ["k", "id", "v"] and left.count() == 5000 and left.where("v is not null").count() == 1668
+    assert "Generate" not in left._jdf.queryExecution().toString()
     with pytest.raises(ValueError):
-        spread_join(facts, lookup, ["k"], "outer", ["id"])
+        lookup_join(facts, lookup, ["k"], "outer")
 
 
 def test_archives_split_large_sources_and_posts(spark, tmp_path):
-    """A source over several documents and a post over several records read back whole."""
+    """A source over several documents reads back whole; its parts are numbered from 0; a post is one record."""
     posts = spark.range(50).select(F.col("id").cast("string").alias("id"), F.lit("big").alias("source_slug"), F.lit("d").alias("date_iso"))
     media = spark.range(30).select(
         F.lit("7").alias("post_id"), F.lit("image").alias("media_type"), F.concat(F.lit("u"), "id").alias("url"),
         F.lit(None).cast("string").alias("local_path"))
     sources = spark.createDataFrame(
         [("big", "n", "o", "h", "t"), ("empty", "n", "o", "h", "t")], "slug string, name string, orig_url string, handler string, scraped_at string")
-    records = archive_records(posts, media, items_per_record=10)
-    assert records.where("id = '7'").count() > 1
+    records = archive_records(posts, media)
+    assert records.count() == 50
     for layout in ("lines", "files"):
         path = str(tmp_path / layout)
         write_archives(sources, records, path, ["date_iso"], layout=layout, posts_per_document=8)
         docs = read_archives(spark, path, layout=layout)
+        assert rows(docs, "file_slug", "part") == [("big", n) for n in range(7)] + [("empty", 0)]
         assert docs.select(F.max(F.size("posts"))).first()[0] <= 8
         tables = fl.flatten(docs)
         assert fl.upsert_sources(tables.sources).count() == 2
