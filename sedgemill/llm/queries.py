@@ -49,6 +49,29 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+LLM_SQL["op6_substring_dedup"] = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM words
+), windows AS (
+    SELECT doc_id, pos, string_agg(word, ' ') OVER twenty AS phrase, count(*) OVER twenty AS n FROM placed
+    WINDOW twenty AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), later AS (
+    SELECT doc_id, pos FROM windows WHERE n = 20
+    QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY doc_id, pos) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM later
+), kept AS (
+    SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS kept_text
+    FROM placed ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
 @register
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents")).select(
