@@ -29,3 +29,9 @@ def type_name(schema: Column) -> Column:
 
 def json_type(v: Column) -> Column:
     return type_name(F.schema_of_variant(v))
+
+
+def shallow_json_type(v: Column) -> Column:
+    """``json_type`` that opens objects and arrays by one level instead of walking all below them."""
+    opens = lambda as_type: F.try_variant_get(v, "$", as_type).isNotNull()
+    return F.when(opens("map<string,variant>"), "object").when(opens("array<variant>"), "array").otherwise(json_type(v))

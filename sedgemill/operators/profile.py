@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sedgemill.functions import json_type
+from sedgemill.functions import json_type, shallow_json_type
 from sedgemill.operators.shuffles import lookup_join
 
 MAX_DEPTH = 10
@@ -30,15 +30,16 @@ def _items(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _item_types(v: Column) -> Column:
+def _type_names(items: Column) -> Column:
     """Distinct type names of an array's items, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(_items(v), json_type)))
+    return F.array_sort(F.array_distinct(F.transform(items, shallow_json_type)))
 
 
 def json_file_profile(files: DataFrame) -> DataFrame:
-    rows = _parsed(files)
-    v = F.col("_v")
-    kind = json_type(v)
+    """One row per file. Keys stand in the order of the text, which is parsed for them once."""
+    v, kind, keys, items = F.col("_v"), F.col("_kind"), F.col("_keys"), F.col("_items")
+    rows = _parsed(files).select("path", "size", "text", "_v", _items(v).alias("_items"), shallow_json_type(v).alias("_kind"))
+    rows = rows.withColumn("_keys", F.when(kind == "object", F.array_distinct(F.json_object_keys("text"))))
     return rows.select(
         "path",
         F.substring_index("path", "/", -1).alias("filename"),
@@ -46,66 +47,92 @@ def json_file_profile(files: DataFrame) -> DataFrame:
         F.when(v.isNull(), F.lit("invalid JSON")).alias("error"),
         F.when(v.isNotNull(), F.col("size")).alias("file_size_bytes"),
         kind.alias("root_type"),
-        F.when(kind == "object", F.array_distinct(F.json_object_keys("text"))).alias("top_level_keys"),
-        F.when(kind == "object", F.size(F.array_distinct(F.json_object_keys("text")))).alias("top_level_count"),
-        F.when(kind == "array", F.size(_items(v))).alias("array_length"),
-        F.when(kind == "array", _item_types(v)).alias("item_types"),
+        keys.alias("top_level_keys"),
+        F.when(keys.isNotNull(), F.size(keys)).alias("top_level_count"),
+        F.when(kind == "array", F.size(items)).alias("array_length"),
+        F.when(kind == "array", _type_names(items)).alias("item_types"),
     )
 
 
+def _described(node: Column, deep: bool) -> Column:
+    """The row of a node, without its value."""
+    v, items, fields = node["v"], node["items"], node["fields"]
+    if deep:
+        kind, types, text = F.lit("unknown"), F.lit(None).cast("array<string>"), F.lit(None).cast("string")
+    else:
+        kind = F.when(fields.isNotNull(), "object").when(items.isNotNull(), "array").otherwise(json_type(v))
+        types = _type_names(items)
+        text = F.when(fields.isNull() & items.isNull(), F.try_variant_get(v, "$", "string"))
+    return F.struct(
+        node["trail"].alias("trail"), kind.alias("type"), F.size(items).alias("items"), F.size(fields).alias("field_count"),
+        types.alias("item_types"), text.alias("text"))
+
+
 def json_field_profile(files: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row per field path of every readable file.
 
-    Each step opens the objects and arrays of one depth in place and passes all other
-    rows through, so the whole walk is one pass without shuffles. Arrays are entered
-    through their first item that is not null; values below ``max_depth`` are
-    ``unknown``. ``trail`` is the path as an array, so parents sort before children.
+    A file's values of one depth stand in an array. Each step opens its objects and arrays
+    and leaves a short description of every value behind, so only the values of one depth
+    are held and a file becomes rows once, without shuffles. Arrays are entered through
+    their first item that is not null; values below ``max_depth`` are ``unknown``.
+    ``trail`` is the path as an array, so parents sort before children.
     """
-    node = lambda trail, depth, v: F.struct(trail.alias("trail"), depth.alias("depth"), v.alias("v"))
-    rows = _parsed(files).where(F.col("_v").isNotNull()).select(
-        "path", node(F.array(F.lit(ROOT)), F.lit(0), F.col("_v")).alias("n"))
-
-    for depth in range(max_depth + 1):
-        v, trail = F.col("n.v"), F.col("n.trail")
-        below = lambda name: F.concat(F.col("n.trail"), F.array(name))
-        fields = F.transform(
-            F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")),
-            lambda e: node(below(e["key"]), F.lit(depth + 1), e["value"]))
+    def opened(trail: Column, v: Column, deep: bool) -> Column:
+        fields = F.try_variant_get(v, "$", "map<string,variant>")
+        items = _items(v)
+        if deep:
+            fields, items = F.lit(None).cast("map<string,variant>"), F.lit(None).cast("array<variant>")
+        return F.struct(trail.alias("trail"), v.alias("v"), fields.alias("fields"), items.alias("items"))
+
+    def children(node: Column, deep: bool) -> Column:
+        trail, items = node["trail"], node["items"]
+        below = lambda name: F.concat(trail, F.array(name))
         # An array with only nulls is entered through its first item.
-        filled = F.filter(_items(v), lambda i: ~F.is_variant_null(i))
-        sample = F.coalesce(F.get(filled, 0), F.get(_items(v), 0))
-        item = F.when(sample.isNotNull(), F.array(node(below(F.lit(ITEM)), F.lit(depth + 1), sample)))
-        here = F.array(F.col("n"))
-        opened = F.when(F.col("n.depth") == depth, F.concat(here, F.coalesce(fields, item, F.slice(here, 1, 0))))
-        rows = rows.select("path", F.explode(F.coalesce(opened, here)).alias("n"))
-
-    v, deep = F.col("n.v"), F.col("n.depth") > max_depth
-    kind = F.when(deep, "unknown").otherwise(json_type(v))
-    text = F.try_variant_get(v, "$", "string")
-    rows = rows.select("path", F.col("n.trail").alias("trail"), F.col("n.depth").alias("depth"), kind.alias("type"), "n.v", text.alias("_text"))
-    v, kind, text = F.col("v"), F.col("type"), F.col("_text")
+        sample = F.coalesce(F.get(F.filter(items, lambda i: ~F.is_variant_null(i)), 0), F.get(items, 0))
+        return F.when(
+            node["fields"].isNotNull(),
+            F.transform(F.map_entries(node["fields"]), lambda e: opened(below(e["key"]), e["value"], deep)),
+        ).when(sample.isNotNull(), F.array(opened(below(F.lit(ITEM)), sample, deep)))
+
+    rows = _parsed(files).where(F.col("_v").isNotNull()).select(
+        "path", F.array(opened(F.array(F.lit(ROOT)), F.col("_v"), False)).alias("_level"))
+    done = []
+    for depth in range(max_depth + 2):
+        deep = depth > max_depth
+        described = F.transform("_level", lambda n: _described(n, deep)).alias(f"_at{depth}")
+        inner = F.filter("_level", lambda n: n["fields"].isNotNull() | n["items"].isNotNull())
+        steps = [] if deep else [F.flatten(F.filter(
+            F.transform(inner, lambda n: children(n, depth >= max_depth)), lambda c: c.isNotNull())).alias("_level")]
+        rows = rows.select("path", *done, described, *steps)
+        done.append(f"_at{depth}")
+
+    rows = rows.select("path", F.explode(F.concat(*done)).alias("n")).select("path", "n.*")
+    kind, text, types = F.col("type"), F.col("text"), F.col("item_types")
     cut = F.concat(F.left(text, F.lit(EXAMPLE_LENGTH)), F.when(F.length(text) > EXAMPLE_LENGTH, "...").otherwise(""))
-    types = F.when(kind == "array", _item_types(v))
     return rows.select(
-        "path", F.array_join("trail", ".").alias("field"), "trail", "depth", "type",
-        F.when(kind == "string", F.length(text)).when(kind == "array", F.size(_items(v))).alias("length"),
+        "path", F.array_join("trail", ".").alias("field"), "trail", (F.size("trail") - 1).alias("depth"), "type",
+        F.when(kind == "string", F.length(text)).when(kind == "array", F.col("items")).alias("length"),
         F.when(kind == "string", cut).alias("example"),
         F.when(kind.isin("integer", "float"), text).alias("value"),
-        types.alias("item_types"),
+        F.when(kind == "array", types).alias("item_types"),
         F.when(kind == "array", F.size(types) <= 1).alias("is_uniform"),
-        F.when(kind == "object", F.size(F.try_variant_get(v, "$", "map<string,variant>"))).alias("field_count"),
+        F.when(kind == "object", F.col("field_count")).alias("field_count"),
         F.when(kind == "unknown", "max depth reached").alias("note"),
     )
 
 
+def _is_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
 def _object_files(files: DataFrame) -> DataFrame:
-    return _parsed(files).where(json_type(F.col("_v")) == "object")
+    return _parsed(files).where(_is_object(F.col("_v")))
 
 
 def _key_types(files: DataFrame) -> DataFrame:
     # Files of another root type have no entries.
     entries = _parsed(files).select("path", F.explode(F.try_variant_get("_v", "$", "map<string,variant>")).alias("key", "_value"))
-    return entries.select("path", "key", json_type(F.col("_value")).alias("type"))
+    return entries.select("path", "key", shallow_json_type(F.col("_value")).alias("type"))
 
 
 def _file_count(files: DataFrame) -> Column:
