@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from sedgemill.llm.textkit import SPACE, Texts, Words, range_hash, runs, window_hashes, word_hashes, words_of
+from sedgemill.llm.textkit import SPACE, Texts, Words, _table, range_hash, window_hashes, word_hashes, words_of
 
 #: The symbols counted by the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -66,8 +66,6 @@ def lines_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def line_hashes(texts: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    from sedgemill.llm.textkit import _table
-
     return range_hash(_table(3, 256)[texts.data], start, end, 0x9DDFEA08EB382D6F)
 
 
