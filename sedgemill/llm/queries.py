@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sedgemill.llm.boosting import quality_scores, train
+from sedgemill.llm.conversations import damaged, repair
 from sedgemill.llm.language import fit as fit_languages, identify
 from sedgemill.llm.lines import common_blocks
 from sedgemill.llm.packing import pack
@@ -119,3 +120,9 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@register
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair(damaged(conversations), conversations)
