@@ -54,11 +54,11 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str)
 def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index") -> DataFrame:
     """Number all rows from 0 in a total order, without bringing them into one task.
 
-    Rows are range-sorted and written; a row's number is its place in its sorted part
+    Rows are range-sorted (left as they come where ``order`` is empty) and written; a row's number is its place in its sorted part
     plus the sizes of the parts before it. Only those sizes (one row per part) meet in
     one task. ``order`` must be free of ties for a repeatable numbering.
     """
-    placed = df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed = (df.orderBy(*order) if order else df).withColumn("_place", F.monotonically_increasing_id())
     placed = written(placed, "row-index").withColumn("_part", F.shiftright("_place", 33))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
