@@ -17,6 +17,7 @@ from sedgemill.llm.substrings import remove_repeats
 from sedgemill.llm.templates import contaminated
 from sedgemill.llm.transducer import token_counts
 from sedgemill.llm.urls import judge
+from sedgemill.llm.whitening import whiten
 
 Plan = Callable[[SparkSession, str], DataFrame]
 LLM_PLANS: dict[str, Plan] = {}
@@ -126,3 +127,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations")
     return repair(damaged(conversations), conversations)
+
+
+@register
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
