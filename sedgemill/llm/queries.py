@@ -13,6 +13,7 @@ from sedgemill.llm.lines import common_blocks
 from sedgemill.llm.packing import pack
 from sedgemill.llm.repetition import repetition_rules
 from sedgemill.llm.simhash import near_duplicates
+from sedgemill.llm.spotsigs import compare_with_next
 from sedgemill.llm.substrings import remove_repeats
 from sedgemill.llm.templates import contaminated
 from sedgemill.llm.transducer import token_counts
@@ -132,3 +133,8 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(_table(spark, sf_dir, "documents"))
