@@ -78,15 +78,20 @@ def read_manifest_query(spark, sf_dir):
 
 
 @query("read_worklist", with_views("f_posts") + """
-SELECT source_slug AS page_name, original_url AS url FROM f_posts
+SELECT CASE WHEN CAST(id AS BIGINT) % 17 = 0 THEN '' WHEN CAST(id AS BIGINT) % 23 = 0 THEN concat('two', chr(10), '"', source_slug, '", b')
+  ELSE source_slug END AS page_name, original_url AS url FROM f_posts
 """)
 def read_worklist_query(spark, sf_dir):
+    """Some entries start with an empty cell, some names are quoted over two lines."""
+
     def write(path):
         posts = fixture(spark, sf_dir, "f_posts")
+        number, odd = F.col("id").cast("bigint"), F.concat(F.lit('two\n"'), "source_slug", F.lit('", b'))
+        name = F.when(number % 17 == 0, None).when(number % 23 == 0, odd).otherwise(F.concat(F.lit(" "), "source_slug"))
         posts.select(
-            "id", F.concat(F.lit(" "), "source_slug").alias("page_name"), F.concat("original_url", F.lit(" ")).alias("url")
+            name.alias("page_name"), "id", F.concat("original_url", F.lit(" ")).alias("url")
         ).write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
-            "ignoreTrailingWhiteSpace", "false").csv(path)
+            "ignoreTrailingWhiteSpace", "false").option("escape", '"').csv(path)
 
     return read_worklist(spark, rendered(spark, sf_dir, "worklist", write))
 
@@ -95,11 +100,11 @@ def read_worklist_query(spark, sf_dir):
 SELECT DISTINCT split_part(local_path, '/', 2) AS filename FROM f_media WHERE local_path LIKE '%.mp4'
 """)
 def read_ledger_query(spark, sf_dir):
-    """Names of stored videos, half of them in files with a header."""
+    """Names of stored videos, half of them in files with a header, a third without a time."""
 
     def write(path):
         names = fixture(spark, sf_dir, "f_media").where(F.col("local_path").endswith(".mp4")).select(
-            F.lit("2026-04-17T12:55:21").alias("timestamp"), F.substring_index("local_path", "/", -1).alias("filename"),
+            F.when(F.col("post_id").cast("bigint") % 3 != 0, "2026-04-17T12:55:21").alias("timestamp"), F.substring_index("local_path", "/", -1).alias("filename"),
             F.lit(1).alias("filesize"), (F.col("post_id").cast("bigint") % 2 == 0).alias("even"))
         names.where("even").drop("even").write.mode("append").option("header", "true").csv(path)
         names.where("not even").drop("even").write.mode("append").csv(path)

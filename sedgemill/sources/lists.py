@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sedgemill.functions import strip_unicode
 from sedgemill.operators.shuffles import lookup_join
@@ -27,60 +27,68 @@ def read_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return manifest_rows(spark.read.text(paths))
 
 
-def _cells(line: Column) -> Column:
-    """Cells of a CSV line; quoted cells may hold commas and doubled quotes, but no line break."""
-    raw = F.regexp_extract_all(line, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), 1)
-    plain = lambda c: F.when(
-        c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c)
-    return F.transform(raw, plain)
+def _first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, line) of the first line of every file that has one, without a byte order mark."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.regexp_replace("value", "^\ufeff", "").alias("value"))
+    return lines.where("block = 0").groupBy("path").agg(F.min_by("value", "line").alias("line"))
 
 
-def csv_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lines of CSV files as (path, cells, first): lists with any number of columns, which Spark can split.
+def csv_rows(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
+    """Records of CSV files as (path, cells, first, heads): lists with any number of columns, as the CSV reader gives them.
 
-    ``first`` has the cells of the file's first line, on every row; ``heads`` marks that line itself.
+    ``first`` has the cells of the file's first record, on every row; ``heads`` marks that
+    record itself. Cells are as many as the widest first line has; records that are shorter
+    have NULL in the rest. Quoted cells may hold commas, doubled quotes and line breaks;
+    ``multi_line=False`` reads lists without such breaks, whose files can then be split.
+    Empty lines are no records.
     """
+    width = _first_lines(spark, paths).agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
+    columns = [f"c{i}" for i in range(max(width, 2))]
+    reader = spark.read.schema(", ".join(f"{c} string" for c in columns)).options(
+        header="false", quote='"', escape='"', multiLine=str(multi_line).lower(), emptyValue="", mode="PERMISSIVE",
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", maxColumns=str(max(20480, width + 1)))
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), place.alias("place"), _cells(
-        F.regexp_replace("value", "^\ufeff|\r$", "")).alias("cells"))
-    heads = lines.where(F.col("place.block") == 0).groupBy("path").agg(
+    clean = F.transform(F.array(*columns), lambda c: F.regexp_replace(c, "^\ufeff|\r$", ""))
+    rows = reader.csv(paths).select(F.col("_metadata.file_path").alias("path"), place.alias("place"), clean.alias("cells"))
+    heads = rows.where(F.col("place.block") == 0).groupBy("path").agg(
         F.min("place").alias("_first"), F.min_by("cells", "place").alias("first"))
-    return lookup_join(lines, heads, ["path"], "inner").select(
+    return lookup_join(rows, heads, ["path"], "inner").select(
         "path", "cells", "first", (F.col("place") == F.col("_first")).alias("heads"))
 
 
-def _named_cells(spark: SparkSession, paths: str | list[str], required: list[str]) -> DataFrame:
-    """The required columns, found by each file's own first line; a file without one of them is refused."""
-    rows = csv_rows(spark, paths)
-    names = F.transform("first", lambda c: strip_unicode(c))
+def _named_cells(spark: SparkSession, paths: str | list[str], required: list[str], multi_line: bool) -> DataFrame:
+    """The required columns, found by each file's own first record; a file without one of them is refused."""
+    rows = csv_rows(spark, paths, multi_line)
+    names = F.transform("first", lambda c: F.coalesce(strip_unicode(c), F.lit("")))
     short = rows.where(F.col("heads")).select("path", names.alias("names")).where(
         ~F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.array_contains("names", c))).take(1)
     if short:
         raise ValueError(f"missing columns {[c for c in required if c not in short[0].names]} in {short[0].path}; found {short[0].names}")
     cell = lambda c: F.try_element_at("cells", F.array_position(names, F.lit(c)).cast("int")).alias(c)
-    blank = (F.size("cells") == 1) & (F.col("cells")[0] == "")
-    return rows.where(~F.col("heads") & ~blank).select(*[cell(c) for c in required])
+    return rows.where(~F.col("heads")).select(*[cell(c) for c in required])
 
 
-def read_worklist(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Page name and address of every entry, trimmed; a list without those columns is refused."""
-    rows = _named_cells(spark, paths, WORKLIST_COLUMNS)
+def read_worklist(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
+    """Page name and address of every entry, trimmed, empty where there is none; a list without those columns is refused."""
+    rows = _named_cells(spark, paths, WORKLIST_COLUMNS, multi_line)
     return rows.select(*[strip_unicode(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in WORKLIST_COLUMNS])
 
 
-def read_failures(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_failures(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
     """Addresses in a failure ledger, once each."""
-    rows = _named_cells(spark, paths, ["url"]).where(F.coalesce("url", F.lit("")) != "")
+    rows = _named_cells(spark, paths, ["url"], multi_line).where(F.coalesce("url", F.lit("")) != "")
     return rows.select(strip_unicode(F.col("url")).alias("url")).distinct()
 
 
-def read_ledger(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_ledger(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
     """Distinct file names of download ledgers, with or without a header line.
 
-    A file whose first line has a ``filename`` cell is read by the place of that cell, however
+    A file whose first record has a ``filename`` cell is read by the place of that cell, however
     many columns there are; in others the second column counts where it ends in ``.mp4``.
     """
-    rows = csv_rows(spark, paths)
+    rows = csv_rows(spark, paths, multi_line)
     place = F.array_position(F.transform("first", lambda c: strip_unicode(c)), F.lit("filename")).cast("int")
     second = F.try_element_at("cells", F.lit(2))
     name = F.when(place > 0, F.when(~F.col("heads"), F.try_element_at("cells", place))).when(second.endswith(".mp4"), second)

@@ -1,5 +1,6 @@
 """Cases that small mistakes in readers, sinks, merges and streams would lose rows on."""
 
+import csv
 import json
 
 import pytest
@@ -9,6 +10,7 @@ from sedgemill.operators import api_index as api, feed, flatten as fl, merge as
 from sedgemill.sinks import current_tables, write_tables
 from sedgemill.sinks.archives import archive_records, write_archives
 from sedgemill.sources import read_archives, read_ledger, read_worklist
+from sedgemill.sources.lists import read_failures
 from sedgemill.streaming.feed import upsert_feed_store
 
 SOURCE = "slug string, name string, orig_url string, handler string, scraped_at string"
@@ -65,6 +67,46 @@ def test_work_lists_with_columns_in_another_order(spark, tmp_path):
         read_worklist(spark, [*paths, write(tmp_path / "c.csv", "url\nu4\n")])
 
 
+CSV_LISTS = {
+    "first": "page_name,url\n,https://a/posts/1\np,https://a/posts/2\n,\n \n\n",
+    "quoted": 'url,"page_name"\r\n"https://a/3?x=1,2","a ""b"" c"\r\n"u\r\n4","two\r\nlines"\r\n"",q\r\n',
+    "marked": '\ufeffpage_name,url,note\np5,u5\np6,u6,"n\n\nn",more,cells\n"","u7"\n',
+    "marked_quoted": '\ufeff"url","page_name"\nu8,"p\n8"\n',
+    "bare": "page_name,url",
+}
+CSV_LEDGERS = {
+    "named": "timestamp,filename,filesize\n,x.mp4,3\n2026,,4\n,,\n2026,\"a,\nb.mp4\",1\n",
+    "plain": "2026,y.mp4,3\n,z.mp4,3\n2026,note.txt\nalone\n",
+    "wide": "filename,a,b\nq.bin,1,2\n,1,2\n",
+}
+
+
+def test_lists_are_read_as_the_csv_module_reads_them(spark, tmp_path):
+    for name, text in {**CSV_LISTS, **CSV_LEDGERS}.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    records = lambda name: list(csv.reader(open(tmp_path / f"{name}.csv", newline="", encoding="utf-8-sig")))
+    want = []
+    for name in CSV_LISTS:
+        rows = csv.DictReader(open(tmp_path / f"{name}.csv", newline="", encoding="utf-8-sig"))
+        want += [((r["page_name"] or "").strip(), (r["url"] or "").strip()) for r in rows]
+    got = [r for n in CSV_LISTS for r in map(tuple, read_worklist(spark, str(tmp_path / f"{n}.csv")).collect())]
+    assert sorted(c.replace("\r\n", "\n") for r in got for c in r) == sorted(c.replace("\r\n", "\n") for r in want for c in r)
+    assert len(got) == len(want)
+    together = read_worklist(spark, [str(tmp_path / f"{n}.csv") for n in CSV_LISTS])
+    assert sorted(map(tuple, together.collect())) == sorted(got)
+    urls = {u for _, u in got if u}
+    assert {r.url for r in read_failures(spark, [str(tmp_path / f"{n}.csv") for n in CSV_LISTS]).collect()} == urls
+    names = set()
+    for name in CSV_LEDGERS:
+        first, *rest = records(name)
+        if "filename" in first:
+            names |= {r[first.index("filename")] for r in rest if len(r) > first.index("filename")}
+        else:
+            names |= {r[1] for r in [first, *rest] if len(r) > 1 and r[1].endswith(".mp4")}
+    got = read_ledger(spark, [str(tmp_path / f"{n}.csv") for n in CSV_LEDGERS]).collect()
+    assert sorted(r.filename for r in got) == sorted(names - {""})
+
+
 def test_index_without_items_or_without_its_first_page(spark):
     pages = lambda rows: spark.createDataFrame(rows, "page long, items_total long")
     assert api.expected_pages(pages([(1, 0)])).count() == 0 and api.api_failed_pages(pages([(1, 0)])).count() == 0
