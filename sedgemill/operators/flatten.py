@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sedgemill.functions import clean_text, variant_text
 from sedgemill.operators.shuffles import keep_last
+from sedgemill.session import written
 
 POST_FIELDS = [
     "source_name", "date", "date_iso", "original_url", "local_url", "content", "continuation_url",
@@ -27,25 +28,30 @@ def _default_slug() -> Column:
     return F.when(absent, F.col("file_slug")).otherwise(variant_text(F.col("metadata"), "$.slug"))
 
 
-def flatten_sources(docs: DataFrame) -> DataFrame:
+def _source_fields() -> dict[str, Column]:
     meta = lambda key: clean_text(variant_text(F.col("metadata"), f"$.{key}"))
-    return docs.where(F.col("error").isNull()).select(
-        clean_text(_default_slug()).alias("slug"),
-        meta("name").alias("name"),
-        meta("orig_url").alias("orig_url"),
-        meta("handler").alias("handler"),
-        clean_text(variant_text(F.col("scraped_at"), "$")).alias("scraped_at"),
-        F.substring_index("path", "/", -1).alias("source_file"),
-        "path",
-        "part",
-    )
+    return {
+        "slug": clean_text(_default_slug()),
+        **{key: meta(key) for key in ("name", "orig_url", "handler")},
+        "scraped_at": clean_text(variant_text(F.col("scraped_at"), "$")),
+        "source_file": F.substring_index("path", "/", -1),
+    }
+
+
+def flatten_sources(docs: DataFrame) -> DataFrame:
+    fields = [c.alias(name) for name, c in _source_fields().items()]
+    return docs.where(F.col("error").isNull()).select(*fields, "path", "part")
 
 
-def explode_posts(docs: DataFrame, require_id: bool = True) -> DataFrame:
-    """One row per post that has an id, cleaned, with its nested lists still attached."""
+def explode_posts(docs: DataFrame, require_id: bool = True, carry: list[str] | None = None) -> DataFrame:
+    """One row per post that has an id, cleaned, with its nested lists still attached.
+
+    With ``carry`` every document has a row, with those columns of it, even if it has no posts.
+    """
     # Unreadable documents have no posts.
+    unnest = F.posexplode if carry is None else F.posexplode_outer
     posts = docs.select(
-        "path", "file_slug", "part", _default_slug().alias("_slug"), F.posexplode("posts").alias("post_pos", "_post")
+        "path", "file_slug", "part", *(carry or []), _default_slug().alias("_slug"), unnest("posts").alias("post_pos", "_post")
     )
     field = lambda key: clean_text(variant_text(F.col("_post"), f"$.{key}"))
     items = lambda key: F.try_variant_get("_post", f"$.{key}", "array<variant>")
@@ -53,7 +59,7 @@ def explode_posts(docs: DataFrame, require_id: bool = True) -> DataFrame:
     slug = F.when(absent, F.col("_slug")).otherwise(variant_text(F.col("_post"), "$.source_slug"))
     filled = lambda name: (F.coalesce(F.size(name), F.lit(0)) > 0).cast("int")
     rows = posts.select(
-        "path", "file_slug", "part", "post_pos",
+        "path", "file_slug", "part", "post_pos", *(carry or []),
         field("id").alias("id"),
         clean_text(slug).alias("source_slug"),
         *[field(k).alias(k) for k in POST_FIELDS],
@@ -106,12 +112,23 @@ class Tables:
     errors: DataFrame
 
 
-def flatten(docs: DataFrame) -> Tables:
-    """All five relations; the parsed posts are shared by the four that need them."""
-    posts = explode_posts(docs)
-    return Tables(
-        flatten_sources(docs), flatten_posts(posts), flatten_media(posts), flatten_links(posts), flatten_errors(posts)
-    )
+def flatten(docs: DataFrame, once: bool = False) -> Tables:
+    """All five relations. They are lazy: each parses the documents when it is used.
+
+    With ``once`` the documents are parsed now, one time, into a written table of posts that
+    carries each document's source on one of its rows; the relations read that.
+    """
+    if not once:
+        sources, posts = flatten_sources(docs), explode_posts(docs)
+    else:
+        source = F.struct(*[c.alias(name) for name, c in _source_fields().items()])
+        rows = explode_posts(docs.where(F.col("error").isNull()).withColumn("_source", source), False, ["_source"])
+        heads = F.coalesce("post_pos", F.lit(0)) == 0
+        rows = rows.withColumn("_source", F.when(heads, F.col("_source"))).where(heads | F.col("id").isNotNull())
+        rows = written(rows, "load-posts")
+        sources = rows.where(F.col("_source").isNotNull()).select("_source.*", "path", "part")
+        posts = rows.where(F.col("id").isNotNull()).drop("_source")
+    return Tables(sources, flatten_posts(posts), flatten_media(posts), flatten_links(posts), flatten_errors(posts))
 
 
 def _read_order() -> list[Column]:

@@ -1,78 +1,131 @@
-"""The stored relations: versioned Parquet, replaced on their keys."""
+"""The stored relations: Parquet in buckets of sources, replaced on their keys bucket by bucket.
+
+A load writes the buckets it touches under its own version, then adds one row to the commit
+log; a bucket's rows are those of its newest committed version, so files of other buckets stay
+as they are, all five tables change together, and a failed load changes nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sedgemill.operators.flatten import (
-    ERROR_COLUMNS, LINK_COLUMNS, MEDIA_COLUMNS, POST_COLUMNS, SOURCE_COLUMNS, Tables, upsert_posts, upsert_sources,
+    ERROR_COLUMNS, LINK_COLUMNS, MEDIA_COLUMNS, POST_COLUMNS, SOURCE_COLUMNS, Tables, upsert_sources,
 )
 from sedgemill.operators.shuffles import keep_last, lookup_join
+from sedgemill.session import written
 
 CHILDREN = {"media": MEDIA_COLUMNS, "links": LINK_COLUMNS, "errors": ERROR_COLUMNS}
+COLUMNS = {"sources": SOURCE_COLUMNS, "posts": POST_COLUMNS, **CHILDREN}
+FLAGS = ("has_media", "has_links", "has_errors")
+
 
+@dataclass(frozen=True)
+class State:
+    """What is committed: the last version, the number of buckets, and the version of each bucket (0: nothing stored)."""
 
-def _current_version(spark: SparkSession, root: str) -> int:
+    version: int
+    buckets: int
+    versions: list[int]
+
+
+def store_state(spark: SparkSession, root: str) -> State | None:
+    """The committed state, or None where nothing was stored yet. The driver gets one number per bucket."""
     try:
-        log = spark.read.schema("version bigint").parquet(f"{root}/committed")
+        log = spark.read.schema("version bigint, buckets int, touched array<int>").parquet(f"{root}/committed")
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        return 0
-    return log.agg(F.max("version")).first()[0] or 0
+        return None
+    last = log.agg(F.max("version"), F.max("buckets")).first()
+    if last[0] is None:
+        return None
+    versions = [0] * last[1]
+    for row in log.select("version", F.explode("touched").alias("b")).groupBy("b").agg(F.max("version").alias("v")).collect():
+        versions[row["b"]] = row["v"]
+    return State(last[0], last[1], versions)
+
+
+def _bucket(slug: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(slug), F.lit(buckets)).cast("int")
+
+
+def _stored(spark: SparkSession, root: str, name: str, state: State, only: list[int] | None = None) -> DataFrame:
+    """Current rows of a table with their ``bucket``; of the buckets ``only``, where given. Other files are not listed or read."""
+    wanted = range(state.buckets) if only is None else only
+    versions = sorted({state.versions[b] for b in wanted} - {0})
+    columns = ", ".join(f"{c} {'int' if c in FLAGS else 'string'}" for c in COLUMNS[name])
+    schema = f"{columns}, version bigint, bucket int"
+    if not versions:
+        return spark.createDataFrame([], schema).drop("version")
+    rows = spark.read.schema(schema).option("basePath", f"{root}/{name}").parquet(*[f"{root}/{name}/version={v}" for v in versions])
+    current = F.col("version") == F.array(*[F.lit(v) for v in state.versions])[F.col("bucket")]
+    chosen = F.lit(True) if only is None else F.col("bucket").isin(list(only))
+    return rows.where(current & chosen).drop("version")
 
 
 def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame] | None:
-    """The last committed version, or None where nothing was stored yet."""
-    version = _current_version(spark, root)
-    if version == 0:
-        return None
-    names = ["sources", "posts", *CHILDREN]
-    return {n: spark.read.parquet(f"{root}/version={version}/{n}") for n in names}
+    """The committed rows of the five tables, or None where nothing was stored yet."""
+    state = store_state(spark, root)
+    return state and {name: _stored(spark, root, name, state).select(*COLUMNS[name]) for name in COLUMNS}
 
 
-def write_tables(tables: Tables, root: str, children: str = "replace") -> int:
+def write_tables(tables: Tables, root: str, children: str = "replace", buckets: int = 64) -> int:
     """Merge a load into the stored tables and commit the result as a new version.
 
     Sources and posts are replaced on their keys. ``children="replace"`` keeps the child
     rows of the winning record of each post only; ``"append"`` adds all of them, so
-    loading a file twice doubles its child rows. All five tables are written under a new
-    version first; adding its number to the commit log makes them current together, and a
-    failed run leaves the previous version in force.
+    loading a file twice doubles its child rows. Rows lie in ``buckets`` by a hash of their
+    source's slug (the number is fixed by the first load). Written anew are the buckets of
+    the load's sources and posts, and those in which one of its posts was stored before
+    under another source; of all others only the ids are read, to find such posts.
+
+    Give it ``flatten(docs, once=True)``: the winners are joined to what was parsed once.
     """
     spark = tables.posts.sparkSession
-    stored = current_tables(spark, root)
-    version = _current_version(spark, root) + 1
-    target = f"{root}/version={version}"
-
-    sources, posts = upsert_sources(tables.sources), upsert_posts(tables.posts)
-    if stored:
-        aged = lambda old, new: old.withColumn("_load", F.lit(0)).unionByName(new.withColumn("_load", F.lit(1)))
-        sources = keep_last(aged(stored["sources"], sources), ["slug"], ["_load"]).select(*SOURCE_COLUMNS)
-        posts = keep_last(aged(stored["posts"], posts), ["id"], ["_load"]).select(*POST_COLUMNS)
-    sources.write.mode("overwrite").parquet(f"{target}/sources")
-    posts.write.mode("overwrite").parquet(f"{target}/posts")
-
-    if children == "replace":
-        # Place of the record that wins for each id in this load.
-        place = F.struct(F.split("path", "/").alias("p"), "part", "post_pos")
-        winners = tables.posts.groupBy("id").agg(F.max(place).alias("_place")).select(
-            F.col("id").alias("post_id"), "_place")
+    state = store_state(spark, root) or State(0, buckets, [0] * buckets)
+    version, parts = state.version + 1, state.buckets
+
+    # Of each id the place of the record that wins in this load, narrow and once.
+    place = F.struct(F.split("path", "/").alias("p"), "part", "post_pos")
+    winners = written(tables.posts.groupBy("id").agg(F.max(place).alias("_place")), "load-winners")
+    ids = winners.select("id")
+
+    touched = _buckets_of(tables.sources, "slug", parts) | _buckets_of(tables.posts, "source_slug", parts)
+    others = [b for b in range(parts) if b not in touched]
+    elsewhere = _stored(spark, root, "posts", state, others).select("id", "bucket").join(ids, "id", "left_semi")
+    touched |= {r["bucket"] for r in elsewhere.select("bucket").distinct().collect()}
+    old = {name: _stored(spark, root, name, state, sorted(touched)) for name in COLUMNS}
+
+    def write(name: str, rows: DataFrame) -> None:
+        placed = rows.withColumn("bucket", _bucket("slug" if name == "sources" else "source_slug", parts))
+        # Rows of a bucket come together in as few files as their size asks for; a large one is split.
+        placed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/{name}/version={version}")
+
+    aged = lambda rows, load: rows.select(*SOURCE_COLUMNS).withColumn("_load", F.lit(load))
+    sources = aged(old["sources"], 0).unionByName(aged(upsert_sources(tables.sources), 1))
+    write("sources", keep_last(sources, ["slug"], ["_load"]).select(*SOURCE_COLUMNS))
+
+    def winning(rows: DataFrame, key: str) -> DataFrame:
+        best = winners.withColumnRenamed("id", key)
+        return lookup_join(rows.withColumn("_here", place), best, [key], "inner").where(F.col("_here") == F.col("_place"))
+
+    posts = winning(tables.posts, "id").select(*POST_COLUMNS)
+    write("posts", lookup_join(old["posts"], ids, ["id"], "left_anti").select(*POST_COLUMNS).unionByName(posts))
     for name, columns in CHILDREN.items():
-        rows = getattr(tables, name)
+        rows, kept = getattr(tables, name), old[name]
         if children == "replace":
-            here = F.struct(F.split("path", "/").alias("p"), "part", "post_pos")
-            rows = lookup_join(rows.withColumn("_here", here), winners, ["post_id"], "inner").where(
-                F.col("_here") == F.col("_place"))
-        rows = rows.select(*columns)
-        if stored:
-            kept = stored[name]
-            if children == "replace":
-                kept = lookup_join(kept, winners.select("post_id"), ["post_id"], "left_anti")
-            rows = kept.select(*columns).unionByName(rows)
-        rows.write.mode("overwrite").parquet(f"{target}/{name}")
-
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode("append").parquet(
-        f"{root}/committed")
+            rows = winning(rows, "post_id")
+            kept = lookup_join(kept, ids.withColumnRenamed("id", "post_id"), ["post_id"], "left_anti")
+        write(name, kept.select(*columns).unionByName(rows.select(*columns)))
+
+    log = spark.createDataFrame([(version, parts, sorted(touched))], "version bigint, buckets int, touched array<int>")
+    log.coalesce(1).write.mode("append").parquet(f"{root}/committed")
     return version
+
+
+def _buckets_of(rows: DataFrame, slug: str, buckets: int) -> set[int]:
+    return {r["b"] for r in rows.select(_bucket(slug, buckets).alias("b")).distinct().collect()}

@@ -9,6 +9,7 @@ from sedgemill.operators import api_index, dedup, feed, flatten as fl, html, mer
 from sedgemill.operators.shuffles import lookup_join, with_row_index
 from sedgemill.operators.upsert import insert_or_ignore
 from sedgemill.sinks import archive_records, current_tables, write_archives, write_tables
+from sedgemill.sinks.tables import store_state
 from sedgemill.sources import archive_documents, read_archives, read_ledger, read_manifest, read_worklist
 
 
@@ -260,6 +261,60 @@ def test_tables_replace_or_append_children(spark, tmp_path):
     assert current_tables(spark, root)["links"].count() == 6
 
 
+def archive(slug, ids, word, **fields):
+    posts = [{"id": str(i), "content": f"{word} {i}", "links": [{"text": word, "url": f"{word}{i}"}], **fields} for i in ids]
+    return {"metadata": {"slug": slug, "name": f"{slug} {word}"}, "posts": posts}
+
+
+def stored_files(root):
+    return {str(p.relative_to(root)): (p.stat().st_mtime_ns, p.stat().st_size) for p in root.rglob("*.parquet") if "committed" not in p.parts}
+
+
+def test_a_load_writes_only_the_buckets_it_touches(spark, tmp_path):
+    root = tmp_path / "store"
+    every = documents(spark, *[archive(f"s{i}", range(10 * i, 10 * i + 5), "old") for i in range(40)], "{broken")
+    assert write_tables(fl.flatten(every, once=True), str(root), buckets=16) == 1
+    before, state = stored_files(root), store_state(spark, str(root))
+    again = documents(spark, archive("s7", [70, 71, 79], "new"), {"metadata": {"slug": "empty"}, "posts": []})
+    assert write_tables(fl.flatten(again, once=True), str(root), buckets=99) == 2
+    after, now = stored_files(root), store_state(spark, str(root))
+    assert {k: v for k, v in after.items() if k in before} == before and now.buckets == 16
+    touched = [b for b in range(16) if now.versions[b] == 2]
+    assert 1 <= len(touched) <= 2 and all(now.versions[b] == state.versions[b] for b in range(16) if b not in touched)
+    assert {k.split("bucket=")[1].split("/")[0] for k in set(after) - set(before)} == {str(b) for b in touched}
+    tables = current_tables(spark, str(root))
+    want = [(str(10 * i + j), f"s{i}", "old") for i in range(40) for j in range(5) if (i, j) not in ((7, 0), (7, 1))]
+    want += [("70", "s7", "new"), ("71", "s7", "new"), ("79", "s7", "new")]
+    posts = tables["posts"].withColumn("word", F.substring_index("content", " ", 1))
+    assert rows(posts, "id", "source_slug", "word") == sorted(want, key=repr)
+    assert rows(tables["links"], "post_id", "source_slug", "text") == sorted(want, key=repr)
+    names = {f"s{i} old" for i in range(40) if i != 7} | {"s7 new", None}
+    assert {r.name for r in tables["sources"].collect()} == names and tables["sources"].count() == 41
+
+
+def test_a_post_that_moves_to_another_source_leaves_the_old_one(spark, tmp_path):
+    root = str(tmp_path / "store")
+    write_tables(fl.flatten(documents(spark, *[archive(f"s{i}", [i], "old") for i in range(30)]), once=True), root, buckets=64)
+    write_tables(fl.flatten(documents(spark, archive("s100", [3, 4], "moved")), once=True), root)
+    tables = current_tables(spark, root)
+    moved = [r for r in rows(tables["posts"], "id", "source_slug") if r[0] in ("3", "4")]
+    assert moved == [("3", "s100"), ("4", "s100")] and tables["posts"].count() == 30 and tables["links"].count() == 30
+    touched = store_state(spark, root).versions.count(2)
+    assert touched <= 3
+    scan = current_tables(spark, root)["posts"]._jdf.queryExecution().toString()
+    assert "PartitionFilters" in scan
+
+
+def test_relations_from_one_parse_are_the_lazy_ones(spark):
+    docs = documents(spark, {"metadata": {"slug": "a"}, "posts": [{"text": "no id"}, {"id": "1", "media": [{"type": "image", "url": "u"}]}]},
+                     {"metadata": {"slug": "b"}, "scraped_at": "t", "posts": []}, {"posts": None}, "{broken", archive("c", [2, 3], "x"))
+    lazy, once = fl.flatten(docs), fl.flatten(docs, once=True)
+    for name in ("sources", "posts", "media", "links", "errors"):
+        assert rows(getattr(lazy, name), *getattr(lazy, name).columns) == rows(getattr(once, name), *getattr(lazy, name).columns)
+    plan = once.media._jdf.queryExecution().toString()
+    assert "from_json" not in plan and "parse_json" not in plan
+
+
 def test_merged_errors_keep_their_order_in_the_archive(spark, tmp_path):
     _, _, _, groups, errors = merged(spark, OLD, NEW)
     posts = mg.merge_posts(groups).drop("source_slug").withColumn("source_slug", F.col("file_slug"))
