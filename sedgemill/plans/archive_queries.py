@@ -211,7 +211,7 @@ def write_tables_query(spark, sf_dir):
     """Load one snapshot, then the other over it; read the stored posts and children back."""
     root = new_folder(spark, "tables")
     for side in ("old", "new"):
-        write_tables(fl.flatten(snapshot_docs(spark, sf_dir, side), once=True), root)
+        write_tables(fl.flatten(snapshot_docs(spark, sf_dir, side), once=True), root, buckets=16)
     stored = current_tables(spark, root)
     rows = stored["posts"]
     for kind in ("errors", "media", "links"):

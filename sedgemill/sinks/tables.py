@@ -7,6 +7,7 @@ as they are, all five tables change together, and a failed load changes nothing.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -94,38 +95,41 @@ def write_tables(tables: Tables, root: str, children: str = "replace", buckets:
     winners = written(tables.posts.groupBy("id").agg(F.max(place).alias("_place")), "load-winners")
     ids = winners.select("id")
 
-    touched = _buckets_of(tables.sources, "slug", parts) | _buckets_of(tables.posts, "source_slug", parts)
+    slugs = tables.sources.select("slug").unionByName(tables.posts.select(F.col("source_slug").alias("slug")))
+    touched = {r["b"] for r in slugs.select(_bucket("slug", parts).alias("b")).distinct().collect()}
     others = [b for b in range(parts) if b not in touched]
     elsewhere = _stored(spark, root, "posts", state, others).select("id", "bucket").join(ids, "id", "left_semi")
     touched |= {r["bucket"] for r in elsewhere.select("bucket").distinct().collect()}
     old = {name: _stored(spark, root, name, state, sorted(touched)) for name in COLUMNS}
 
-    def write(name: str, rows: DataFrame) -> None:
-        placed = rows.withColumn("bucket", _bucket("slug" if name == "sources" else "source_slug", parts))
-        # Rows of a bucket come together in as few files as their size asks for; a large one is split.
-        placed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/{name}/version={version}")
-
     aged = lambda rows, load: rows.select(*SOURCE_COLUMNS).withColumn("_load", F.lit(load))
     sources = aged(old["sources"], 0).unionByName(aged(upsert_sources(tables.sources), 1))
-    write("sources", keep_last(sources, ["slug"], ["_load"]).select(*SOURCE_COLUMNS))
 
     def winning(rows: DataFrame, key: str) -> DataFrame:
         best = winners.withColumnRenamed("id", key)
         return lookup_join(rows.withColumn("_here", place), best, [key], "inner").where(F.col("_here") == F.col("_place"))
 
     posts = winning(tables.posts, "id").select(*POST_COLUMNS)
-    write("posts", lookup_join(old["posts"], ids, ["id"], "left_anti").select(*POST_COLUMNS).unionByName(posts))
+    new = {
+        "sources": keep_last(sources, ["slug"], ["_load"]).select(*SOURCE_COLUMNS),
+        "posts": lookup_join(old["posts"], ids, ["id"], "left_anti").select(*POST_COLUMNS).unionByName(posts),
+    }
     for name, columns in CHILDREN.items():
         rows, kept = getattr(tables, name), old[name]
         if children == "replace":
             rows = winning(rows, "post_id")
             kept = lookup_join(kept, ids.withColumnRenamed("id", "post_id"), ["post_id"], "left_anti")
-        write(name, kept.select(*columns).unionByName(rows.select(*columns)))
+        new[name] = kept.select(*columns).unionByName(rows.select(*columns))
+
+    def write(name: str) -> None:
+        placed = new[name].withColumn("bucket", _bucket("slug" if name == "sources" else "source_slug", parts))
+        # Rows of a bucket come together in as few files as their size asks for; a large one is split.
+        placed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/{name}/version={version}")
+
+    with ThreadPoolExecutor(len(new)) as pool:  # the five jobs share the cluster
+        list(pool.map(write, new))
 
     log = spark.createDataFrame([(version, parts, sorted(touched))], "version bigint, buckets int, touched array<int>")
     log.coalesce(1).write.mode("append").parquet(f"{root}/committed")
     return version
 
-
-def _buckets_of(rows: DataFrame, slug: str, buckets: int) -> set[int]:
-    return {r["b"] for r in rows.select(_bucket(slug, buckets).alias("b")).distinct().collect()}
