@@ -80,11 +80,11 @@ def feed_extract_media_query(spark, sf_dir):
 STATUS_SQL = with_views("f_feed") + """,
 marked AS (SELECT *, min(CASE WHEN is_throttle THEN chunk_no END) OVER (PARTITION BY response_id, page) AS stop FROM f_feed),
 arrived AS (
-  SELECT *, CAST(split_part(pid, '_', 1) AS BIGINT) % 3 = 0 AS stored,
+  SELECT *, CAST(split_part(pid, '_', 1) AS BIGINT) % 3 = 0 AS stored, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS seconds,
     row_number() OVER (PARTITION BY page, pid ORDER BY response_id, chunk_no) AS rn
   FROM marked WHERE stop IS NULL OR chunk_no < stop),
 statuses AS (
-  SELECT page, pid, response_id, chunk_no, CASE WHEN rn > 1 THEN 'IGN-SEEN' WHEN stored THEN 'IGN-DB' ELSE 'NEW' END AS status
+  SELECT page, pid, response_id, chunk_no, text, seconds, CASE WHEN rn > 1 THEN 'IGN-SEEN' WHEN stored THEN 'IGN-DB' ELSE 'NEW' END AS status
   FROM arrived)
 """
 
@@ -121,25 +121,32 @@ def feed_media_link_query(spark, sf_dir):
     return linked.select("page", "pid", "media_id", "type")
 
 
-@query("stream_feed_new", STATUS_SQL + "SELECT page, pid FROM statuses WHERE status = 'NEW'")
+@query("stream_feed_new", STATUS_SQL + "SELECT page, pid, text, seconds AS ts FROM statuses WHERE status = 'NEW'")
 def stream_feed_new_query(spark, sf_dir):
     """The stream run to its end over the captured responses, read back from its sink."""
     target, checkpoint = new_folder(spark, "stream-new"), new_folder(spark, "stream-new-state")
     arriving = read_feed_responses(spark, feed_captures(spark, sf_dir, True), stream=True)
     stream_feed_new(arriving, store(spark, sf_dir), target, checkpoint).awaitTermination()
-    return spark.read.parquet(target).select("page", "pid")
+    return spark.read.parquet(target).select("page", "pid", "text", "ts")
 
 
 @query("stream_upsert_store", STATUS_SQL + """,
-firsts AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY response_id, chunk_no) AS r FROM arrived)
-SELECT pid AS id, page, text, left(sha1(pid), 16) AS short_id FROM firsts WHERE r = 1
+firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY pid ORDER BY response_id, chunk_no) AS r, response_id * 10 + chunk_no AS n FROM arrived)
+SELECT pid AS id, page, text, seconds AS ts, left(sha1(pid), 16) AS short_id,
+  CASE WHEN n % 3 = 0 THEN concat('img_', n, ' https://cdn.example.com/f/', n, '.jpg') END AS image,
+  CASE WHEN n % 5 = 0 THEN concat('vid_', n, ' ', n) END AS video
+FROM firsts WHERE r = 1
 """)
 def stream_upsert_store_query(spark, sf_dir):
-    """Store filled by the stream in micro-batches."""
+    """Store filled by the stream in micro-batches; posts with the media stored for them."""
     target, checkpoint = new_folder(spark, "stream-store"), new_folder(spark, "stream-store-state")
     arriving = read_feed_responses(spark, feed_captures(spark, sf_dir, True), stream=True)
     upsert_feed_store(arriving, target, checkpoint).awaitTermination()
-    return spark.read.parquet(f"{target}/posts").select("id", "page", "text", "short_id")
+    kind = lambda name: F.max(F.when(F.col("type") == name, F.concat_ws(" ", "id", "path"))).alias(name)
+    media = spark.read.parquet(f"{target}/media").groupBy(F.col("post_id").alias("id")).agg(kind("image"), kind("video"))
+    posts = spark.read.parquet(f"{target}/posts").select("id", "page", "text", "ts", "short_id")
+    return posts.join(media, "id", "left")
 
 
 @query("short_id", with_views("f_feed") + """

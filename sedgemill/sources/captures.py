@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Fixed value: address fragment of the responses that carry posts.
 FEED_URL_MARK = "graphql"
 # One captured response per line.
-RESPONSE_SCHEMA = "response_id bigint, page string, url string, body string"
+RESPONSE_SCHEMA = "response_id bigint, page string, url string, body string, arrived timestamp"
 API_SCHEMA = "page bigint, data array<variant>, meta struct<pagination:struct<itemsTotal:bigint>>"
 
 
@@ -20,11 +20,15 @@ def feed_responses(captured: DataFrame) -> DataFrame:
 def read_feed_responses(
     spark: SparkSession, paths: str | list[str], stream: bool = False, max_files: int | None = None
 ) -> DataFrame:
-    """Captured feed responses; a stream takes at most ``max_files`` files into one micro-batch."""
+    """Captured feed responses; a stream takes at most ``max_files`` files into one micro-batch.
+
+    ``arrived`` is the response's own time, else that of its file.
+    """
     reader = spark.readStream if stream else spark.read
     if stream and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return feed_responses(reader.schema(RESPONSE_SCHEMA).json(paths))
+    rows = reader.schema(RESPONSE_SCHEMA).json(paths)
+    return feed_responses(rows.withColumn("arrived", F.coalesce("arrived", "_metadata.file_modification_time")))
 
 
 def read_api_pages(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:

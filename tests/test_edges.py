@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from sedgemill.operators import api_index as api, feed, flatten as fl, merge as mg, planning as pl
 from sedgemill.sinks import current_tables, write_tables
 from sedgemill.sinks.archives import archive_records, write_archives
-from sedgemill.sources import read_archives, read_ledger, read_worklist
+from sedgemill.sources import read_archives, read_feed_responses, read_ledger, read_worklist
 from sedgemill.sources.lists import read_failures
-from sedgemill.streaming.feed import upsert_feed_store
+from sedgemill.streaming.feed import stored_before, stream_feed_new, upsert_feed_store
 
 SOURCE = "slug string, name string, orig_url string, handler string, scraped_at string"
 
@@ -175,4 +175,68 @@ def test_stream_keeps_media_of_the_first_arrival_only(spark, tmp_path):
     posts = {r.id: r.text for r in spark.read.parquet(f"{target}/posts").collect()}
     media = {r.id: r.post_id for r in spark.read.parquet(f"{target}/media").collect()}
     assert posts == {"a": "first", "b": "other", "c": "new"} and media == {"img_m1": "a", "img_m3": "b", "img_m5": "c"}
-    assert feed.ARRIVAL
+    known = stored_before(spark, f"{target}/posts", 2, [0, 1])
+    assert "PartitionFilters" in known._jdf.queryExecution().toString()
+    buckets = lambda b: {r.id for r in stored_before(spark, f"{target}/posts", 2, b).collect()}
+    assert buckets(list(range(32))) == {"a", "b", "c"} and buckets([]) == set()
+    assert {r.id for r in stored_before(spark, f"{target}/posts", 1, list(range(32))).collect()} == {"a", "b"}
+    assert sorted(b for i in "abc" for b in range(32) if i in buckets([b])) == sorted(
+        r.b for r in spark.sql("SELECT pmod(xxhash64(id), 32) AS b FROM VALUES ('a'), ('b'), ('c') AS t(id)").collect())
+
+
+def feed_file(path, n, arrived, *stories):
+    rows = {"response_id": n, "page": "p", "url": "/graphql", "body": body(*stories), "arrived": arrived}
+    return write(path, json.dumps(rows))
+
+
+def test_new_posts_of_a_stream_are_first_arrivals(spark, tmp_path):
+    store = spark.createDataFrame([("p", "z")], "page string, id string")
+    folder, target, mark = tmp_path / "in", str(tmp_path / "new"), str(tmp_path / "mark")
+    run = lambda: stream_feed_new(
+        read_feed_responses(spark, str(folder), stream=True, max_files=2), store, target, mark).awaitTermination()
+    found = lambda: sorted((r.pid, r.text, r.response_id) for r in spark.read.parquet(target).collect())
+    feed_file(folder / "1.json", 5, "2026-01-01T10:00:00Z", ("a", "later", "m1"), ("a", "again", "m2"), ("z", "stored", "m3"))
+    feed_file(folder / "2.json", 3, "2026-01-01T10:00:00Z", ("a", "first", "m4"), ("b", "b", "m5"))
+    run()
+    assert found() == [("a", "first", 3), ("b", "b", 3)]
+    feed_file(folder / "3.json", 1, "2026-01-01T11:00:00Z", ("a", "earlier number, later batch", "m6"), ("c", "c", "m7"))
+    run()
+    want = [("a", "first", 3), ("b", "b", 3), ("c", "c", 1)]
+    assert found() == want
+    # The last batch ended before its commit was noted: it runs again and gives the same.
+    commits = sorted((tmp_path / "mark" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    for crc in (tmp_path / "mark" / "commits").glob(f".{commits[-1].name}.crc"):
+        crc.unlink()
+    run()
+    assert found() == want
+
+
+def test_bounded_stream_forgets_ids(spark, tmp_path):
+    store = spark.createDataFrame([], "page string, id string")
+    folder, target, mark = tmp_path / "in", str(tmp_path / "new"), str(tmp_path / "mark")
+
+    def run():
+        query = stream_feed_new(read_feed_responses(spark, str(folder), stream=True), store, target, mark, within="1 hour")
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    found = lambda: sorted((r.pid, r.text) for r in spark.read.parquet(target).collect())
+    feed_file(folder / "1.json", 2, "2026-01-01T10:00:00Z", *[(f"a{i}", "x", f"m{i}") for i in range(20)])
+    full = run()
+    feed_file(folder / "2.json", 3, "2026-01-01T10:30:00Z", ("a1", "repeat", "m"), ("b", "b", "n"))
+    run()
+    assert found() == sorted([(f"a{i}", "x") for i in range(20)] + [("b", "b")])
+    feed_file(folder / "3.json", 4, "2026-01-01T15:00:00Z", ("c", "c", "o"))
+    left = run()
+    assert left < full
+    feed_file(folder / "4.json", 5, "2026-01-01T15:01:00Z", ("a1", "after its time", "p"))
+    feed_file(folder / "5.json", 6, "2026-01-01T10:05:00Z", ("d", "late", "q"))
+    run()
+    assert [r for r in found() if r[0] in ("a1", "d")] == [("a1", "after its time"), ("a1", "x")]
+
+
+def test_arrival_is_the_time_of_the_file_where_none_is_given(spark, tmp_path):
+    path = write(tmp_path / "1.json", json.dumps({"response_id": 1, "page": "p", "url": "/graphql", "body": "x"}))
+    row = read_feed_responses(spark, path).select(F.unix_seconds("arrived").alias("at")).first()
+    assert abs(row["at"] - (tmp_path / "1.json").stat().st_mtime) < 2
