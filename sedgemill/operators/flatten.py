@@ -40,7 +40,12 @@ def _source_fields() -> dict[str, Column]:
 
 def flatten_sources(docs: DataFrame) -> DataFrame:
     fields = [c.alias(name) for name, c in _source_fields().items()]
-    return docs.where(F.col("error").isNull()).select(*fields, "path", "part")
+    return docs.where(F.col("error").isNull() & (_first_pos(docs) == 0)).select(*fields, "path", "part")
+
+
+def _first_pos(docs: DataFrame) -> Column:
+    """Place of a row's first post in its document, where documents come in several rows."""
+    return F.col("first_pos") if "first_pos" in docs.columns else F.lit(0)
 
 
 def explode_posts(docs: DataFrame, require_id: bool = True, carry: list[str] | None = None) -> DataFrame:
@@ -51,8 +56,9 @@ def explode_posts(docs: DataFrame, require_id: bool = True, carry: list[str] | N
     # Unreadable documents have no posts.
     unnest = F.posexplode if carry is None else F.posexplode_outer
     posts = docs.select(
-        "path", "file_slug", "part", *(carry or []), _default_slug().alias("_slug"), unnest("posts").alias("post_pos", "_post")
-    )
+        "path", "file_slug", "part", *(carry or []), _default_slug().alias("_slug"), _first_pos(docs).alias("_first"),
+        unnest("posts").alias("post_pos", "_post")
+    ).withColumn("post_pos", (F.col("_first") + F.col("post_pos")).cast("int"))
     field = lambda key: clean_text(variant_text(F.col("_post"), f"$.{key}"))
     items = lambda key: F.try_variant_get("_post", f"$.{key}", "array<variant>")
     absent = F.try_variant_get("_post", "$.source_slug", "variant").isNull()

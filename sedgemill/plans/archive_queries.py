@@ -19,13 +19,25 @@ def posts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.explode_posts(archive_docs(spark, sf_dir))
 
 
-@query("read_archives", with_views("f_sources", "f_posts") + """
+LISTED_SQL = with_views("f_sources", "f_posts") + """
 SELECT s.slug AS file_slug, false AS failed, count(p.id) + count(p.continuation_url) AS listed_posts
 FROM f_sources s LEFT JOIN f_posts p ON p.source_slug = s.slug GROUP BY s.slug
 UNION ALL SELECT 'broken', true, 0
-""")
+"""
+
+
+@query("read_archives", LISTED_SQL)
 def read_archives_query(spark, sf_dir):
-    docs = read_archives(spark, archive_files(spark, sf_dir))
+    return _listed(read_archives(spark, archive_files(spark, sf_dir)))
+
+
+@query("read_archives_stream", LISTED_SQL)
+def read_archives_stream_query(spark, sf_dir):
+    """The same files, walked as streams."""
+    return _listed(read_archives(spark, archive_files(spark, sf_dir), layout="stream"))
+
+
+def _listed(docs: DataFrame) -> DataFrame:
     return docs.groupBy("file_slug").agg(
         F.bool_or(F.col("error").isNotNull()).alias("failed"),
         F.sum(F.coalesce(F.size("posts"), F.lit(0)).cast("bigint")).alias("listed_posts"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sedgemill.sources.archive_stream import streamed_documents
+
 # Posts stay separate variants, so no single value has to hold a whole archive.
 DOCUMENT_SCHEMA = (
     "metadata variant, scraped_at variant, consolidated_at variant, sources variant, "
@@ -22,7 +24,7 @@ def archive_documents(raw: DataFrame) -> DataFrame:
 
     ``error`` is set, and everything else NULL, where the text is not a JSON object or
     its posts are not an array. ``part`` numbers the documents of an archive that was
-    written in several parts.
+    written in several parts, ``first_pos`` is the place of a row's first post in its document.
     """
     parsed = raw.withColumn(
         "_doc", F.from_json("value", DOCUMENT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
@@ -34,6 +36,7 @@ def archive_documents(raw: DataFrame) -> DataFrame:
         "path",
         "file_slug",
         F.coalesce(F.when(~bad, F.col("_doc.part")), F.lit(0)).alias("part"),
+        (F.col("first_pos") if "first_pos" in raw.columns else F.lit(0).cast("bigint")).alias("first_pos"),
         keep("metadata"),
         keep("scraped_at"),
         keep("consolidated_at"),
@@ -72,21 +75,24 @@ def read_archives(
 
     ``files``: one document per ``*.json`` file, in any sub-folder; folders below a given one
     whose name is in ``prune`` are left out.
+    ``stream``: the same documents from files of any size: posts leave a file in several rows of
+    bounded size with the document's other members on each, while its text passes as a stream.
     ``lines``: one document per line, which Spark can split; the layout for large data.
     ``file_slug`` names the archive: the file name in the first layout (the slug in the
     metadata for files named by a Spark writer), the slug in the metadata in the second.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("recursiveFileLookup", "true")
+    path = F.col("_metadata.file_path").alias("path")
     if layout == "files":
-        raw = reader.option("pathGlobFilter", "*.json").text(paths, wholetext=True)
+        raw = reader.option("pathGlobFilter", "*.json").text(paths, wholetext=True).select(path, "value")
+    elif layout == "stream":
+        raw = streamed_documents(reader, paths)
     elif layout == "lines":
-        raw = reader.text(paths)
+        raw = reader.text(paths).select(path, "value")
     else:
         raise ValueError(f"unknown layout {layout}")
-    path = F.col("_metadata.file_path")
-    raw = raw.select(path.alias("path"), "value")
-    if layout == "files" and prune:
+    if layout != "lines" and prune:
         # Only what lies below a given folder is pruned: its own path may have such a name.
         raw = raw.withColumn("_folders", F.split(_path_only(F.col("path")), "/"))
         dropped = F.lit(False)
@@ -94,7 +100,7 @@ def read_archives(
             below = F.slice("_folders", F.lit(len(parts) + 1), F.greatest(F.size("_folders"), F.lit(1)))
             dropped = dropped | (_starts(F.col("_folders"), parts) & F.exists(below, lambda f: f.isin(*prune)))
         raw = raw.where(~dropped).drop("_folders")
-    if layout == "files":
+    if layout != "lines":
         # Files named by a Spark writer carry their slug inside only.
         written = F.regexp_like(F.substring_index("path", "/", -1), F.lit(r"^part-\d{5}-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"))
         slug = F.when(written, F.get_json_object("value", "$.metadata.slug")).otherwise(file_stem(F.col("path")))

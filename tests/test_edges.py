@@ -2,6 +2,7 @@
 
 import csv
 import json
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from sedgemill.operators import api_index as api, feed, flatten as fl, merge as mg, planning as pl
 from sedgemill.sinks import current_tables, write_tables
 from sedgemill.sinks.archives import archive_records, write_archives
-from sedgemill.sources import read_archives, read_feed_responses, read_ledger, read_worklist
+from sedgemill.sources import archive_stream, read_archives, read_feed_responses, read_ledger, read_worklist
 from sedgemill.sources.lists import read_failures
 from sedgemill.streaming.feed import stored_before, stream_feed_new, upsert_feed_store
 
@@ -184,6 +185,50 @@ def test_stream_keeps_media_of_the_first_arrival_only(spark, tmp_path):
         r.b for r in spark.sql("SELECT pmod(xxhash64(id), 32) AS b FROM VALUES ('a'), ('b'), ('c') AS t(id)").collect())
 
 
+def test_files_are_walked_as_streams_to_the_same_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archive_stream, "PART_POSTS", 3)
+    monkeypatch.setattr(archive_stream, "CHUNK", 16)
+    posts = [{"id": str(i), "content": 'a } { ] "quoted" \\ \n é' * (i % 4), "media": [{"type": "image", "url": f"u{i}{j}"} for j in range(i % 3)],
+              "n": 1.50} for i in range(20)]
+    texts = {
+        "plain": json.dumps({"metadata": {"slug": "p", "name": "N"}, "scraped_at": "t", "posts": posts}),
+        "late": json.dumps({"posts": posts[:7], "metadata": {"slug": "l"}, "part": 2}, indent=1, ensure_ascii=False) + "\n \n",
+        "none": '{"metadata": {"slug": "n"}, "posts": null}', "empty": '{"posts": [ ], "scraped_at": "}"}', "bare": "{}", "blank": "",
+        "open": json.dumps({"metadata": {"slug": "o"}, "posts": posts})[:-1], "cut": json.dumps({"posts": posts})[:-40],
+        "list": "[1]", "text": '{"posts": "x"}', "behind": '{"posts": []} x', "twice": '{"posts": [{"id": "no"}], "posts": [{"id": "yes"}]}',
+        "control": '{"posts": [{"id": "a\nb"}]}', "word": "}", "numbers": '{"posts": [{"id": 12345678901234567890}, {"id": 1.50}, null, "x", 7]}',
+    }
+    for name, text in texts.items():
+        write(tmp_path / "in" / f"{name}.json", text)
+    whole, parts = (read_archives(spark, str(tmp_path / "in"), layout=layout) for layout in ("files", "stream"))
+    said = lambda docs: sorted((tuple(r) for r in docs.groupBy("file_slug", "error").agg(
+        F.sum(F.coalesce(F.size("posts"), F.lit(0)))).collect()), key=str)
+    assert said(whole) == said(parts) and parts.where("file_slug = 'plain'").count() == 7
+    for once in (False, True):
+        one, two = fl.flatten(whole, once=once), fl.flatten(parts, once=once)
+        for name in ("sources", "posts", "media", "links", "errors"):
+            a, b = (sorted(map(str, getattr(t, name).collect())) for t in (one, two))
+            assert a == b and (a or name in ("links", "errors"))
+    assert sorted(map(str, fl.load_stats(whole).collect())) == sorted(map(str, fl.load_stats(parts).collect()))
+
+
+def test_a_walk_holds_one_part_only():
+    post = json.dumps({"id": "1", "content": "x" * 300, "media": [{"url": "u}"}] * 3})
+
+    def pieces():
+        yield '{"metadata": {"slug": "s"}, "posts": ['
+        for _ in range(60000):
+            yield from (p + "}" for p in (post + ",").split("}")[:-1])
+            yield ","
+        yield post + "]}"
+
+    tracemalloc.start()
+    found = sum(posts.count('"id"') for _, _, posts, _ in archive_stream.walk(pieces()) if posts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 60001 and peak < 4 << 20
+
+
 def feed_file(path, n, arrived, *stories):
     rows = {"response_id": n, "page": "p", "url": "/graphql", "body": body(*stories), "arrived": arrived}
     return write(path, json.dumps(rows))
