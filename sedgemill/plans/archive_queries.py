@@ -8,7 +8,7 @@ from sedgemill.operators import flatten as fl, views
 from sedgemill.operators.upsert import insert_or_ignore
 from sedgemill.plans.fixtures import fixture, with_views
 from sedgemill.plans.registry import query
-from sedgemill.plans.render import archive_docs, archive_files, archive_lines, snapshot_docs
+from sedgemill.plans.render import archive_docs, archive_files, archive_lines, archive_whole, snapshot_docs
 from sedgemill.session import new_folder
 from sedgemill.sinks import current_tables, write_tables
 from sedgemill.sinks.archives import NESTED
@@ -263,3 +263,20 @@ def write_archives_query(spark, sf_dir):
     return posts.where(F.col("p.id").isNotNull()).select(
         "file_slug", "p.id", "p.date_iso", "scraped_at",
         F.size("p.media").cast("bigint").alias("media"), F.size("p.download_errors").cast("bigint").alias("errors"))
+
+
+@query("write_archives_whole", with_views("f_posts", "f_media", "f_errors", "f_sources") + """
+SELECT s.slug AS file_slug, p.id, p.date_iso, s.scraped_at, CAST(1 AS BIGINT) AS documents,
+  CAST(row_number() OVER (PARTITION BY s.slug ORDER BY p.date_iso, p.id) - 1 AS INTEGER) AS post_pos,
+  (SELECT count(*) FROM f_media m WHERE m.post_id = p.id) AS media,
+  (SELECT count(*) FROM f_errors e WHERE e.post_id = p.id) AS errors
+FROM f_sources s JOIN f_posts p ON s.slug = p.source_slug
+""")
+def write_archives_whole_query(spark, sf_dir):
+    """One document per source, without parts, walked back as a stream; posts in their order."""
+    docs = read_archives(spark, archive_whole(spark, sf_dir), layout="stream", pattern="*.txt")
+    files = docs.groupBy("file_slug").agg(F.count_distinct("path").alias("documents"), F.max(F.col("scraped_at").cast("string")).alias("scraped_at"))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
+    posts = fl.explode_posts(docs).select(
+        "file_slug", "id", "date_iso", "post_pos", size("media").alias("media"), size("download_errors").alias("errors"))
+    return posts.join(files, "file_slug")

@@ -71,6 +71,16 @@ def archive_files(spark: SparkSession, sf_dir: str) -> str:
     return rendered(spark, sf_dir, "archive-files", write)
 
 
+def archive_whole(spark: SparkSession, sf_dir: str) -> str:
+    """Each archive as one document of any size, without the posts that have no id."""
+
+    def write(path: str) -> None:
+        records = _stored_records(spark, sf_dir).where(F.col("id").isNotNull())
+        write_archives(fixture(spark, sf_dir, "f_sources"), records, path, ["date_iso"], layout="whole")
+
+    return rendered(spark, sf_dir, "archive-whole", write)
+
+
 def archive_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, archive_lines(spark, sf_dir), layout="lines")
 

@@ -80,6 +80,9 @@ def write_archives(
     depends on the size of its source. ``sources`` needs slug, name, orig_url, handler,
     scraped_at and may carry consolidated_at, old_scraped_at and new_scraped_at. Layout
     ``lines`` has a document per line, ``files`` a file per document in a folder per slug.
+    Layout ``whole`` has one document in one file per source, of any size and without parts: its
+    posts pass a task in order and are written line by line (text files, read with
+    ``read_archives(..., layout="stream", pattern="*.txt")``).
     The commit protocol makes the output appear as a whole or not at all.
     """
     fields = [c for c in ["id", *POST_FIELDS, *NESTED] if c in records.columns]
@@ -90,6 +93,17 @@ def write_archives(
         records.withColumn("_slug", F.col(slug)), [F.col(c) for c in ["_slug", *order, "id"]] + ties + [lists], "_row")
     first = ranked.groupBy("_slug").agg(F.min("_row").alias("_first"))
     placed = lookup_join(ranked, first, ["_slug"], "inner")
+    meta = F.struct("slug", "name", "orig_url", "handler").alias("metadata")
+    extra = [F.col("consolidated_at")] if "consolidated_at" in sources.columns else []
+    if "old_scraped_at" in sources.columns:
+        extra.append(F.struct("old_scraped_at", "new_scraped_at").alias("sources"))
+    if layout == "whole":
+        item = F.to_json(F.struct(*fields, F.col("_slug").alias("source_slug")), {"ignoreNullFields": "false"})
+        comma = F.when(F.col("_row") == F.col("_first"), "").otherwise(",")
+        posts = placed.select(F.col("_slug").alias("slug"), F.lit(1).alias("_kind"), "_row", F.concat(comma, item).alias("value"))
+        known = lookup_join(posts, sources.select("slug"), ["slug"], "left_semi")
+        _write_whole(sources.select("slug", F.struct(meta, "scraped_at", *extra).alias("head")), known, path)
+        return
     post = F.struct("_row", *fields, F.col("_slug").alias("source_slug"))
     part = F.floor((F.col("_row") - F.col("_first")) / posts_per_document).cast("bigint")
     documents = placed.select(F.col("_slug").alias("slug"), part.alias("part"), post.alias("_post")).groupBy(
@@ -99,10 +113,6 @@ def write_archives(
     full = lookup_join(documents, sources, ["slug"], "inner")
     bare = sources.join(first.select(F.col("_slug").alias("slug")), "slug", "left_anti").withColumn(
         "part", F.lit(0).cast("bigint")).withColumn("posts", F.array().cast(documents.schema["posts"].dataType))
-    meta = F.struct("slug", "name", "orig_url", "handler").alias("metadata")
-    extra = [F.col("consolidated_at")] if "consolidated_at" in sources.columns else []
-    if "old_scraped_at" in sources.columns:
-        extra.append(F.struct("old_scraped_at", "new_scraped_at").alias("sources"))
     out = full.unionByName(bare).select("slug", meta, "scraped_at", *extra, "part", "posts")
     if layout == "lines":
         out.drop("slug").write.json(path)
@@ -112,3 +122,15 @@ def write_archives(
         out.repartition(tasks, "slug", "part").write.partitionBy("slug").option("maxRecordsPerFile", 1).json(path)
     else:
         raise ValueError(f"unknown layout {layout}")
+
+
+def _write_whole(sources: DataFrame, posts: DataFrame, path: str) -> None:
+    """One file per slug: the members before the posts, a line per post, the closing brackets."""
+    head = F.regexp_replace(F.to_json("head", {"ignoreNullFields": "false"}), r"\}$", ',"posts":[')
+    edge = lambda kind, value: sources.select("slug", F.lit(kind).alias("_kind"), F.lit(0).cast("long").alias("_row"), value.alias("value"))
+    lines = edge(0, head).unionByName(posts).unionByName(edge(2, F.lit("]}")))
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The writer opens one file per slug as the rows pass; a slug that cannot be null keeps their order.
+    named = lines.withColumn("slug", F.coalesce("slug", F.lit("")))
+    named.repartition(tasks, "slug").sortWithinPartitions("slug", "_kind", "_row").select("slug", "value").write.partitionBy(
+        "slug").text(path)

@@ -145,7 +145,7 @@ def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[st
 
 def streamed_documents(reader: DataFrameReader, paths: list[str]) -> DataFrame:
     """(path, value, first_pos): documents of one file each, in parts of bounded size; a broken file has one empty value."""
-    fragments = reader.option("pathGlobFilter", "*.json").text(paths, lineSep="}").select(
+    fragments = reader.text(paths, lineSep="}").select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
     # The last fragment of a file was closed by a brace unless the bytes with all braces are one too many.

@@ -69,11 +69,11 @@ def _starts(folders: Column, parts: list[str]) -> Column:
 
 
 def read_archives(
-    spark: SparkSession, paths: str | list[str], layout: str = "files", prune: tuple[str, ...] = ()
+    spark: SparkSession, paths: str | list[str], layout: str = "files", prune: tuple[str, ...] = (), pattern: str = "*.json"
 ) -> DataFrame:
     """Archives below folders, globs or files.
 
-    ``files``: one document per ``*.json`` file, in any sub-folder; folders below a given one
+    ``files``: one document per file that fits ``pattern``, in any sub-folder; folders below a given one
     whose name is in ``prune`` are left out.
     ``stream``: the same documents from files of any size: posts leave a file in several rows of
     bounded size with the document's other members on each, while its text passes as a stream.
@@ -85,9 +85,9 @@ def read_archives(
     reader = spark.read.option("recursiveFileLookup", "true")
     path = F.col("_metadata.file_path").alias("path")
     if layout == "files":
-        raw = reader.option("pathGlobFilter", "*.json").text(paths, wholetext=True).select(path, "value")
+        raw = reader.option("pathGlobFilter", pattern).text(paths, wholetext=True).select(path, "value")
     elif layout == "stream":
-        raw = streamed_documents(reader, paths)
+        raw = streamed_documents(reader.option("pathGlobFilter", pattern), paths)
     elif layout == "lines":
         raw = reader.text(paths).select(path, "value")
     else:

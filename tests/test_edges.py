@@ -212,6 +212,24 @@ def test_files_are_walked_as_streams_to_the_same_rows(spark, tmp_path, monkeypat
     assert sorted(map(str, fl.load_stats(whole).collect())) == sorted(map(str, fl.load_stats(parts).collect()))
 
 
+def test_one_document_per_source_of_any_size(spark, tmp_path):
+    posts = spark.range(3000).select(F.col("id").cast("string"), F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("source_slug"),
+                                     F.lpad(F.pmod(F.col("id") * 7919, F.lit(3000)).cast("string"), 5, "0").alias("date_iso"), F.lit('a "q"\n} é').alias("content"))
+    slugs = [*{r.source_slug for r in posts.collect()}, "empty"]
+    sources = spark.createDataFrame([(s, f"n {s}", None, "h", "2026-01-01T00:00:00Z") for s in slugs], SOURCE)
+    write_archives(sources, archive_records(posts), str(tmp_path / "w"), ["date_iso"], layout="whole")
+    files = sorted((tmp_path / "w").rglob("*.txt"))
+    assert len(files) == len(slugs)
+    found = [json.loads(f.read_text()) for f in files]
+    big = next(d for d in found if d["metadata"]["slug"] == "big")
+    dates = [p["date_iso"] for p in big["posts"]]
+    assert len(dates) == 1000 and dates == sorted(dates) and big["posts"][0]["content"] == 'a "q"\n} é' and big["posts"][0]["links"] == []
+    assert next(d for d in found if d["metadata"]["slug"] == "empty")["posts"] == [] and sum(len(d["posts"]) for d in found) == 3000
+    docs = read_archives(spark, str(tmp_path / "w"), layout="stream", pattern="*.txt")
+    assert sorted(r.slug for r in fl.flatten_sources(docs).collect()) == sorted(slugs)
+    assert fl.flatten_posts(fl.explode_posts(docs)).where("source_slug = 'big'").count() == 1000
+
+
 def test_a_walk_holds_one_part_only():
     post = json.dumps({"id": "1", "content": "x" * 300, "media": [{"url": "u}"}] * 3})
 
