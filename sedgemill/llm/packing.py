@@ -96,14 +96,18 @@ def pack(
 
     Null and empty texts are documents of ``end_id`` alone. Rows that repeat an id are packed
     each on its own; null ids stay null; other columns are not read. An empty table gives none.
+    Any ``capacity`` of at least ``grain`` tokens will do; one below is refused.
     """
+    if not 1 <= grain <= capacity or block < 1:
+        raise ValueError(f"grain {grain} and block {block} do not suit sequences of {capacity} tokens")
     spark = docs.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     pieces = written(token_pieces(docs, path, doc_id, text, capacity, block, end_id, with_ids), "pack-pieces")
-    size = F.when(F.col("length") >= capacity - grain, F.lit(-(-capacity // grain))).otherwise(F.ceil(F.col("length") / grain))
+    whole = capacity // grain  # a piece that rounds up beyond it fills a sequence alone
+    size = F.when(F.col("length") >= capacity - grain, F.lit(whole)).otherwise(F.least(F.ceil(F.col("length") / grain), F.lit(whole)))
     pieces = pieces.withColumn("_size", size.cast("int"))
     histogram = {r[0]: r[1] for r in pieces.groupBy("_size").count().collect()}
-    slots = _slots(patterns(histogram, capacity // grain))
+    slots = _slots(patterns(histogram, whole))
 
     def deal(batches):
         keys = slots[:, 0] << 44 | slots[:, 1]

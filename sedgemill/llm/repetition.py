@@ -13,7 +13,7 @@ COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def repetition_rules(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = 4, most_covered: float = 0.5,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shortest: int = 4, most_covered: int = 30,
     longest: int = 100, least_words: int = 50, most_repeated: int = 50,
 ) -> DataFrame:
     """Counts and verdict of every row.
@@ -24,8 +24,8 @@ def repetition_rules(
     all occurrences of those of ``shortest`` words or more, ``longest_repeat`` is the longest
     in words. The base rules fail a text of under ``least_words`` words, or with more than
     ``most_repeated`` percent of its words in repeated 3-word windows. A text is kept if they
-    do not fail, at most ``most_covered`` of its words are covered, and no repeat is longer
-    than ``longest`` words.
+    do not fail, at most ``most_covered`` percent of its words are covered, and no repeat is
+    longer than ``longest`` words.
 
     Null and empty texts have no words and fail. Every row is judged alone, so repeated rows,
     ties and null ids make no difference; other columns are not read.
@@ -51,5 +51,5 @@ def repetition_rules(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
     counted = map_texts(rows, "_text", "doc_id long, " + ", ".join(f"{c} long" for c in COLUMNS), work)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
-    fine = (F.col("n_covered_words") <= most_covered * F.col("n_words")) & (F.col("longest_repeat") <= longest)
+    fine = (100 * F.col("n_covered_words") <= most_covered * F.col("n_words")) & (F.col("longest_repeat") <= longest)
     return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & fine)

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 
 from sedgemill.llm import boosting, docstats, language, packing, repetition, templates, transducer, urls
 from sedgemill.llm.cutting_stock import patterns
+from sedgemill.llm.queries import LLM_PLANS, LLM_SQL
 from tests.llm.conftest import sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -56,6 +58,24 @@ def test_packing_covers_every_id_once(frame, corpus):
     assert len(pieces) == len(rows)
 
 
+@pytest.mark.parametrize("capacity", [511, 64, 5, 4])
+def test_packing_into_sequences_of_any_capacity(frame, corpus, capacity):
+    got = packing.pack(frame(corpus[:20]), public_tokenizers.path("byte_bpe_50k.json"), capacity=capacity, block=64).collect()
+    filled = collections.defaultdict(list)
+    for r in got:
+        filled[r.sequence_id].append((r.offset, r.length))
+    for pieces in filled.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    starts = collections.Counter((r.doc_id, r.doc_tokens) for r in got if r.start == 0)
+    assert sum(r.length for r in got) == sum(n * t for (_, t), n in starts.items())
+    with pytest.raises(ValueError, match="sequences of 3"):
+        packing.pack(frame(corpus[:2]), public_tokenizers.path("byte_bpe_50k.json"), capacity=3)
+
+
 def test_packing_of_repeated_and_missing_ids(frame):
     path = public_tokenizers.path("byte_bpe_50k.json")
     got = packing.pack(frame([(1, "same"), (1, "same"), (None, "x"), (2, None)]), path).collect()
@@ -79,23 +99,66 @@ def test_patterns_hold_exactly_the_pieces(n):
         assert used <= 1.01 * sizes.sum() / 128 + 1
 
 
+def plain_rules(text):
+    """Counts and verdict of a text, by comparing all pairs of its words' places."""
+    words = WORD.findall(text or "")
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = collections.Counter(tuple(words[k:k + 3]) for k in range(len(words) - 2))
+    again = {k + j for k in range(len(words) - 2) if windows[tuple(words[k:k + 3])] > 1 for j in range(3)}
+    reach = [0] * (len(words) + 1)
+    for step in range(1, len(words)):  # runs of words that equal those ``step`` places on
+        run = 0
+        for k in range(len(words) - step - 1, -1, -1):
+            run = run + 1 if words[k] == words[k + step] else 0
+            reach[k], reach[k + step] = max(reach[k], run), max(reach[k + step], run)
+    covered = {k + j for k, n in enumerate(reach) if n >= 4 for j in range(n)}
+    n, longest = len(words), max(reach)
+    failed = n < 50 or 100 * len(again) > 50 * n
+    kept = not failed and 100 * len(covered) <= 30 * n and longest <= 100
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(again), len(covered), longest, failed, kept)
+
+
+def limit_rows():
+    """Texts that the base rules keep and one limit alone rejects, and near misses."""
+    rnd = random.Random(12)
+    word = iter(f"w{k}x" for k in range(10 ** 6))
+    fresh = lambda k: [next(word) for _ in range(k)]
+    rows = {}
+    for name, (n, repeats, length) in {"covered": (200, 8, 8), "fine": (200, 3, 8), "long": (900, 1, 101), "almost_long": (900, 1, 100)}.items():
+        words = fresh(n)
+        for _ in range(repeats):
+            part = fresh(length)
+            words[rnd.randint(0, 5):0] = part
+            words += part
+        rows[name] = " ".join(words)
+    return rows
+
+
 def test_quality_rules_count_as_stated(frame, corpus):
-    got = repetition.repetition_rules(frame(corpus)).collect()
-    want = []
-    for i, t in corpus:
-        t = t or ""
-        words = WORD.findall(t)
-        seen, dup = set(), 0
-        for line in t.split("\n"):
-            if WORD.search(line):
-                dup += line in seen
-                seen.add(line)
-        windows = collections.Counter(tuple(words[k:k + 3]) for k in range(len(words) - 2))
-        again = {k + j for k in range(len(words) - 2) if windows[tuple(words[k:k + 3])] > 1 for j in range(3)}
-        failed = len(words) < 50 or 100 * len(again) > 50 * len(words)
-        want.append((i, len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(again), failed))
-    assert sorted(((r.doc_id, *r[1:6], r.base_failed) for r in got), key=str) == sorted(want, key=str)
-    assert all(not (r.kept and r.base_failed) for r in got)
+    limits = limit_rows()
+    rows = [(i, t) for i, t in corpus if len(t or "") < 20000] + [(700 + n, t) for n, t in enumerate(limits.values())]
+    got = repetition.repetition_rules(frame(rows)).collect()
+    want = [(i, *plain_rules(t)) for i, t in rows]
+    columns = ["doc_id", *repetition.COLUMNS, "base_failed", "kept"]
+    assert sorted((tuple(r[c] for c in columns) for r in got), key=str) == sorted(want, key=str)
+    verdict = {name: (not plain_rules(t)[-2], plain_rules(t)[-1]) for name, t in limits.items()}
+    assert verdict == {"covered": (True, False), "fine": (True, True), "long": (True, False), "almost_long": (True, True)}
+
+
+def test_quality_rules_as_sql(spark, frame, corpus, tmp_path):
+    rows = [(n, t) for n, (_, t) in enumerate(corpus)] + [(700 + n, t) for n, t in enumerate(limit_rows().values())]
+    frame(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = LLM_PLANS["op9_quality_rules"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(LLM_SQL["op9_quality_rules"])
+    names = [c[0] for c in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())
 
 
 def test_suffix_repeats():
