@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sedgemill.functions import absolutize_url
 from sedgemill.operators.html_tree import JS_SPACE, Element, parse
+from sedgemill.operators.shuffles import lookup_join
 
 # The parser travels with the job, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sedgemill)
@@ -156,7 +157,7 @@ def continuation_fill(posts: DataFrame, bodies: DataFrame, base: str) -> DataFra
     """Replace the shortened content by the fetched body (url, body) where that is not empty."""
     url = absolutize_url(F.col("continuation_url"), base)
     full = bodies.where(F.col("body") != "").select(F.col("url").alias("_url"), "body")
-    rows = posts.withColumn("_url", url).join(full, "_url", "left")
+    rows = lookup_join(posts.withColumn("_url", url), full, ["_url"], "left")
     return rows.withColumn("content", F.coalesce("body", "content")).drop("_url", "body")
 
 
@@ -168,11 +169,13 @@ def feed_page_tokens(html: Column) -> dict[str, Column]:
 
 def feed_page_status(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """Why a crawl stops at a page, or ``more`` when it has posts."""
-    counts = _over_pages(pages.select(key, html), html, "post_pos int", lambda page: ((p[0],) for p in _posts(page)))
-    counts = counts.groupBy(key).agg(F.count("*").alias("posts"))
-    rows = pages.select(key, html).join(counts, key, "left")
-    blank = F.regexp_like(F.col(html), F.lit(r"(?U)\A[\s\x{feff}]*\z"))
+    blank = F.col(html).isNull() | F.regexp_like(F.col(html), F.lit(r"(?U)\A[\s\x{feff}]*\z"))
+    flags = pages.select(
+        key, F.coalesce(html, F.lit("")).alias(html), blank.alias("_blank"),
+        F.coalesce(F.col(html).contains(END_MARK), F.lit(False)).alias("_mark"))
+    # One pass: a page's flags go with it through the walk, which gives its count even if that is 0.
+    rows = _over_pages(flags, html, "posts long", lambda page: ((sum(1 for _ in _posts(page)),),))
     status = (
-        F.when(F.col(html).isNull() | blank, "blank").when(F.col(html).contains(END_MARK), "placeholder")
-        .when(F.col("posts").isNull(), "no_posts").otherwise("more"))
-    return rows.select(key, F.coalesce("posts", F.lit(0)).alias("posts"), status.alias("status"))
+        F.when(F.col("_blank"), "blank").when(F.col("_mark"), "placeholder")
+        .when(F.col("posts") == 0, "no_posts").otherwise("more"))
+    return rows.select(key, "posts", status.alias("status"))

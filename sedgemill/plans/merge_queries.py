@@ -56,43 +56,59 @@ def cross_posts_query(spark, sf_dir):
 class Sides:
     """Both snapshots read back from their archives, and how they match.
 
-    Matches and the parsed posts of either side are written on first use, so a merge parses
-    each snapshot's posts once however many of its tables derive from them.
+    The heads of the documents with the ids of their posts are written once per side: matches,
+    counts and places come from them. Posts with their texts and lists are parsed only where
+    a table needs them, and written only for a merge that builds several tables of them.
     """
 
     old_docs: DataFrame
     new_docs: DataFrame
+    keep_posts: bool = False
+
+    @cached_property
+    def old_heads(self) -> DataFrame:
+        return written(mg.document_heads(self.old_docs), "merge-old-heads")
+
+    @cached_property
+    def new_heads(self) -> DataFrame:
+        return written(mg.document_heads(self.new_docs), "merge-new-heads")
 
     @cached_property
     def old(self) -> DataFrame:
-        return written(fl.explode_posts(self.old_docs), "merge-old")
+        posts = fl.explode_posts(self.old_docs)
+        return written(posts, "merge-old") if self.keep_posts else posts
 
     @cached_property
     def new(self) -> DataFrame:
-        return written(fl.explode_posts(self.new_docs), "merge-new")
+        posts = fl.explode_posts(self.new_docs)
+        return written(posts, "merge-new") if self.keep_posts else posts
 
     @cached_property
     def matches(self) -> DataFrame:
-        return written(mg.slug_match(self.old_docs, self.new_docs), "merge-matches")
+        return written(mg.slug_match(self.old_heads, self.new_heads), "merge-matches")
 
     def groups(self, with_records: bool = True) -> DataFrame:
         """Post groups; counts and places need no post fields and shuffle none."""
-        kept = [c for c in self.old.columns if c not in ("media", "links", "download_errors")] if with_records else [
-            "path", "file_slug", "part", "post_pos", "id"]
+        if not with_records:
+            return mg.merge_groups(mg.post_places(self.old_heads), mg.post_places(self.new_heads), self.matches)
+        kept = [c for c in self.old.columns if c not in ("media", "links", "download_errors")]
         return mg.merge_groups(self.old.select(*kept), self.new.select(*kept), self.matches)
 
     def children(self, flatten) -> DataFrame:
         """Media or links of the merged posts: those of the record each was taken from."""
-        return mg.merge_children(flatten(self.old), flatten(self.new), mg.merge_posts(self.groups()))
+        return mg.merge_children(flatten(self.old), flatten(self.new), mg.merge_posts(self.groups(False)))
+
+    def stats(self) -> DataFrame:
+        return mg.merge_stats(self.groups(False), self.old_heads, self.new_heads, self.matches)
 
     def errors(self) -> DataFrame:
         return mg.merge_errors(
             fl.flatten_errors(self.old), fl.flatten_errors(self.new), self.groups(False), self.matches)
 
 
-def sides(spark, sf_dir) -> Sides:
+def sides(spark, sf_dir, keep_posts: bool = False) -> Sides:
     old, new = (snapshot_docs(spark, sf_dir, s) for s in ("old", "new"))
-    return Sides(old, new)
+    return Sides(old, new, keep_posts)
 
 
 SLUG_SQL = with_views("f_snap", "f_errors", "f_snap_media", "f_snap_links") + """,
@@ -182,8 +198,7 @@ SELECT o.source_slug AS file_slug, total_old, total_new, coalesce(both_sides, 0)
 FROM o JOIN n USING (source_slug) LEFT JOIN b USING (source_slug)
 """)
 def merge_stats_query(spark, sf_dir):
-    s = sides(spark, sf_dir)
-    return mg.merge_stats(s.groups(False), s.old_docs, s.new_docs, s.matches)
+    return sides(spark, sf_dir).stats()
 
 
 CONSOLIDATED_AT = "2026-05-02T00:00:00Z"
@@ -212,7 +227,7 @@ FROM matches GROUP BY status
 """)
 def merge_summary_query(spark, sf_dir):
     s = sides(spark, sf_dir)
-    return mg.merge_summary(s.matches, mg.merge_stats(s.groups(False), s.old_docs, s.new_docs, s.matches))
+    return mg.merge_summary(s.matches, s.stats())
 
 
 OLD_ONLY_SQL = SLUG_SQL + """,
@@ -252,7 +267,7 @@ FROM chosen c JOIN f_snap s ON s.id = c.id AND s.side = c.side
 """)
 def merge_write_back_query(spark, sf_dir):
     """The merged archives written and read back."""
-    s = sides(spark, sf_dir)
+    s = sides(spark, sf_dir, keep_posts=True)
     groups = s.groups()
     posts = mg.merge_posts(groups).withColumn("falling", F.translate("date_iso", "0123456789", "9876543210"))
     posts = posts.withColumn("side_kept", F.col("side")).drop("source_slug")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sedgemill.operators import api_index, dedup, feed, flatten as fl, html, merge as mg, planning as pl, profile as pf, reconcile as rc
 from sedgemill.operators.shuffles import lookup_join, with_row_index
 from sedgemill.operators.upsert import insert_or_ignore
+from sedgemill.plans.merge_queries import Sides
 from sedgemill.sinks import archive_records, current_tables, write_archives, write_tables
 from sedgemill.sinks.tables import store_state
 from sedgemill.sources import archive_documents, read_archives, read_ledger, read_manifest, read_worklist
@@ -111,6 +112,37 @@ def test_old_only_sample_takes_both_ends_once(spark):
     assert mg.old_only_sample(posts.limit(12)).count() == 12
 
 
+def test_counts_of_a_merge_read_each_snapshot_once(spark):
+    docs = [documents(spark, {"metadata": {"slug": "s0"}, "scraped_at": at, "posts": [{"id": "1"}, {"text": "no id"}, {"id": " 2 "}]})
+            for at in ("2026-01-01T00:00:00Z", "2026-02-01T00:00:00Z")]
+    for side in docs:
+        heads = mg.document_heads(side)
+        places = fl.explode_posts(side).select("path", "file_slug", "part", "post_pos", "id")
+        assert rows(mg.post_places(heads), "id", "post_pos") == rows(places, "id", "post_pos") == [("1", 0), ("2", 2)]
+    s = Sides(*docs)
+    plan = s.stats()._jdf.queryExecution().toString()
+    assert "from_json" not in plan and "content" not in plan  # heads and matches are written, posts are not touched
+    assert [tuple(r) for r in s.stats().collect()] == [("s0", 3, 3, 2, 0, 0, 2)]
+
+
+def test_pages_that_end_a_crawl(spark):
+    post = '<article class="post"><div id="arepl-1" data-id="1"></div></article>'
+    pages = spark.createDataFrame([(1, None), (2, " \ufeff\n"), (3, "<p>x</p>"), (4, post * 3), (5, post + '<i class="post-sources-placeholder">'),
+                                   (None, post)], "page_id long, html string")
+    status = html.feed_page_status(pages, "page_id")
+    assert rows(status, "page_id", "posts", "status") == [
+        (1, 0, "blank"), (2, 0, "blank"), (3, 0, "no_posts"), (4, 3, "more"), (5, 1, "placeholder"), (None, 1, "more")]
+    assert "Join" not in status._jdf.queryExecution().executedPlan().toString()
+
+
+def test_posts_without_a_continuation_do_not_meet_in_one_task(spark):
+    posts = spark.createDataFrame([(str(i), "short", None if i else "/post/1") for i in range(9)], "id string, content string, continuation_url string")
+    bodies = spark.createDataFrame([("https://x/post/1", "full"), ("https://x/post/2", "")], "url string, body string")
+    filled = html.continuation_fill(posts, bodies, "https://x")
+    assert rows(filled, "id", "content") == [(str(i), "short" if i else "full") for i in range(9)]
+    assert "_salt" in filled._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_feed_golden(spark):
     body = spark.createDataFrame([("for (;;);0:{A}\n1:{B}\n\n",)], "b string")
     assert body.select(feed.split_chunks(F.col("b"))).first()[0] == ["{A}", "{B}"]
