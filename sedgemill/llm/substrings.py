@@ -15,13 +15,16 @@ from sedgemill.llm.textkit import (
 )
 from sedgemill.session import written
 
-#: Words of one unit: what a task turns into one row per bucket.
-UNIT_WORDS = 256 * 1024
+#: Words of one unit: what a task turns into one row per bucket. A unit has at least ``ENTRIES``
+#: words for each bucket, so that rows carry entries and not their own heads, up to ``MOST_WORDS``
+#: that a task can hold (some 30 bytes each); that is 60,000 buckets, or 180 GB of text.
+UNIT_WORDS, ENTRIES, MOST_WORDS = 256 * 1024, 64, 4 << 20
 #: Bytes of text per bucket; a bucket's entries are compared in one task.
 BUCKET_BYTES = 3 << 20
 LAST_ID = (1 << 63) - 1
-#: Entries of one unit for one bucket; rows with ``ids`` carry the unit's documents instead.
-UNIT_SCHEMA = "bucket int, unit long, ids binary, uids binary, sizes binary, gaps binary, tags binary, flags binary"
+#: Entries of one unit for one bucket: places in the unit (``gaps``), hashes and flags, or with ``ids`` and ``starts``
+#: the document of each and the place there. Rows with ``uids`` carry the unit's documents instead.
+UNIT_SCHEMA = "bucket int, unit long, ids binary, uids binary, sizes binary, gaps binary, tags binary, flags binary, starts binary"
 HIT_SCHEMA = "unit long, ids binary, uids binary, sizes binary, gaps binary"
 
 
@@ -47,13 +50,22 @@ def _unsmall(data: bytes, kind: type) -> np.ndarray:
     return np.cumsum(_values(zlib.decompress(data), kind), dtype=kind)
 
 
+def unit_words(buckets: int) -> int:
+    return min(max(UNIT_WORDS, ENTRIES * buckets), MOST_WORDS)
+
+
 class _Unit:
     """Collects documents and their entries until they are enough for a row per bucket."""
 
     def __init__(self, buckets: int, tag_bytes: int, with_ids: bool) -> None:
         self.buckets, self.tag_bytes, self.with_ids, self.number = buckets, tag_bytes, with_ids, 0
+        self.most = unit_words(buckets)
         self._clear()
 
+    @property
+    def full(self) -> bool:
+        return self.words >= self.most
+
     def _clear(self) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.words = 0
@@ -66,20 +78,23 @@ class _Unit:
         ids, uids, sizes, at, bucket, tag, flag = (np.concatenate(c) for c in zip(*self.parts, strict=True))
         unit = (TaskContext.get().partitionId() << 32) + self.number
         self.number += 1
-        docs = _small(ids) if self.with_ids else b""
         spans = zlib.compress(_planes(sizes.astype(np.uint32)), 1)
-        out = [(unit % self.buckets, unit, _small(ids), _planes(uids), spans, b"", b"", b"")]
+        out = [(unit % self.buckets, unit, _small(ids), _planes(uids), spans, b"", b"", b"", b"")]
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        begin = np.concatenate([[0], np.cumsum(sizes)])
+        own = np.searchsorted(begin, at, side="right") - 1 if self.with_ids else None
         for b in np.flatnonzero(np.diff(edges)):
             rows = order[edges[b]:edges[b + 1]]
             gaps = np.diff(at[rows], prepend=0).astype(np.uint32)
             tags = tag[rows].view(np.uint8).reshape(-1, 8)[:, :self.tag_bytes].T.tobytes()
-            out.append((int(b), unit, docs or None, None, spans if docs else None, _planes(gaps), tags,
-                        np.packbits(flag[rows]).tobytes()))
+            docs, starts = None, None
+            if self.with_ids:
+                docs, starts = _small(ids[own[rows]]), _planes((at[rows] - begin[own[rows]]).astype(np.uint32))
+            out.append((int(b), unit, docs, None, None, _planes(gaps), tags, np.packbits(flag[rows]).tobytes(), starts))
         self._clear()
         names = [c.split()[0] for c in UNIT_SCHEMA.split(", ")]
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 7]
         columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
         return pa.RecordBatch.from_arrays(columns, names)
 
@@ -123,7 +138,7 @@ def _probe_units(rows: DataFrame, width: int, block: int, buckets: int) -> DataF
                 flag = np.stack([anchor, many], axis=1)
                 ids, uids = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
                 unit.add(ids, uids, words.counts, at[one], ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32), h, flag)
-                if unit.words >= UNIT_WORDS:
+                if unit.full:
                     yield unit.rows()
         if unit.parts:
             yield unit.rows()
@@ -190,13 +205,8 @@ def _later(table: pa.Table) -> pa.Table:
     if not at:
         return docs
     tag = np.concatenate(tags)
-    doc, place = [], []
-    for i, s, a in zip(entries.column("ids").to_pylist(), entries.column("sizes").to_pylist(), at, strict=True):
-        ids, start = _unsmall(i, np.int64), np.cumsum(_values(zlib.decompress(s), np.uint32), dtype=np.int64)
-        own = np.searchsorted(start, a, side="right")
-        doc.append(ids[own])
-        place.append(a - np.concatenate([[0], start])[own])
-    doc, place = np.concatenate(doc), np.concatenate(place)
+    doc = np.concatenate([_unsmall(x, np.int64) for x in entries.column("ids").to_pylist()])
+    place = np.concatenate([_values(x, np.uint32) for x in entries.column("starts").to_pylist()])
     order = np.lexsort((place, doc, tag))
     ordered = tag[order]
     new = np.ones(len(ordered), dtype=bool)
@@ -277,7 +287,7 @@ def _candidate_units(joined: DataFrame, width: int, block: int, buckets: int) ->
                 take = cover(words, low[fits], high[fits])[windows]
                 bucket = (other[take] % np.uint64(buckets)).astype(np.int32)
                 unit.add(ids, uids, words.counts, windows[take], bucket, tag[take], np.zeros((take.sum(), 1), bool))
-                if unit.words >= UNIT_WORDS:
+                if unit.full:
                     yield unit.rows()
         if unit.parts:
             yield unit.rows()

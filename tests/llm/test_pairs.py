@@ -4,6 +4,7 @@ import difflib
 import hashlib
 import random
 import re
+import types
 
 import numpy as np
 import pytest
@@ -109,6 +110,27 @@ def test_repeats_are_removed(frame, corpus, width, block):
     assert hashlib.sha256(b"").hexdigest() != ""
 
 
+@pytest.mark.parametrize("with_ids", [False, True])
+def test_rows_of_a_unit_do_not_repeat_its_documents(monkeypatch, with_ids):
+    """The bytes a word costs stay the same from 20 to 20,000 buckets."""
+    monkeypatch.setattr(substrings.TaskContext, "get", staticmethod(lambda: types.SimpleNamespace(partitionId=lambda: 3)))
+    rnd = np.random.default_rng(1)
+    cost = []
+    for buckets in (20, 200, 2000, 20000):
+        unit = substrings._Unit(buckets, 8 if with_ids else 3, with_ids)
+        while not unit.full:
+            sizes = rnd.integers(50, 600, 200)
+            n = int(sizes.sum())
+            ids = np.arange(200, dtype=np.int64) + 10 ** 6
+            unit.add(ids, rnd.integers(0, 2 ** 62, 200), sizes, np.arange(n), rnd.integers(0, buckets, n).astype(np.int32),
+                     rnd.integers(0, 2 ** 62, n).astype(np.uint64), np.zeros((n, 2), bool))
+        words = unit.words
+        rows = unit.rows()
+        cost.append(rows.nbytes / words)
+        assert rows.num_rows <= buckets + 1
+    assert max(cost) <= 1.6 * min(cost)
+
+
 def test_patience_blocks_are_common_and_rise():
     rnd = random.Random(3)
     for _ in range(300):
