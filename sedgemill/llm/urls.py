@@ -13,10 +13,8 @@ from sedgemill.llm.docstats import IS_LOWER
 from sedgemill.llm.textkit import _table, range_hash, runs, slices, texts_of
 from sedgemill.session import written
 
-#: Longest word a name is cut into, and words a task counts before it passes them on.
-LONGEST_WORD, HELD_WORDS = 24, 1 << 18
-# Words that mark a host as an example of what to block.
-BAD_WORDS = ("adult", "ads", "bets", "casino", "lottery", "pills", "poker", "porn", "spam", "viagra", "xxx")
+#: Words a task counts before it passes them on.
+HELD_WORDS = 1 << 18
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 UPPER_LETTERS, LOWER_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,7 +56,7 @@ def word_counts(pages: DataFrame, html: str) -> DataFrame:
                 texts = texts_of(part.column(0))
                 data = LOWER[texts.data]
                 start, end, _ = runs(IS_LOWER[data], texts.offsets)
-                fits = (end - start >= 2) & (end - start <= LONGEST_WORD)
+                fits = end - start >= 2
                 start, end = start[fits], end[fits]
                 key, at, n = np.unique(range_hash(_table(17, 256)[data], start, end, 0x589965CC75374CC3), return_index=True, return_counts=True)
                 raw = data.tobytes()
@@ -74,16 +72,25 @@ def word_counts(pages: DataFrame, html: str) -> DataFrame:
     return pages.select(html).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def best_cut(name: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
-    """The likeliest words of a name: counts of known words, a tenth per letter for unknown ones."""
-    best, came = [0.0], [0]
+def best_cut(name: str, known: list[tuple[int, int, int]], total: int) -> list[str]:
+    """The likeliest words of a name: counts of ``known`` words (start, size, n), a tenth per letter for unknown ones.
+
+    Words may have any length: of the unknown ones that end at a place only the best is carried on.
+    """
+    ends: dict[int, list[tuple[int, int]]] = {}
+    for start, size, n in known:
+        ends.setdefault(start + size, []).append((start, n))
+    best, came, letter = [0.0], [0], log(10)
+    open_, since = 0.0, -1
     for end in range(1, len(name) + 1):
-        options = []
-        for start in range(max(0, end - LONGEST_WORD), end):
-            n = known.get((start, end - start), 0)
-            cost = log(n / total) if n else -log(total) - (end - start) * log(10)
-            options.append((best[start] + cost, start))
-        top = max(options)
+        fresh = best[end - 1] - log(total) - letter
+        if since < 0 or fresh >= open_ - letter:
+            open_, since = fresh, end - 1
+        else:
+            open_ -= letter
+        top = (open_, since)
+        for start, n in ends.get(end, ()):
+            top = max(top, (best[start] + log(n / total), start))
         best.append(top[0])
         came.append(top[1])
     words, end = [], len(name)
@@ -94,18 +101,22 @@ def best_cut(name: str, known: dict[tuple[int, int], int], total: int) -> list[s
 
 
 def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
-    """(name, words) of distinct names: their parts of letters looked up in ``counts`` and cut by a Viterbi path."""
-    total = max(1, counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    spans = names.select("name", F.explode(F.sequence(F.lit(0), F.greatest(F.length("name") - 1, F.lit(0)))).alias("start")).select(
-        "name", "start", F.explode(F.sequence(F.lit(2), F.lit(LONGEST_WORD))).alias("size")).where(
-        F.col("start") + F.col("size") <= F.length("name"))
+    """(name, words) of distinct names: their parts of letters looked up in ``counts`` and cut by a Viterbi path.
+
+    Parts are tried in the lengths that counted words have, which are few.
+    """
+    total = 1 + counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sizes = sorted(r[0] for r in counts.select(F.length("word")).distinct().collect()) or [1]
+    tried = F.filter(F.lit(sizes), lambda size: size <= F.length("name"))
+    spans = names.select("name", F.explode(tried).alias("size")).select(
+        "name", "size", F.explode(F.sequence(F.lit(0), F.length("name") - F.col("size"))).alias("start"))
     spans = spans.withColumn("word", F.substring("name", F.col("start") + 1, F.col("size")))
     known = spans.join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("start", "size", "n")).alias("known"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
-            words = [best_cut(r["name"], {(k["start"], k["size"]): k["n"] for k in r["known"] or ()}, total) for r in rows]
+            words = [best_cut(r["name"], [(k["start"], k["size"], k["n"]) for k in r["known"] or ()], total) for r in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], ["name", "words"])
 
     return names.join(known, "name", "left").select("name", "known").mapInArrow(cut, "name string, words array<string>")
@@ -130,31 +141,34 @@ def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
 
 def judge(
     pages: DataFrame, rules: list[tuple[str, str]], page_id: str = "page_id", url: str = "url", html: str = "html",
-    bad_words: tuple[str, ...] = BAD_WORDS, smooth: float = 1.0,
+    bad_words: tuple[str, ...] = (), smooth: float = 1.0, least: float = 0.9,
 ) -> DataFrame:
     """Verdict on every url: (page_id, host, path, rule, verdict, score, host_words).
 
     ``rules`` are (verdict, host/path) and win where one fits, the longest first. Elsewhere
     multinomial naive Bayes decides: ``score`` is the chance of block, from the words of the
-    host and of the path. Names of hosts are cut into words by unigram counts of all pages'
-    text. Examples of block are the urls whose host has one of ``bad_words`` among its words;
-    all others are examples of allow. Words are counted by host and by path first, so a host
-    with a third of all urls is one row; words and scores stay distributed.
-
-    A null url, or one without ``://``, has an empty host and path and no tokens, and gets the
-    prior's verdict. Equal urls get equal rows. Without examples of both kinds everything is
-    allowed. Null pages count no words. Other columns are not read.
+    host and of the path, and a url is blocked from above ``least``. Rules are no sample of the
+    urls, so their shares are not taken for a prior: that is even. Its examples are the urls that the rules decide; with ``bad_words``
+    all others are examples too, of block where the host has one of them among its words. Names of
+    hosts are cut into words by unigram counts of all pages' text. Words are counted by host
+    and by path first, so a host with a third of all urls is one row; words and scores stay
+    distributed.
+
+    A null url, or one without ``://``, has an empty host and path, no tokens and a score of a
+    half. Equal urls get equal rows; a score of exactly ``least`` allows. Without
+    examples of both kinds everything that no rule decides is allowed. Null pages count no
+    words. Words, hosts and paths may have any length. Other columns are not read.
     """
-    bad = [w.lower() for w in bad_words]
-    spark = pages.sparkSession
     split = pages.select(F.col(page_id).cast("long").alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    split = written(split, "url-parts")
-    seeds = spark.createDataFrame([(w, 1000) for w in bad] or [("", 0)], "word string, n long")
-    counts = written(word_counts(pages, html).unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n")), "url-words")
-    hosts = written(host_words(split.select("host").distinct(), counts).withColumn(
-        "bad", F.arrays_overlap("words", F.array(*[F.lit(w) for w in bad]).cast("array<string>"))), "url-hosts")
-
-    kinds = split.join(hosts.select("host", "bad"), "host")
+    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
+    split = written(split.withColumns({"rule": rule, "ruled": verdict}), "url-parts")
+    counts = written(word_counts(pages, html), "url-words")
+    listed = F.arrays_overlap("words", F.array(*[F.lit(w.lower()) for w in bad_words]).cast("array<string>"))
+    hosts = written(host_words(split.select("host").distinct(), counts).withColumn("listed", listed), "url-hosts")
+
+    block = F.when(F.col("ruled").isNotNull(), F.col("ruled") == "block")
+    block = block.otherwise(F.col("listed")) if bad_words else block
+    kinds = split.join(hosts.select("host", "listed"), "host").withColumn("bad", block).where("bad IS NOT NULL")
     by_host = kinds.groupBy("host", "bad").agg(F.count("*").alias("n"))
     by_path = kinds.groupBy("path", "bad").agg(F.count("*").alias("n")).withColumn("words", _path_tokens(F.col("path")))
     tokens = lambda df, side: df.select(F.explode(F.transform("words", lambda w: F.concat(F.lit(side), w))).alias("token"), "bad", "n")
@@ -165,9 +179,8 @@ def judge(
     size, block, allow = (x or 0 for x in model.agg(F.count("*"), F.sum("block"), F.sum("allow")).first())
     urls = {r[0]: r[1] for r in by_host.groupBy("bad").agg(F.sum("n")).collect()}
     if not urls.get(True) or not urls.get(False):
-        prior, weight = F.lit(-50.0), F.lit(0.0)
+        weight = F.lit(0.0)
     else:
-        prior = F.lit(log(urls[True] / urls[False]))
         weight = F.log((F.col("block") + smooth) / F.lit(block + smooth * size)) - F.log(
             (F.col("allow") + smooth) / F.lit(allow + smooth * size))
     weights = model.select("token", weight.alias("w"))
@@ -177,10 +190,9 @@ def judge(
         return df.select(key).join(one.join(weights, "token").groupBy(key).agg(F.sum("w").alias(f"{key}_score")), key, "left")
 
     paths = split.select("path").distinct().withColumn("words", _path_tokens(F.col("path")))
-    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    margin = prior + F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0))
+    margin = F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0))
     out = split.join(scored(hosts, "host", "h:"), "host").join(scored(paths, "path", "p:"), "path")
     out = out.join(hosts.select("host", F.array_join("words", " ").alias("host_words")), "host")
     out = out.withColumn("score", 1 / (1 + F.exp(-F.least(F.greatest(margin, F.lit(-500.0)), F.lit(500.0)))))
-    method = F.when(F.col("score") > 0.5, "block").otherwise("allow")
-    return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "score", "host_words")
+    method = F.when(F.col("score") > least, "block").otherwise("allow")
+    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "score", "host_words")

@@ -1,6 +1,7 @@
 """Token counts, packing, quality rules, classifier, languages, templates and urls against plain versions."""
 
 import collections
+import math
 import random
 import re
 import zlib
@@ -281,7 +282,7 @@ def test_urls_rules_and_words(spark):
     odd = [None, "", "no scheme", "http://WWW.Example.com/en/X?a#b", "x://a.net/es/1", "ftp://com", "http://sub.example.com/en/#", "http://farmwin.example.org/en/1"]
     rows = [(i, u, "<p>cheap pills farm win casino garden book shop</p>" if i % 2 else None) for i, u in enumerate([*bad, *good, *odd])]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
-    got = {r.page_id: r for r in urls.judge(pages, RULES).collect()}
+    got = {r.page_id: r for r in urls.judge(pages, RULES, bad_words=("spam", "casino", "pills", "win")).collect()}
     assert len(got) == len(rows)
     at = lambda u: got[next(i for i, x, _ in rows if x == u)]
     assert (at(None).host, at(None).path, at(None).rule) == ("", "", None) and at("no scheme").host == ""
@@ -291,3 +292,55 @@ def test_urls_rules_and_words(spark):
     assert {got[i].verdict for i in range(len(bad))} == {"block"} and at(odd[7]).verdict == "block"
     assert {got[len(bad) + i].verdict for i in range(len(good))} == {"allow"}
     assert urls.judge(pages.limit(0), RULES).count() == 0
+
+
+def plain_cut(name, counts, total):
+    """The best of all ways to cut a name."""
+    if not name:
+        return 0.0, []
+    ways = []
+    for i in range(1, len(name) + 1):
+        word = name[:i]
+        cost = math.log(counts[word] / total) if len(word) > 1 and word in counts else -math.log(total) - i * math.log(10)
+        rest, words = plain_cut(name[i:], counts, total)
+        ways.append((cost + rest, [word, *words]))
+    return max(ways)
+
+
+def test_names_are_cut_in_the_likeliest_way():
+    rnd = random.Random(2)
+    counts = collections.Counter({"ab": 9, "abc": 4, "ca": 30, "bca": 2, "aab": 5, "cc": 1, "c" * 40: 3})
+    total = sum(counts.values())
+    for _ in range(150):
+        name = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 11)))
+        known = [(i, len(w), n) for w, n in counts.items() for i in range(len(name)) if name.startswith(w, i)]
+        score, _ = plain_cut(name, counts, total)
+        mine = sum(math.log(counts[w] / total) if len(w) > 1 and w in counts else -math.log(total) - len(w) * math.log(10)
+                   for w in urls.best_cut(name, known, total))
+        assert "".join(urls.best_cut(name, known, total)) == name and abs(mine - score) < 1e-9
+    assert urls.best_cut("ab" + "c" * 40, [(0, 2, 9), (2, 40, 3)], total) == ["ab", "c" * 40]
+
+
+def test_verdicts_are_those_of_plain_naive_bayes(spark):
+    rnd = random.Random(7)
+    kinds = ["good.example.com/en", "www.example.com/en", "a.example.net/es", "b.example.net/fr", "c.example.net/de", "d.example.org/fr", "e.example.org/en"]
+    rows = [(i, f"http://{rnd.choice(kinds)}/{rnd.choice(['shop', 'news', 'a1'])}/{i % 9}", None) for i in range(200)]
+    rows += [(900, None, None), (901, "x://" + "long" * 200 + ".example.org/" + "p/" * 3000, None), (902, rows[3][1], None)]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES).collect()}
+    examples, seen = collections.Counter(), {True: collections.Counter(), False: collections.Counter()}
+    words = {}
+    for i, _, _ in rows:
+        r = got[i]
+        words[i] = [f"h:{w}" for w in r.host_words.split()] + [f"p:{w}" for w in re.findall(r"[a-z0]+", re.sub("[0-9]+", "0", r.path.lower()))]
+        if r.rule:
+            examples[r.verdict == "block"] += 1
+            seen[r.verdict == "block"].update(words[i])
+    vocabulary = set(seen[True]) | set(seen[False])
+    total = {k: sum(c.values()) + len(vocabulary) for k, c in seen.items()}
+    assert examples[True] and examples[False]
+    for i, _, _ in rows:
+        margin = sum(
+            math.log((seen[True][w] + 1) / total[True]) - math.log((seen[False][w] + 1) / total[False]) for w in words[i] if w in vocabulary)
+        assert abs(got[i].score - 1 / (1 + math.exp(-max(-500, min(500, margin))))) < 1e-9
+        if got[i].rule is None:
+            assert got[i].verdict == ("block" if got[i].score > 0.9 else "allow")
