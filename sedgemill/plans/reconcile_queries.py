@@ -38,6 +38,34 @@ def missing_media_query(spark, sf_dir):
     return _missing(spark, sf_dir)
 
 
+# Documents of every third source do not say their slug: the name of their folder stands in.
+FOLDER_SQL = with_views("f_media", "f_files") + f""",
+named AS (SELECT *, CASE WHEN CAST(substr(source_slug, 5) AS BIGINT) % 3 = 0 THEN concat('folder=', source_slug) ELSE source_slug END AS slug FROM f_media)
+SELECT m.slug, m.post_id, m.url, concat('{ROOT}/', m.slug, '/', m.local_path) AS local_path
+FROM named m WHERE m.local_path IS NOT NULL AND NOT EXISTS
+  (SELECT 1 FROM f_files f WHERE f.source_slug = m.source_slug AND f.local_path = m.local_path)
+"""
+
+
+@query("missing_document_media", FOLDER_SQL)
+def missing_document_media_query(spark, sf_dir):
+    """Media named inside the documents of a folder per source."""
+    bare = F.substr("source_slug", F.lit(5)).cast("bigint") % 3 == 0
+    slug = F.when(~bare, F.col("source_slug"))
+
+    def write(path):
+        media = fixture(spark, sf_dir, "f_media")
+        posts = media.groupBy("source_slug", "post_id").agg(F.collect_list(F.struct("url", "local_path")).alias("media"))
+        docs = posts.groupBy("source_slug").agg(F.collect_list(F.struct(F.col("post_id").alias("id"), "media")).alias("posts"))
+        docs = docs.select(F.col("source_slug").alias("folder"), F.struct(slug.alias("slug"), F.lit("n").alias("name")).alias("metadata"), "posts")
+        docs.repartition(8, "folder").write.partitionBy("folder").json(path)
+
+    docs = read_archives(spark, rendered(spark, sf_dir, "media-folders", write), prune=("media",))
+    name = F.coalesce(slug, F.concat(F.lit("folder="), "source_slug"))
+    files = fixture(spark, sf_dir, "f_files").select(F.concat(F.lit(f"{ROOT}/"), name, F.lit("/"), "local_path").alias("path"))
+    return rc.missing_document_media(docs, files, ROOT)
+
+
 @query("missing_media_summary", MISSING_SQL + """
 SELECT (SELECT count(*) FROM f_sources) AS files_checked, count(DISTINCT slug) AS files_with_missing, count(*) AS missing_media
 FROM missing

@@ -46,7 +46,7 @@ def archive_documents(raw: DataFrame) -> DataFrame:
     )
 
 
-def _path_only(path: Column) -> Column:
+def path_only(path: Column) -> Column:
     """A file's path without scheme and authority, without its name, percent escapes decoded."""
     folder = F.regexp_replace(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), r"/[^/]*$", "")
     return F.coalesce(F.try_url_decode(F.regexp_replace(folder, r"\+", "%2B")), folder)
@@ -94,7 +94,7 @@ def read_archives(
         raise ValueError(f"unknown layout {layout}")
     if layout != "lines" and prune:
         # Only what lies below a given folder is pruned: its own path may have such a name.
-        raw = raw.withColumn("_folders", F.split(_path_only(F.col("path")), "/"))
+        raw = raw.withColumn("_folders", F.split(path_only(F.col("path")), "/"))
         dropped = F.lit(False)
         for parts in (_segments(spark, p) for p in paths):
             below = F.slice("_folders", F.lit(len(parts) + 1), F.greatest(F.size("_folders"), F.lit(1)))

@@ -125,6 +125,23 @@ def test_counts_of_a_merge_read_each_snapshot_once(spark):
     assert [tuple(r) for r in s.stats().collect()] == [("s0", 3, 3, 2, 0, 0, 2)]
 
 
+def test_media_are_looked_for_by_the_documents_slug_or_folder(spark, tmp_path):
+    media = [{"url": "u1", "local_path": "media/a.jpg"}, {"url": "u2", "local_path": "/abs/b.jpg"}, {"url": "u3"}, {"local_path": ""}]
+    for name, doc in {"x y/one": {"metadata": {"slug": "s"}, "posts": [{"id": "1", "media": media}]},
+                      "x y/two": {"metadata": {"slug": ""}, "posts": [{"media": media[:1]}, {"id": "3", "media": None}]},
+                      "x y/three": {"posts": [{"id": "4", "media": media[:1]}]}, "x y/bad": {"posts": "x"}}.items():
+        path = tmp_path / f"{name}.json"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(json.dumps(doc))
+    docs, here = read_archives(spark, str(tmp_path)), f"{tmp_path}/x y"
+    found = rows(rc.referenced_media(docs), "slug", "post_id", "url", "local_path")
+    assert found == [("s", "1", "u1", f"{here}/media/a.jpg"), ("s", "1", "u2", "/abs/b.jpg"), ("x y", "", "u1", f"{here}/media/a.jpg"),
+                     ("x y", "4", "u1", f"{here}/media/a.jpg")]
+    have = spark.createDataFrame([("/m/s/media/a.jpg",), ("/abs/b.jpg",)], "path string")
+    missing = rc.missing_document_media(docs, have, "/m/")
+    assert rows(missing, "slug", "local_path") == [("x y", "/m/x y/media/a.jpg")] * 2
+
+
 def test_pages_that_end_a_crawl(spark):
     post = '<article class="post"><div id="arepl-1" data-id="1"></div></article>'
     pages = spark.createDataFrame([(1, None), (2, " \ufeff\n"), (3, "<p>x</p>"), (4, post * 3), (5, post + '<i class="post-sources-placeholder">'),
