@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 import sedgemill
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sedgemill.functions import absolutize_url
-from sedgemill.operators.html_tree import JS_SPACE, Element, parse
+from sedgemill.operators.html_tree import JS_SPACE, Walk, parse
 from sedgemill.operators.shuffles import lookup_join
 
 # The parser travels with the job, so executors need no copy of the package.
@@ -46,59 +46,93 @@ POST_SCHEMA = (
 )
 
 
-def _over_pages(
-    pages: DataFrame, html: str, schema: str, read: Callable[[Element], Iterable[tuple]]
-) -> DataFrame:
-    """Rows that ``read`` finds in each page, next to the page's other columns."""
+def _over_pages(pages: DataFrame, html: str, schema: str, read: Callable[[str], Iterable[tuple]]) -> DataFrame:
+    """Rows that ``read`` finds in the text of each page, next to the page's other columns; in Arrow batches."""
     keep = [c for c in pages.columns if c != html]
-    names = [part.strip().split(" ")[0] for part in _fields(schema)]
+    found_schema = pages.sparkSession.createDataFrame([], schema).toArrow().schema
+    names, kinds = found_schema.names, found_schema.types
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, origin = [], []
-            for i, text in enumerate(batch[html]):
-                for row in read(parse(text)):
+            for i, text in enumerate(batch.column(len(keep)).to_pylist()):
+                for row in read(text):
                     found.append(row)
                     origin.append(i)
-            out = batch[keep].iloc[origin].reset_index(drop=True)
-            rows = pd.DataFrame(found, columns=names)
-            yield pd.concat([out, rows], axis=1) if keep else rows
+            kept = batch.select(keep).take(pa.array(origin, pa.int32())).columns if keep else []
+            rows = [pa.array([row[j] for row in found], kind) for j, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*kept, *rows], [*keep, *names])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in keep)
     full = f"{kept}, {schema}" if kept else schema
-    return pages.where(F.col(html).isNotNull()).select(*keep, html).mapInPandas(run, full)
-
-
-def _fields(schema: str) -> list[str]:
-    """Top-level fields of a DDL schema."""
-    fields, depth, start = [], 0, 0
-    for i, ch in enumerate(schema):
-        depth += (ch == "<") - (ch == ">")
-        if ch == "," and depth == 0:
-            fields.append(schema[start:i])
-            start = i + 1
-    return [*fields, schema[start:]]
+    return pages.where(F.col(html).isNotNull()).select(*keep, html).mapInArrow(run, full)
 
 
 def _trim(text: str) -> str:
     return text.strip(JS_SPACE)
 
 
-def _posts(page: Element) -> Iterator[tuple]:
+class _Post:
+    """What is found inside a post block so far; texts are lists of pieces."""
+
+    def __init__(self) -> None:
+        self.head: dict[str, str] | None = None
+        self.images: list[dict] = []
+        self.videos: list[dict] = []
+        self.bodies: list[list[str]] = []
+        self.links: list[tuple[list[str], str | None]] = []
+        self.more: tuple[list[str], str | None] | None = None
+
+
+class _Posts(Walk):
+    """Post blocks of a page in their order, from one walk; blocks may lie in one another."""
+
+    def __init__(self) -> None:
+        super().__init__([POST, POST_IMAGE, POST_VIDEO, POST_BODY, f"{POST_BODY} a", MORE_LINK])
+        self.found: list[_Post] = []
+
+    def start(self, tag: str, attrs: dict[str, str], fits: list[int]) -> list:
+        kept: list = []
+        if self.scopes:
+            if tag == POST_META_TAG and attrs.get("id", "").startswith(POST_META_ID_PREFIX):
+                for post in self.scopes:
+                    post.head = post.head or attrs
+            text: list[str] | None = None
+            for fit in fits:
+                if fit == 1 and "src" in attrs:
+                    for post in self.scopes:
+                        post.images.append({"type": "image", "url": attrs["src"]})
+                elif fit == 2:
+                    for post in self.scopes:
+                        post.videos.append({"type": "video", "url": attrs.get(VIDEO_ATTRIBUTE)})
+                elif fit >= 3:
+                    text = [] if text is None else text
+                    for post in self.scopes:
+                        if fit == 3:
+                            post.bodies.append(text)
+                        elif fit == 4:
+                            post.links.append((text, attrs.get("href")))
+                        else:
+                            post.more = post.more or (text, attrs.get("href"))
+            if text is not None:
+                kept.append(text)
+        if 0 in fits:
+            post = _Post()
+            self.found.append(post)
+            kept.append(post)
+        return kept
+
+
+def _posts(text: str) -> Iterator[tuple]:
     n = 0
-    for post in page.find(POST):
-        heads = [e for e in post.find(POST_META_TAG) if e.attrs.get("id", "").startswith(POST_META_ID_PREFIX)]
-        if not heads:
+    for post in _Posts().over(text).found:
+        if post.head is None:
             continue
-        images = [{"type": "image", "url": e.attrs["src"]} for e in post.find(POST_IMAGE) if "src" in e.attrs]
-        videos = [{"type": "video", "url": e.attrs.get(VIDEO_ATTRIBUTE)} for e in post.find(POST_VIDEO)]
-        bodies = post.find(POST_BODY)
-        links = [{"text": _trim(a.text()), "url": a.attrs.get("href")} for a in post.find(f"{POST_BODY} a")]
-        more = post.find(MORE_LINK)[:1]
-        continued = more[0].attrs.get("href") if more and _trim(more[0].text()).startswith(MORE_TEXT) else None
-        attributes = [heads[0].attrs.get(a) for a in POST_ATTRIBUTES.values()]
-        content = _trim("".join(b.text() for b in bodies))
-        yield (n, *attributes, content, continued, images + videos, links)
+        links = [{"text": _trim("".join(said)), "url": href} for said, href in post.links]
+        continued = post.more[1] if post.more and _trim("".join(post.more[0])).startswith(MORE_TEXT) else None
+        attributes = [post.head.get(a) for a in POST_ATTRIBUTES.values()]
+        content = _trim("".join(piece for body in post.bodies for piece in body))
+        yield (n, *attributes, content, continued, post.images + post.videos, links)
         n += 1
 
 
@@ -124,8 +158,8 @@ def html_post_links(posts: DataFrame) -> DataFrame:
 def html_links(pages: DataFrame, html: str = "html", scope: str = "") -> DataFrame:
     """Anchors with an address, inside elements that match ``scope`` or anywhere."""
 
-    def read(page: Element) -> Iterator[tuple]:
-        for n, a in enumerate(e for e in page.find(f"{scope} a") if "href" in e.attrs):
+    def read(text: str) -> Iterator[tuple]:
+        for n, a in enumerate(e for e in parse(text).find(f"{scope} a") if "href" in e.attrs):
             yield n, _trim(a.text()), a.attrs["href"]
 
     return _over_pages(pages, html, "pos int, text string, url string", read)
@@ -134,8 +168,8 @@ def html_links(pages: DataFrame, html: str = "html", scope: str = "") -> DataFra
 def html_sources(pages: DataFrame, html: str = "html") -> DataFrame:
     """Sources listed on the index page, in page order; a missing handler has a default."""
 
-    def read(page: Element) -> Iterator[tuple]:
-        for n, e in enumerate(page.find(SOURCE)):
+    def read(text: str) -> Iterator[tuple]:
+        for n, e in enumerate(parse(text).find(SOURCE)):
             yield (n, *[e.attrs.get(a) for a in SOURCE_ATTRIBUTES.values()])
 
     schema = "pos int, " + ", ".join(f"{c} string" for c in SOURCE_ATTRIBUTES)
@@ -146,8 +180,8 @@ def html_sources(pages: DataFrame, html: str = "html") -> DataFrame:
 def html_full_content(pages: DataFrame, html: str = "html") -> DataFrame:
     """Trimmed text of the first body of a post's own page; pages without one give no row."""
 
-    def read(page: Element) -> Iterator[tuple]:
-        for body in page.find(FULL_BODY)[:1]:
+    def read(text: str) -> Iterator[tuple]:
+        for body in parse(text).find(FULL_BODY)[:1]:
             yield (_trim(body.text()),)
 
     return _over_pages(pages, html, "body string", read)
@@ -174,7 +208,7 @@ def feed_page_status(pages: DataFrame, key: str, html: str = "html") -> DataFram
         key, F.coalesce(html, F.lit("")).alias(html), blank.alias("_blank"),
         F.coalesce(F.col(html).contains(END_MARK), F.lit(False)).alias("_mark"))
     # One pass: a page's flags go with it through the walk, which gives its count even if that is 0.
-    rows = _over_pages(flags, html, "posts long", lambda page: ((sum(1 for _ in _posts(page)),),))
+    rows = _over_pages(flags, html, "posts long", lambda text: ((sum(1 for _ in _posts(text)),),))
     status = (
         F.when(F.col("_blank"), "blank").when(F.col("_mark"), "placeholder")
         .when(F.col("posts") == 0, "no_posts").otherwise("more"))

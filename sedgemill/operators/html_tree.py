@@ -1,4 +1,4 @@
-"""A small element tree over the standard HTML parser, used inside tasks."""
+"""HTML inside tasks, over the standard parser: a small element tree, and a walk that keeps no tree."""
 
 from __future__ import annotations
 
@@ -75,6 +75,27 @@ def steps(selector: str) -> list[tuple[str, frozenset[str]]]:
     return _known_steps[selector]
 
 
+def first_values(attrs: list[tuple[str, str | None]]) -> dict[str, str]:
+    """Attributes by name; of repeated ones the first, without a value an empty text."""
+    return {name: value or "" for name, value in reversed(attrs)}
+
+
+def ended_by(tag: str) -> list[tuple[set[str], set[str]]]:
+    """(tags, stops) that the start of ``tag`` ends: the nearest open one of the tags, unless a stop lies between."""
+    out = [({"p"}, {"table", "td", "th", "button"})] if tag in BLOCKS else []
+    if tag == "li":
+        out.append(({"li"}, {"ul", "ol"}))
+    elif tag in ("dt", "dd"):
+        out.append(({"dt", "dd"}, {"dl"}))
+    elif tag == "tr":
+        out.append(({"tr"}, {"table"}))
+    elif tag in ("td", "th"):
+        out.append(({"td", "th"}, {"table", "tr"}))
+    elif tag in ("a", "option"):
+        out.append(({tag}, {"table", "select"}))
+    return out
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -90,22 +111,9 @@ class _Builder(HTMLParser):
             element = element.parent
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCKS:
-            self._close({"p"}, {"table", "td", "th", "button"})
-        if tag == "li":
-            self._close({"li"}, {"ul", "ol"})
-        elif tag in ("dt", "dd"):
-            self._close({"dt", "dd"}, {"dl"})
-        elif tag == "tr":
-            self._close({"tr"}, {"table"})
-        elif tag in ("td", "th"):
-            self._close({"td", "th"}, {"table", "tr"})
-        elif tag in ("a", "option"):
-            self._close({tag}, {"table", "select"})
-        first: dict[str, str] = {}
-        for name, value in attrs:
-            first.setdefault(name, value if value is not None else "")
-        element = Element(tag, first, self.open)
+        for tags, stops in ended_by(tag):
+            self._close(tags, stops)
+        element = Element(tag, first_values(attrs), self.open)
         self.open.children.append(element)
         if tag not in VOID:
             self.open = element
@@ -119,7 +127,75 @@ class _Builder(HTMLParser):
 
 
 def parse(html: str) -> Element:
-    builder = _Builder()
-    builder.feed(html.replace("\r\n", "\n").replace("\r", "\n"))
-    builder.close()
-    return builder.root
+    return _fed(_Builder(), html).root
+
+
+def _fed(parser: HTMLParser, html: str) -> HTMLParser:
+    parser.feed(html.replace("\r\n", "\n").replace("\r", "\n"))
+    parser.close()
+    return parser
+
+
+class Walk(HTMLParser):
+    """Matches selectors while the parser runs, and keeps only the open elements.
+
+    Of each open element it knows how many outer steps of each selector it and those around it
+    fit. ``start`` is called for every element with the numbers of the selectors it fits; what
+    it returns is kept while the element is open: a list (which gets the text inside, without
+    scripts and styles) in ``texts``, and anything else in ``scopes``.
+    """
+
+    def __init__(self, selectors: list[str]) -> None:
+        super().__init__(convert_charrefs=True)
+        self.chains = [steps(s) for s in selectors]
+        self.open: list[tuple[str, tuple[int, ...], int, int, bool]] = [("", (0,) * len(selectors), 0, 0, False)]
+        self.texts: list[list[str]] = []
+        self.scopes: list[object] = []
+
+    def start(self, tag: str, attrs: dict[str, str], fits: list[int]) -> list:
+        raise NotImplementedError
+
+    def _close(self, tags: set[str], stops: set[str]) -> None:
+        for depth in range(len(self.open) - 1, 0, -1):
+            tag, _, texts, scopes, _ = self.open[depth]
+            if tag in stops:
+                return
+            if tag in tags:
+                del self.open[depth:], self.texts[texts:], self.scopes[scopes:]
+                return
+
+    def handle_starttag(self, tag, attrs):
+        for tags, stops in ended_by(tag):
+            self._close(tags, stops)
+        named = first_values(attrs)
+        classes = set(named["class"].split()) if "class" in named else ()
+        _, around, _, _, silent = self.open[-1]
+        fits, inner = [], None
+        for i, chain in enumerate(self.chains):
+            at = around[i]
+            wanted, needed = chain[at]
+            if (not wanted or wanted == tag) and (not needed or (classes and needed <= classes)):
+                if at == len(chain) - 1:
+                    fits.append(i)
+                else:
+                    inner = inner or list(around)
+                    inner[i] = at + 1
+        texts, scopes = len(self.texts), len(self.scopes)
+        for kept in self.start(tag, named, fits):
+            (self.texts if isinstance(kept, list) else self.scopes).append(kept)
+        if tag in VOID:
+            del self.texts[texts:], self.scopes[scopes:]
+        else:
+            self.open.append((tag, tuple(inner) if inner else around, texts, scopes, silent or tag in ("script", "style")))
+
+    def handle_endtag(self, tag):
+        if tag not in VOID:
+            self._close({tag}, set())
+
+    def handle_data(self, data):
+        if self.texts and not self.open[-1][4]:
+            for text in self.texts:
+                text.append(data)
+
+    def over(self, html: str) -> Walk:
+        return _fed(self, html)

@@ -1,11 +1,13 @@
 """Operators on small hand-made inputs: golden rows, edge rows, hot keys."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from sedgemill.operators import api_index, dedup, feed, flatten as fl, html, merge as mg, planning as pl, profile as pf, reconcile as rc
+from sedgemill.operators.html_tree import parse
 from sedgemill.operators.shuffles import lookup_join, with_row_index
 from sedgemill.operators.upsert import insert_or_ignore
 from sedgemill.plans.merge_queries import Sides
@@ -373,3 +375,39 @@ def test_merged_errors_keep_their_order_in_the_archive(spark, tmp_path):
     back = fl.explode_posts(read_archives(spark, str(tmp_path / "m"), layout="lines"))
     ordered = fl.flatten_errors(back).orderBy("post_id", "pos").select("post_id", "error").collect()
     assert [tuple(r) for r in ordered] == [("1", "b"), ("1", "c"), ("1", "d")]
+
+
+def tree_posts(page):
+    """Posts by searches in an element tree, as a plain version of the walk."""
+    n = 0
+    for post in page.find(html.POST):
+        heads = [e for e in post.find(html.POST_META_TAG) if e.attrs.get("id", "").startswith(html.POST_META_ID_PREFIX)]
+        if not heads:
+            continue
+        trim = lambda text: text.strip(html.JS_SPACE)
+        images = [{"type": "image", "url": e.attrs["src"]} for e in post.find(html.POST_IMAGE) if "src" in e.attrs]
+        videos = [{"type": "video", "url": e.attrs.get(html.VIDEO_ATTRIBUTE)} for e in post.find(html.POST_VIDEO)]
+        links = [{"text": trim(a.text()), "url": a.attrs.get("href")} for a in post.find(f"{html.POST_BODY} a")]
+        more = post.find(html.MORE_LINK)[:1]
+        continued = more[0].attrs.get("href") if more and trim(more[0].text()).startswith(html.MORE_TEXT) else None
+        content = trim("".join(b.text() for b in post.find(html.POST_BODY)))
+        yield (n, *[heads[0].attrs.get(a) for a in html.POST_ATTRIBUTES.values()], content, continued, images + videos, links)
+        n += 1
+
+
+def test_one_walk_finds_what_tree_searches_find():
+    rnd = random.Random(4)
+    starts = ['<article class="post">', '<div id="arepl-1" data-id="1" data-id="2" data-n>', '<div class="leadtextborder x wordbreak">', "<figure>",
+              '<img class="imgfit" src="a&amp;b">', "<img class=imgfit>", '<div class="video-wrapper">', '<b class="fb-video" data-href="v">',
+              '<div class="pt-1 clearfix">', '<span class="float-right">', '<a href="/m">', "<a>", "<p>", "<li>", "<ul>", "<table>", "<tr>", "<td>",
+              "<script>", "<style>", "<br>", '<p class="wordbreak leadtextborder">']
+    texts = [" Folytatódik ", "x &lt; y", "\n", "é", "<!-- c -->", "Folytat", "&nbsp;"]
+    ends = ["</article>", "</div>", "</figure>", "</span>", "</a>", "</p>", "</li>", "</ul>", "</table>", "</td>", "</script>", "</style>", "</b>"]
+    seen = 0
+    for _ in range(1500):
+        page = "".join(rnd.choice(rnd.choice([starts, starts, texts, ends])) for _ in range(rnd.randint(0, 60)))
+        page = rnd.choice(["", starts[0] + starts[1], starts[0] + starts[1] + starts[2]]) + page
+        want = list(tree_posts(parse(page)))
+        assert list(html._posts(page)) == want
+        seen += len(want)
+    assert seen > 300
