@@ -28,4 +28,4 @@ def test_stages_in_order(spark, frame, corpus, tmp_path):
 
 def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
