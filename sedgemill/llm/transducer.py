@@ -22,10 +22,10 @@ from sedgemill.llm.textkit import Texts, map_texts, process_store
 
 #: States and symbols for which the tables have room; beyond them the machine is compiled anew.
 MOST_STATES, SYMBOLS = 1 << 17, 160
-#: Last tokens are compared by what they allow below nodes with at most so many tokens below.
+#: Last tokens are compared by what they allow only below nodes with at most so many tokens below.
 COMPARED_TOKENS = 16
-#: Bytes a lane of the machine reads, about.
-LANE_BYTES = 256
+#: Bytes of a chunk.
+CHUNK_BYTES = 256
 SPACE_CLASS, LETTER, DIGIT, SIGN = range(4)
 # The pieces that the pattern of this tokenizer cuts after an apostrophe.
 SHORT_ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -135,7 +135,7 @@ class Machine:
                 a = right[a]
 
     def stands_for(self, node: int, last: int) -> int | None:
-        """The last token that allows the same tokens below ``node`` as ``last`` does; None if it allows none."""
+        """A last token that allows the same tokens below ``node`` as ``last`` does; None if it is seen to allow none."""
         key = (node, last)
         if key not in self.allowed:
             below = self.tokens_below.get(node)
@@ -147,7 +147,7 @@ class Machine:
                     open_ += self.children[at].values()
                 self.tokens_below[node] = below
             if len(below) > COMPARED_TOKENS:
-                found = last if any(self.neighbours(last, t) for t in below) else None
+                found = last
             else:
                 allows = tuple([self.neighbours(last, t) for t in below])
                 found = self.alike.setdefault((node, allows), last) if any(allows) else None
@@ -180,52 +180,55 @@ class Machine:
         return number, change
 
     def count(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Tokens of each lane ``codes[first[i]:first[i + 1]]``; lanes begin and end with whole pieces.
+        """Tokens that begin to count in each chunk ``codes[first[i]:first[i + 1]]``; chunks are cut anywhere.
 
-        If a slice needs more states than the tables hold, it is counted in two halves.
+        Chunks that need more states than the tables hold are counted in parts, each entered
+        with the state the part before it left.
         """
-        if len(self.states) > MOST_STATES * 7 // 8 or len(self.symbols) > SYMBOLS * 7 // 8:
-            self.clear()
-        try:
-            return self._count(codes, first)
-        except _Full:
-            self.clear()
-            if len(first) == 2:
-                return np.array([sum(self._alone(p) for p in self._pieces(codes))])
-            half = len(first) // 2
-            return np.concatenate([self.count(codes, first[:half + 1]), self.count(codes, first[half:])])
-
-    def _pieces(self, codes: np.ndarray) -> list[list[int]]:
-        ends = np.flatnonzero(codes >= 256) + 1
-        return [codes[a:b].tolist() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-
-    def _alone(self, piece: list[int]) -> int:
-        state, total = 0, 0
-        for code in piece:
+        entry, counted, parts = self.states[0], [], [(0, len(first) - 1)]
+        while parts:
+            low, high = parts.pop()
+            fresh = len(self.states) == 1
+            try:
+                totals, entry = self._count(codes, first[low:high + 1], entry)
+                counted.append(totals)
+            except _Full:
+                self.clear()
+                if not fresh:
+                    parts.append((low, high))
+                elif high - low > 1:
+                    size = min((high - low + 1) // 2, max(1, MOST_STATES // 4 // CHUNK_BYTES))
+                    cuts = [*range(low, high, size), high]
+                    parts += list(zip(cuts, cuts[1:]))[::-1]
+                else:
+                    total, entry = self._alone(codes[first[low]:first[high]].tolist(), entry)
+                    counted.append(np.array([total]))
+        return np.concatenate(counted)
+
+    def _alone(self, codes: list[int], entry: tuple) -> tuple[int, tuple]:
+        total = 0
+        for code in codes:
             if len(self.states) >= MOST_STATES:
-                kept = self.states[state]
                 self.clear()
-                if kept not in self.number:
-                    self.number[kept] = len(self.states)
-                    self.states.append(kept)
-                state = self.number[kept]
-            state, change = self.step(state, code)
+            state, change = self.step(self._entered(entry), code)
+            entry = self.states[state]
             total += change
-        return total
-
-    def _count(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        lanes = codes[first[0]:first[-1]]
-        for code in np.unique(lanes[self.symbol[lanes] < 0]).tolist():
-            if len(self.symbols) >= SYMBOLS:
-                raise _Full
-            self.symbol[code] = len(self.symbols)
-            self.symbols.append(code)
-        size = np.diff(first)
-        order = np.argsort(-size, kind="stable")
-        begin, size = first[:-1][order], size[order]
+        return total, entry
+
+    def _entered(self, state: tuple) -> int:
+        """The number of a state, which the tables may have lost."""
+        number = self.number.setdefault(state, len(self.states))
+        if number == len(self.states):
+            self.states.append(state)
+        return number
+
+    def _run(self, codes: np.ndarray, begin: np.ndarray, end: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State and change of the count after ``codes[begin[i]:end[i]]``, entered in state ``entry[i]``."""
+        order = np.argsort(begin - end, kind="stable")
+        begin, size, state = begin[order], (end - begin)[order], entry[order]
+        total = np.zeros(len(size), dtype=np.int64)
         longest = int(size[0]) if len(size) else 0
         active = np.searchsorted(-size, -np.arange(longest), side="left")
-        state, total = np.zeros(len(size), dtype=np.int64), np.zeros(len(size), dtype=np.int64)
         for t in range(longest):
             m = active[t]
             at = state[:m] * SYMBOLS + self.symbol[codes[begin[:m] + t]]
@@ -238,9 +241,55 @@ class Machine:
                 into = self.next[at]
             total[:m] += self.change[at]
             state[:m] = into
-        out = np.empty(len(size), dtype=np.int64)
-        out[order] = total
-        return out
+        back = np.empty(len(order), dtype=np.int64)
+        back[order] = np.arange(len(order))
+        return state[back], total[back]
+
+    def _count(self, codes: np.ndarray, first: np.ndarray, entry: tuple) -> tuple[np.ndarray, tuple]:
+        """Tokens of each chunk and the state after the last one.
+
+        A chunk's map gives, for each state that may enter it, the state that leaves it and the
+        change of the count. Behind its first end of a piece the state does not depend on the
+        entry, so that part is run once; the part before is run from the states that leave the
+        chunk before, the start state standing in where those are not known yet, until no chunk
+        is left with an entry it has not been run from. Maps compose by doubling.
+        """
+        for code in np.unique(codes[first[0]:first[-1]]).tolist():
+            if self.symbol[code] < 0:
+                if len(self.symbols) >= SYMBOLS:
+                    raise _Full
+                self.symbol[code] = len(self.symbols)
+                self.symbols.append(code)
+        begin, end, n = first[:-1], first[1:], len(first) - 1
+        closed = np.append(np.flatnonzero(codes[first[0]:first[-1]] >= 256) + first[0], first[-1])
+        head = np.minimum(closed[np.searchsorted(closed, begin)] + 1, end)
+        constant = codes[head - 1] >= 256
+        leaves, tail = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        leaves[constant], tail[constant] = self._run(
+            codes, head[constant], end[constant], np.zeros(constant.sum(), dtype=np.int64))
+
+        known, into, change = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        wanted = np.arange(n) * MOST_STATES + np.concatenate([[self._entered(entry)], leaves[:-1]])
+        while len(wanted):
+            chunk, state = np.divmod(wanted, MOST_STATES)
+            state, counted = self._run(codes, begin[chunk], head[chunk], state)
+            state = np.where(constant[chunk], leaves[chunk], state)
+            known, into = np.concatenate([known, wanted]), np.concatenate([into, state])
+            change = np.concatenate([change, counted + tail[chunk]])
+            follows = (wanted // MOST_STATES + 1) * MOST_STATES + state
+            wanted = np.setdiff1d(follows[chunk < n - 1], known)
+
+        order = np.argsort(known)
+        known, into, change = known[order], into[order], change[order]
+        chunk = known // MOST_STATES
+        last = chunk == n - 1
+        # An entry of a map points to the entry of the next chunk's map that it leads to.
+        jump = np.where(last, np.arange(len(known)), np.searchsorted(known, (chunk + 1) * MOST_STATES + into) % len(known))
+        path = np.zeros(1, dtype=np.int64)
+        while len(path) < n:
+            path = np.concatenate([path, jump[path]])[:n]
+            jump = jump[jump]
+        return change[path], self.states[into[path[-1]]]
 
     def class_of(self, codes: np.ndarray) -> np.ndarray:
         """Space, letter, digit or sign of code points, asked of the library's own pattern once for each."""
@@ -349,13 +398,9 @@ def token_numbers(built: Machine, texts: Texts) -> np.ndarray:
     last[:-1] = first[1:]
     codes[last] += 256
     edges = np.searchsorted(solid, texts.offsets)
-    # A chunk maps whatever state enters it to the start state at its first piece, so the maps
-    # of chunks before a place compose to: the start state at the last piece start, a running maximum.
-    place = np.arange(len(solid))
-    piece = np.maximum.accumulate(np.where(first, place, 0))
-    cuts = np.unique(np.concatenate([piece[place[::LANE_BYTES]], edges[:-1][np.diff(edges) > 0]]))
-    lanes = np.append(cuts, len(solid))
-    counted = built.count(codes, lanes)
+    # Chunks end at fixed bytes, inside pieces and characters too, and where texts end.
+    cuts = np.unique(np.concatenate([np.arange(0, len(solid), CHUNK_BYTES), edges[:-1][np.diff(edges) > 0]]))
+    counted = built.count(codes, np.append(cuts, len(solid)))
     doc = np.searchsorted(edges, cuts, side="right") - 1
     return np.bincount(doc, counted, n).astype(np.int64)
 
@@ -382,7 +427,8 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
 
     Made for files whose model is byte-pair encoding with word ends over NFC lower-case text.
     The file's special strings inside a text are one token each. No begin or end tokens are
-    counted. Null and empty texts have 0 bytes and tokens. Every row is counted alone;
+    counted. Null and empty texts have 0 bytes and tokens; a text without any space is cut into
+    chunks like others. Every row is counted alone;
     repeated rows, null ids and other columns make no difference. Executors read the file at
     the same path.
     """

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from sedgemill.llm import boosting, docstats, language, packing, repetition, templates, transducer, urls
 from sedgemill.llm.cutting_stock import patterns
 from sedgemill.llm.queries import LLM_PLANS, LLM_SQL
+from sedgemill.llm.textkit import Texts
 from tests.llm.conftest import sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -34,6 +35,27 @@ def test_token_counts_are_the_librarys(frame, corpus):
     assert sorted(map(tuple, got), key=str) == want
 
 
+def test_unbroken_runs_are_cut_inside_pieces(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rnd = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = ["a" * 100_000, "ab" * 999, "abc" * 5000 + " x", "".join(rnd.choices(letters, k=6_000)), "ñ" * 1000 + " é", "", " ",
+            "".join(rnd.choices("ab", k=5000)), "1" * 3000, "!" * 3001, "the quick brown fox " * 500,
+            "".join(rnd.choice("abstrelmd'' .,!?19é\n") for _ in range(9_000))]
+    lib = Tokenizer.from_file(path)
+    want = [len(lib.encode(t, add_special_tokens=False).ids) for t in rows]
+    raw = [t.encode() for t in rows]
+    texts = Texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert transducer.token_numbers(transducer.Machine(path), texts).tolist() == want
+    monkeypatch.setattr(transducer, "CHUNK_BYTES", 7)
+    assert transducer.token_numbers(transducer.Machine(path), texts).tolist() == want
+    # Tables too small for the whole, then for one chunk.
+    for states, chunk in ((4096, 64), (100, 256)):
+        monkeypatch.setattr(transducer, "MOST_STATES", states)
+        monkeypatch.setattr(transducer, "CHUNK_BYTES", chunk)
+        assert transducer.token_numbers(transducer.Machine(path), texts).tolist() == want
+
+
 def test_packing_covers_every_id_once(frame, corpus):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = [(n, t) for n, (_, t) in enumerate(corpus + [(0, t) for t in ODD])]
