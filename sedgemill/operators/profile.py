@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sedgemill.functions import json_type, shallow_json_type
 from sedgemill.operators.shuffles import lookup_join
+from sedgemill.session import written
 
 MAX_DEPTH = 10
 EXAMPLE_LENGTH = 80
@@ -54,59 +55,55 @@ def json_file_profile(files: DataFrame) -> DataFrame:
     )
 
 
-def _described(node: Column, deep: bool) -> Column:
-    """The row of a node, without its value."""
-    v, items, fields = node["v"], node["items"], node["fields"]
+def _described(level: DataFrame, deep: bool) -> DataFrame:
+    """A row for each value of one depth; ``open_v`` keeps those that have values below."""
+    v, fields, items, types = F.col("_v"), F.col("_fields"), F.col("_items"), F.col("_types")
     if deep:
-        kind, types, text = F.lit("unknown"), F.lit(None).cast("array<string>"), F.lit(None).cast("string")
-    else:
-        kind = F.when(fields.isNotNull(), "object").when(items.isNotNull(), "array").otherwise(json_type(v))
-        types = _type_names(items)
-        text = F.when(fields.isNull() & items.isNull(), F.try_variant_get(v, "$", "string"))
-    return F.struct(
-        node["trail"].alias("trail"), kind.alias("type"), F.size(items).alias("items"), F.size(fields).alias("field_count"),
-        types.alias("item_types"), text.alias("text"))
+        return level.select(
+            "path", "trail", F.lit("unknown").alias("type"), F.lit(None).cast("int").alias("items"),
+            F.lit(None).cast("int").alias("field_count"), F.lit(None).cast("array<string>").alias("item_types"),
+            F.lit(None).cast("string").alias("text"), F.lit(None).cast("variant").alias("open_v"), F.lit(False).alias("opens"))
+    rows = level.select("path", "trail", "_v", F.try_variant_get(v, "$", "map<string,variant>").alias("_fields"), _items(v).alias("_items"))
+    opens = F.coalesce(F.size(fields), F.size(items), F.lit(0)) > 0
+    return rows.select(
+        "path", "trail", F.when(fields.isNotNull(), "object").when(items.isNotNull(), "array").otherwise(json_type(v)).alias("type"),
+        F.size(items).alias("items"), F.size(fields).alias("field_count"), _type_names(items).alias("item_types"),
+        F.when(fields.isNull() & items.isNull(), F.try_variant_get(v, "$", "string")).alias("text"),
+        F.when(opens, v).alias("open_v"), opens.alias("opens"))
+
+
+def _below(described: DataFrame) -> DataFrame:
+    """The values one depth below; an array is entered through its first item that is not null, or the first."""
+    items = _items(F.col("open_v"))
+    sample = F.coalesce(F.get(F.filter(items, lambda i: ~F.is_variant_null(i)), 0), F.get(items, 0))
+    entry = lambda key, value: F.struct(key.alias("key"), value.alias("value"))
+    fields = F.map_entries(F.try_variant_get("open_v", "$", "map<string,variant>"))
+    entries = F.when(F.col("type") == "object", F.transform(fields, lambda e: entry(e["key"], e["value"]))).otherwise(
+        F.array(entry(F.lit(ITEM), sample)))
+    rows = described.where("opens").select("path", "trail", F.explode(entries).alias("_e"))
+    return rows.select("path", F.concat("trail", F.array("_e.key")).alias("trail"), F.col("_e.value").alias("_v"))
 
 
 def json_field_profile(files: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row per field path of every readable file.
 
-    A file's values of one depth stand in an array. Each step opens its objects and arrays
-    and leaves a short description of every value behind, so only the values of one depth
-    are held and a file becomes rows once, without shuffles. Arrays are entered through
+    Goes down one depth at a time. The values of a depth are rows of a written table: their
+    description, and the value itself only of objects and arrays that hold something, from
+    which the next depth is read. So a row holds one value, files spread over tasks with
+    their fields, and the walk ends with the deepest value. Arrays are entered through
     their first item that is not null; values below ``max_depth`` are ``unknown``.
     ``trail`` is the path as an array, so parents sort before children.
     """
-    def opened(trail: Column, v: Column, deep: bool) -> Column:
-        fields = F.try_variant_get(v, "$", "map<string,variant>")
-        items = _items(v)
-        if deep:
-            fields, items = F.lit(None).cast("map<string,variant>"), F.lit(None).cast("array<variant>")
-        return F.struct(trail.alias("trail"), v.alias("v"), fields.alias("fields"), items.alias("items"))
-
-    def children(node: Column, deep: bool) -> Column:
-        trail, items = node["trail"], node["items"]
-        below = lambda name: F.concat(trail, F.array(name))
-        # An array with only nulls is entered through its first item.
-        sample = F.coalesce(F.get(F.filter(items, lambda i: ~F.is_variant_null(i)), 0), F.get(items, 0))
-        return F.when(
-            node["fields"].isNotNull(),
-            F.transform(F.map_entries(node["fields"]), lambda e: opened(below(e["key"]), e["value"], deep)),
-        ).when(sample.isNotNull(), F.array(opened(below(F.lit(ITEM)), sample, deep)))
-
-    rows = _parsed(files).where(F.col("_v").isNotNull()).select(
-        "path", F.array(opened(F.array(F.lit(ROOT)), F.col("_v"), False)).alias("_level"))
-    done = []
+    level = _parsed(files).where(F.col("_v").isNotNull()).select("path", F.array(F.lit(ROOT)).alias("trail"), "_v")
+    rows = None
     for depth in range(max_depth + 2):
-        deep = depth > max_depth
-        described = F.transform("_level", lambda n: _described(n, deep)).alias(f"_at{depth}")
-        inner = F.filter("_level", lambda n: n["fields"].isNotNull() | n["items"].isNotNull())
-        steps = [] if deep else [F.flatten(F.filter(
-            F.transform(inner, lambda n: children(n, depth >= max_depth)), lambda c: c.isNotNull())).alias("_level")]
-        rows = rows.select("path", *done, described, *steps)
-        done.append(f"_at{depth}")
-
-    rows = rows.select("path", F.explode(F.concat(*done)).alias("n")).select("path", "n.*")
+        described = written(_described(level, depth > max_depth), "json-depth")
+        part = described.drop("open_v", "opens")
+        rows = part if rows is None else rows.unionByName(part)
+        if described.where("opens").isEmpty():
+            break
+        level = _below(described)
+
     kind, text, types = F.col("type"), F.col("text"), F.col("item_types")
     cut = F.concat(F.left(text, F.lit(EXAMPLE_LENGTH)), F.when(F.length(text) > EXAMPLE_LENGTH, "...").otherwise(""))
     return rows.select(
