@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from sedgemill.functions import extract_post_id, is_video_host, leading_int, media_local_path, video_filename
 from sedgemill.functions.worklogs import REGISTERED_ONLY_TEXT
-from sedgemill.operators.shuffles import keep_first, lookup_join, with_row_index
+from sedgemill.operators.shuffles import keep_first, lookup_join
+
+#: Rows that the search for the middle sorts, and how far around it a round looks.
+SORTED_AT_MOST, NARROWED_BY, PERCENTILE_ACCURACY = 10_000, 0.001, 10_000
 
 
 def source_filter(sources: DataFrame, allow_list: DataFrame) -> DataFrame:
@@ -14,14 +17,44 @@ def source_filter(sources: DataFrame, allow_list: DataFrame) -> DataFrame:
     return sources.join(allow_list.select("slug"), "slug", "left_semi")
 
 
+def _value_at_rank(values: DataFrame, name: str, rank: int, size: int):
+    """The value of 1-based ``rank`` among ``size`` numbers or times, found by narrowing.
+
+    Each round asks for two approximate percentiles around the rank and counts the rows
+    below and between them exactly; only what lies between goes on, and a sort sees no more
+    than ``SORTED_AT_MOST`` rows unless equal values leave nothing to narrow.
+    """
+    v = F.col(name)
+    while size > SORTED_AT_MOST:
+        share = [max(0.0, (rank - 1) / size - NARROWED_BY), min(1.0, rank / size + NARROWED_BY)]
+        low, high = values.agg(F.percentile_approx(v, share, PERCENTILE_ACCURACY)).first()[0]
+        below, between = values.agg(F.count_if(v < F.lit(low)), F.count_if(v.between(F.lit(low), F.lit(high)))).first()
+        if not below < rank <= below + between or between == size:
+            break
+        if low == high:
+            return low
+        values, rank, size = values.where(v.between(F.lit(low), F.lit(high))), rank - below, between
+    return values.orderBy(v).offset(rank - 1).limit(1).first()[0]
+
+
+def with_halves(sources: DataFrame, position: str, name: str = "half") -> DataFrame:
+    """``name`` is 1 for the first half in ``position`` order (the larger on odd counts), 2 for the rest.
+
+    Positions are numbers or times without repeats; rows of an equal position stay together,
+    rows without one come last. Only the value at the middle is looked for, so nothing is
+    moved and the halves are a filter on the source.
+    """
+    total, placed = sources.agg(F.count("*"), F.count(position)).first()
+    rank = min((total + 1) // 2, placed)
+    middle = _value_at_rank(sources.select(position).where(F.col(position).isNotNull()), position, rank, placed) if rank else None
+    return sources.withColumn(name, F.when(F.col(position) <= F.lit(middle), 1).otherwise(2))
+
+
 def split_group(sources: DataFrame, group: int, position: str) -> DataFrame:
-    """Group 0 is all sources, 1 the first half in ``position`` order (the larger on odd counts), 2 the rest."""
+    """Group 0 is all sources, 1 and 2 are the halves of ``with_halves``."""
     if group == 0:
         return sources
-    total = sources.count()
-    middle = (total + 1) // 2
-    ranked = with_row_index(sources, [F.col(position)], "_rank")
-    return ranked.where(F.col("_rank") < middle if group == 1 else F.col("_rank") >= middle).drop("_rank")
+    return with_halves(sources, position, "_half").where(F.col("_half") == group).drop("_half")
 
 
 def head_pages(pages: DataFrame, n: int, position: str) -> DataFrame:

@@ -126,7 +126,8 @@ def _object_files(files: DataFrame) -> DataFrame:
     return _parsed(files).where(_is_object(F.col("_v")))
 
 
-def _key_types(files: DataFrame) -> DataFrame:
+def json_key_types(files: DataFrame) -> DataFrame:
+    """(path, key, type) of the top-level keys of root-object files."""
     # Files of another root type have no entries.
     entries = _parsed(files).select("path", F.explode(F.try_variant_get("_v", "$", "map<string,variant>")).alias("key", "_value"))
     return entries.select("path", "key", shallow_json_type(F.col("_value")).alias("type"))
@@ -136,30 +137,42 @@ def _file_count(files: DataFrame) -> Column:
     return _object_files(files).agg(F.count("*")).scalar()
 
 
+def key_sets(key_types: DataFrame, file_count: Column) -> DataFrame:
+    """Keys, in how many files they are, and whether in all ``file_count`` of them."""
+    keys = key_types.groupBy("key").agg(F.count("*").alias("files"))
+    return keys.withColumn("shared", F.col("files") == file_count)
+
+
+def unshared_keys(key_types: DataFrame, file_count: Column) -> DataFrame:
+    some = key_sets(key_types, file_count).where(~F.col("shared")).select("key")
+    return lookup_join(key_types.select("key", "path"), some, ["key"], "left_semi")
+
+
+def type_conflicts(key_types: DataFrame, file_count: Column) -> DataFrame:
+    mixed = key_types.groupBy("key").agg(
+        F.count("*").alias("files"), F.min("type").alias("lo"), F.max("type").alias("hi")
+    ).where((F.col("files") == file_count) & (F.col("lo") != F.col("hi"))).select("key")
+    return lookup_join(key_types, mixed, ["key"], "left_semi").select("key", "path", "type")
+
+
 def json_key_sets(files: DataFrame) -> DataFrame:
     """Top-level keys of the root-object files, in how many they are, and whether in all."""
-    keys = _key_types(files).groupBy("key").agg(F.count("*").alias("files"))
-    return keys.withColumn("shared", F.col("files") == _file_count(files))
+    return key_sets(json_key_types(files), _file_count(files))
 
 
 def json_unshared_keys(files: DataFrame) -> DataFrame:
     """Keys that some files lack, one row per file that has them."""
-    some = json_key_sets(files).where(~F.col("shared")).select("key")
-    return lookup_join(_key_types(files).select("key", "path"), some, ["key"], "left_semi")
+    return unshared_keys(json_key_types(files), _file_count(files))
 
 
 def json_type_conflicts(files: DataFrame) -> DataFrame:
     """Shared keys with more than one type: the type in every file."""
-    types = _key_types(files)
-    mixed = types.groupBy("key").agg(
-        F.count("*").alias("files"), F.min("type").alias("lo"), F.max("type").alias("hi")
-    ).where((F.col("files") == _file_count(files)) & (F.col("lo") != F.col("hi"))).select("key")
-    return lookup_join(types, mixed, ["key"], "left_semi").select("key", "path", "type")
+    return type_conflicts(json_key_types(files), _file_count(files))
 
 
-def json_consistency(key_sets: DataFrame) -> DataFrame:
+def json_consistency(sets: DataFrame) -> DataFrame:
     """Share of keys that every file has, in percent; 100 without any key."""
     shared, total = F.count_if("shared"), F.count("*")
     share = F.bround(shared / F.nullif(total, F.lit(0)) * 100, 1)
-    return key_sets.agg(
+    return sets.agg(
         total.alias("all_keys"), shared.alias("shared_keys"), F.coalesce(share, F.lit(100.0)).alias("consistency_pct"))

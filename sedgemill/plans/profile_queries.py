@@ -113,28 +113,113 @@ def json_consistency_query(spark, sf_dir):
 GENERATED = "2026-04-17 12:55:21"
 
 
-@query("write_schema_report", KEYS_SQL + f"""
-SELECT 'file' AS kind, concat('FILE ', rn, '/', total, ': ', split_part(path, '/', 2)) AS line FROM
-  (SELECT path, row_number() OVER (ORDER BY path) AS rn, count(*) OVER () AS total FROM f_json)
-UNION ALL SELECT 'size', concat('  Size      : ', format('{{:,}}', length(text)), ' bytes') FROM f_json WHERE NOT broken
-UNION ALL SELECT 'error', '  ✗ ERROR   : invalid JSON' FROM f_json WHERE broken
-UNION ALL SELECT 'name', concat(repeat('  ', depth * 2), CASE WHEN ends_with(field, '.[]') THEN '└─ sample item:'
+REPORT_SQL = KEYS_SQL + """,
+numbered AS (SELECT *, row_number() OVER (ORDER BY path) AS rn, count(*) OVER () AS total, split_part(path, '/', 2) AS name,
+    CASE WHEN is_list THEN 'array' ELSE 'object' END AS root,
+    CASE WHEN NOT broken AND NOT is_list THEN CASE WHEN n % 4 = 0 THEN ['kind', 'user', 'ok', 'tags', 'props']
+      ELSE ['kind', 'user', 'ok', 'props'] END END AS keys FROM f_json),
+mixed AS (SELECT keyed.*, split_part(path, '/', 2) AS name FROM keyed WHERE key IN
+  (SELECT key FROM keyed JOIN sets USING (key) WHERE shared GROUP BY key HAVING count(DISTINCT type) > 1)),
+totals AS (SELECT (SELECT count(*) FROM f_json) AS files, (SELECT count(*) FROM obj) AS compared, count(*) AS all_keys,
+  count(*) FILTER (WHERE shared) AS shared_keys, round(100.0 * count(*) FILTER (WHERE shared) / count(*), 1)::DOUBLE AS pct FROM sets)
+"""
+
+
+def _tree_sql(indent: int) -> str:
+    return f"""
+UNION ALL SELECT concat(repeat('  ', depth * 2 - 1 + {indent}), CASE WHEN ends_with(field, '.[]') THEN '└─ sample item:'
   ELSE concat('├─ ', split_part(field, '.', -1), ':') END) FROM fields WHERE depth > 0
-UNION ALL SELECT 'node', concat(repeat('  ', depth * 2 + 1), '[', type, ']', CASE
+UNION ALL SELECT concat(repeat('  ', depth * 2 + {indent}), '[', type, ']', CASE
   WHEN type = 'object' THEN concat('  (', field_count, ' fields)')
   WHEN type = 'array' THEN concat('  length=', length, '  item_types=[''', replace(item_types, ',', ''', '''), ''']  uniform=',
     CASE WHEN is_uniform THEN 'True' ELSE 'False' END)
   WHEN type = 'string' THEN concat('  length=', length, '  example="', example, '"')
-  WHEN type = 'integer' THEN concat('  value=', value) ELSE '' END) FROM fields
-UNION ALL SELECT 'key', concat('    • ', key, ' → ', split_part(path, '/', 2)) FROM keyed WHERE key IN (SELECT key FROM sets WHERE NOT shared)
+  WHEN type = 'integer' THEN concat('  value=', value) ELSE '' END) FROM fields"""
+
+
+def _report_lines(spark, sf_dir, fmt: str) -> DataFrame:
+    """All lines of the written report."""
+    path = new_folder(spark, f"schema-report-{fmt}")
+    write_schema_report(files(spark, sf_dir), path, GENERATED, fmt)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("write_schema_report", REPORT_SQL + f"""
+SELECT line FROM (
+SELECT unnest([repeat('=', 65), '  JSON SCHEMA ANALYSIS REPORT', '  Generated : {GENERATED}', concat('  Files     : ', files), repeat('=', 65), '',
+  repeat('=', 65), '  CROSS-FILE COMPARISON', repeat('-', 65), concat('  Files compared : ', compared), concat('  Total keys     : ', all_keys),
+  concat('  Shared keys    : ', shared_keys), concat('  Consistency    : ', pct, '%'), '', '  Unique keys (key → files that have it):',
+  '', '  ⚠  TYPE CONFLICTS:', '', repeat('=', 65)]) AS line FROM totals
+UNION ALL SELECT unnest([concat('FILE ', rn, '/', total, ': ', name), repeat('-', 65), concat('  Path      : ', path), '  Analyzed  : {GENERATED}', '']) FROM numbered
+UNION ALL SELECT '  ✗ ERROR   : invalid JSON' FROM numbered WHERE broken
+UNION ALL SELECT unnest([concat('  Size      : ', format('{{:,}}', length(text)), ' bytes'), concat('  Root type : ', root), '', '  SCHEMA TREE',
+  concat('  ', repeat('-', 40))]) FROM numbered WHERE NOT broken
+UNION ALL SELECT concat('  Keys (', len(keys), '): ', array_to_string(keys, ', ')) FROM numbered WHERE keys IS NOT NULL
+UNION ALL SELECT unnest(['  Length    : 3', '  Item types: [''integer'', ''null'', ''string'']']) FROM numbered WHERE is_list
+{_tree_sql(1)}
+UNION ALL SELECT concat('  Shared key: ', key) FROM sets WHERE shared
+UNION ALL SELECT concat('    • ', key, ' → ', split_part(path, '/', 2)) FROM keyed WHERE key IN (SELECT key FROM sets WHERE NOT shared)
+UNION ALL SELECT DISTINCT concat('    • ''', key, ''':') FROM mixed
+UNION ALL SELECT concat('        ', name, ': ', type) FROM mixed) AS lines
 """)
 def write_schema_report_query(spark, sf_dir):
-    """Lines of the written text report, by kind."""
-    path = new_folder(spark, "schema-report")
-    write_schema_report(files(spark, sf_dir), path, GENERATED)
-    line = F.col("value")
-    kind = (
-        F.when(line.startswith("FILE "), "file").when(line.startswith("  Size      : "), "size")
-        .when(line.contains("ERROR   :"), "error").when(line.rlike("^ +(├─|└─) "), "name")
-        .when(line.rlike(r"^ +\[[a-z]+\]"), "node").when(line.startswith("    • "), "key"))
-    return spark.read.text(path).select(kind.alias("kind"), line.alias("line")).where(F.col("kind").isNotNull())
+    return _report_lines(spark, sf_dir, "text")
+
+
+@query("write_schema_report_markdown", REPORT_SQL + f"""
+SELECT line FROM (
+SELECT unnest(['# JSON Schema Analysis Report', '', '> **Generated:** {GENERATED}  ', concat('> **Files analyzed:** ', files), '',
+  '---', '## Cross-File Comparison', '', '| Metric | Value |', '|--------|-------|', concat('| Files compared | ', compared, ' |'),
+  concat('| Total keys | ', all_keys, ' |'), concat('| Shared keys | ', shared_keys, ' |'), concat('| Consistency | **', pct, '%** |'), '',
+  '', '**Unique keys:**', '', '', '### ⚠️ Type Conflicts', '']) AS line FROM totals
+UNION ALL SELECT unnest(['---', concat('## ', rn, '. `', name, '`'), '', '| Property | Value |', '|----------|-------|',
+  concat('| Path | `', path, '` |'), '| Analyzed | {GENERATED} |', '']) FROM numbered
+UNION ALL SELECT unnest(['| Status | ❌ Error |', '| Error | invalid JSON |']) FROM numbered WHERE broken
+UNION ALL SELECT unnest([concat('| Size | ', format('{{:,}}', length(text)), ' bytes |'), concat('| Root type | `', root, '` |'), '| Status | ✅ OK |',
+  '', '', '### Schema Tree', '```', '```']) FROM numbered WHERE NOT broken
+UNION ALL SELECT concat('**Top-level keys (', len(keys), '):** `', array_to_string(keys, '`, `'), '`') FROM numbered WHERE keys IS NOT NULL
+UNION ALL SELECT '**Array length:** 3' FROM numbered WHERE is_list
+{_tree_sql(0)}
+UNION ALL SELECT concat('**Shared key:** `', key, '`') FROM sets WHERE shared
+UNION ALL SELECT concat('- `', key, '` → found only in: *', split_part(path, '/', 2), '*') FROM keyed
+  WHERE key IN (SELECT key FROM sets WHERE NOT shared)
+UNION ALL SELECT unnest([concat('**`', key, '`**'), '']) FROM (SELECT DISTINCT key FROM mixed)
+UNION ALL SELECT concat('- `', name, '` → `', type, '`') FROM mixed) AS lines
+""")
+def write_schema_report_markdown_query(spark, sf_dir):
+    return _report_lines(spark, sf_dir, "markdown")
+
+
+@query("write_schema_report_json", REPORT_SQL + f"""
+SELECT 'summary' AS part, '{GENERATED}' AS key, CAST(NULL AS VARCHAR) AS path, concat_ws(' ', files, compared, all_keys, shared_keys, pct) AS value FROM totals
+UNION ALL SELECT 'file', '{GENERATED}', path, CASE WHEN broken THEN 'invalid JSON' ELSE concat(root, ' ', length(text)) END FROM numbered
+UNION ALL SELECT 'field', field, path, type FROM fields
+UNION ALL SELECT 'key', key, NULL, concat(files, CASE WHEN shared THEN ' true' ELSE ' false' END) FROM sets
+UNION ALL SELECT 'unique', key, path, NULL FROM keyed WHERE key IN (SELECT key FROM sets WHERE NOT shared)
+UNION ALL SELECT 'conflict', key, path, type FROM mixed
+""")
+def write_schema_report_json_query(spark, sf_dir):
+    """Rows of all tables of the written report."""
+    at = new_folder(spark, "schema-report-json")
+    write_schema_report(files(spark, sf_dir), at, GENERATED, "json")
+    null = F.lit(None).cast("string")
+
+    def part(name: str, schema: str, key, path, value):
+        rows = spark.read.schema(schema).json(f"{at}/{name}")
+        return rows.select(F.lit(name.rstrip("s") if name != "summary" else name).alias("part"), key.alias("key"), path.alias("path"), value.alias("value"))
+
+    key, path = F.col("key"), F.col("path")
+    ok = F.concat_ws(" ", "root_type", F.col("file_size_bytes").cast("string"))
+    out = part(
+        "summary", "generated string, file_count long, files_compared long, all_keys long, shared_keys long, consistency_pct double",
+        F.col("generated"), null, F.concat_ws(" ", "file_count", "files_compared", "all_keys", "shared_keys", "consistency_pct"))
+    for more in (
+        part("files", "path string, error string, root_type string, file_size_bytes long, analyzed string",
+             F.col("analyzed"), path, F.coalesce("error", ok)),
+        part("fields", "path string, field string, type string", F.col("field"), path, F.col("type")),
+        part("keys", "key string, files long, shared boolean", key, null, F.concat_ws(" ", "files", F.col("shared").cast("string"))),
+        part("unique", "key string, path string", key, path, null),
+        part("conflicts", "key string, path string, type string", key, path, F.col("type")),
+    ):
+        out = out.unionByName(more)
+    return out

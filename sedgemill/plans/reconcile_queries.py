@@ -414,8 +414,7 @@ SELECT slug, CASE WHEN rn <= (n + 1) // 2 THEN 1 ELSE 2 END AS part FROM r
 """)
 def split_group_query(spark, sf_dir):
     sources = fixture(spark, sf_dir, "f_sources").withColumn("pos", F.substr("slug", F.lit(5)).cast("bigint"))
-    halves = [pl.split_group(sources, g, "pos").select("slug", F.lit(g).alias("part")) for g in (1, 2)]
-    return halves[0].unionByName(halves[1])
+    return pl.with_halves(sources, "pos", "part").select("slug", "part")
 
 
 @query("head_pages", "SELECT page_id, url FROM pages ORDER BY page_id LIMIT 2")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sedgemill.operators import profile as pf
 from sedgemill.operators.shuffles import with_row_index
+from sedgemill.session import written
 
 # Rules and marks of the report.
 WIDE, THIN, TREE = "=" * 65, "-" * 65, "-" * 40
@@ -89,14 +90,62 @@ def _file_lines(files: DataFrame, total: int, generated: str, style: str) -> tup
     return F.array_compact(F.array(*before)), F.array_compact(F.array(*after))
 
 
+def _compared(style: str, sets: DataFrame, types: DataFrame, compared: int) -> list[DataFrame]:
+    """Lines (step, trail, sub, line) of the comparison of root-object files."""
+    text = style == "text"
+    tick = (lambda c: F.col(c)) if text else (lambda c: _text("`", F.col(c), "`"))
+    name = F.substring_index("path", "/", -1)
+    none = F.array().cast("array<string>")
+    fixed = lambda df, step, *lines: df.select(
+        F.lit(step).alias("step"), none.alias("trail"), F.posexplode(F.array_compact(F.array(*lines))).alias("sub", "line"))
+    listed = lambda df, step, line, trail=("key", "path"), sub=0: df.select(
+        F.lit(step).alias("step"), F.array(*trail).alias("trail"), F.lit(sub).alias("sub"), line.alias("line"))
+    unshared = pf.unshared_keys(types, F.lit(compared))
+    conflicts = written(pf.type_conflicts(types, F.lit(compared)), "json-conflicts")
+
+    totals = pf.json_consistency(sets)
+    value = lambda c: F.col(c).cast("string")
+    all_shared, none_shared = F.col("all_keys") == F.col("shared_keys"), F.col("shared_keys") == 0
+    conflict = conflicts.agg((F.count("*") > 0).alias("any"))
+    if text:
+        counts = [
+            F.lit(f"  Files compared : {compared}"), _text("  Total keys     : ", value("all_keys")),
+            _text("  Shared keys    : ", value("shared_keys")), _text("  Consistency    : ", value("consistency_pct"), "%"), F.lit(""),
+            F.when(none_shared, "  Shared keys  : none")]
+        unique = [F.when(all_shared, "  Unique keys  : none").otherwise("  Unique keys (key → files that have it):")]
+        mixed = [F.when(F.col("any"), ""), F.when(F.col("any"), "  ⚠  TYPE CONFLICTS:").otherwise("  Type conflicts: none  ✓")]
+        lines = ["  Shared key: ", "    • ", " → ", ""]
+        headed, typed = _text("    • '", F.col("key"), "':"), _text("        ", name, ": ", F.col("type"))
+    else:
+        counts = [
+            F.lit(f"| Files compared | {compared} |"), _text("| Total keys | ", value("all_keys"), " |"),
+            _text("| Shared keys | ", value("shared_keys"), " |"), _text("| Consistency | **", value("consistency_pct"), "%** |"), F.lit("")]
+        unique = [F.when(~all_shared, ""), F.when(~all_shared, "**Unique keys:**"), F.when(~all_shared, "")]
+        mixed = [F.lit(""), F.when(F.col("any"), "### ⚠️ Type Conflicts").otherwise("✅ **No type conflicts detected.**"), F.lit("")]
+        lines = ["**Shared key:** ", "- ", " → found only in: *", "*"]
+        headed, typed = _text("**", tick("key"), "**"), _text("- `", name, "` → `", F.col("type"), "`")
+    heads = conflicts.groupBy("key").agg(F.max("path").alias("path"))
+    return [
+        fixed(totals, 10, *counts),
+        listed(sets.where("shared"), 20, _text(lines[0], tick("key")), ("key",)),
+        fixed(totals, 25, *unique),
+        listed(unshared, 30, _text(lines[1], tick("key"), lines[2], name, lines[3])),
+        fixed(conflict, 35, *mixed),
+        listed(heads, 40, headed, ("key",)),
+        listed(conflicts, 40, typed),
+        *([] if text else [listed(heads, 40, F.lit(""), sub=1)]),  # behind a key's last file
+    ]
+
+
 def schema_report(files: DataFrame, generated: str, style: str = "text") -> DataFrame:
     """Report lines; sort by (block, file_no, step, trail, sub) for reading order.
 
     The comparison lists shared, unshared and conflicting keys in one line per key and
-    file, so a key found in very many files makes many lines, not a long one.
+    file, so a key found in very many files makes many lines, not a long one. It is left
+    out where no file is a root object. The key types are written once and serve all of it.
     """
     profile = _numbered(pf.json_file_profile(files))
-    total = profile.count()
+    total, compared = profile.agg(F.count("*"), F.count_if(F.col("root_type") == "object")).first()
     before, after = _file_lines(profile, total, generated, style)
     none = F.array().cast("array<string>")
     part = lambda step, lines: profile.select(
@@ -104,52 +153,56 @@ def schema_report(files: DataFrame, generated: str, style: str = "text") -> Data
     tree = _tree_lines(pf.json_field_profile(files), 1 if style == "text" else 0).join(
         profile.select("path", "file_no"), "path").select(F.lit(FILES).alias("block"), "file_no", "step", "trail", "sub", "line")
 
-    sets = pf.json_key_sets(files)
-    tick = (lambda k: k) if style == "text" else (lambda k: _text("`", k, "`"))
-    listed = lambda df, step, line: df.select(
-        F.lit(TAIL).alias("block"), F.lit(0).cast("bigint").alias("file_no"), F.lit(step).alias("step"),
-        F.array("key", *([] if "path" not in df.columns else ["path"])).alias("trail"), F.lit(0).alias("sub"), line.alias("line"))
-    name = F.substring_index("path", "/", -1)
-    arrow = " → " if style == "text" else " → found only in: "
-    tail = [
-        listed(sets.where("shared"), 20, _text("  Shared key: ", F.col("key")) if style == "text" else _text("**Shared key:** ", tick(F.col("key")))),
-        listed(pf.json_unshared_keys(files), 30, _text("    • " if style == "text" else "- ", tick(F.col("key")), arrow, name)),
-        listed(pf.json_type_conflicts(files), 40, _text(
-            "    ⚠ " if style == "text" else "- ⚠️ ", tick(F.col("key")), ": ", name, ": " if style == "text" else " → ", F.col("type"))),
-    ]
     spark = files.sparkSession
     fixed = lambda block, step, lines: spark.range(1).select(
         F.lit(block).alias("block"), F.lit(0).cast("bigint").alias("file_no"), F.lit(step).alias("step"), none.alias("trail"),
         F.posexplode(F.array(*[F.lit(x) for x in lines])).alias("sub", "line"))
-    compared = pf.json_consistency(sets).select(
-        F.lit(TAIL).alias("block"), F.lit(0).cast("bigint").alias("file_no"), F.lit(10).alias("step"), none.alias("trail"),
-        F.posexplode(F.array(*[
-            _text(left, value.cast("string"), right) for left, value, right in (
-                [("  Total keys     : ", F.col("all_keys"), ""), ("  Shared keys    : ", F.col("shared_keys"), ""),
-                 ("  Consistency    : ", F.col("consistency_pct"), "%")] if style == "text" else
-                [("| Total keys | ", F.col("all_keys"), " |"), ("| Shared keys | ", F.col("shared_keys"), " |"),
-                 ("| Consistency | **", F.col("consistency_pct"), "%** |")])
-        ])).alias("sub", "line"))
     if style == "text":
         head = fixed(HEAD, 0, [WIDE, "  JSON SCHEMA ANALYSIS REPORT", f"  Generated : {generated}", f"  Files     : {total}", WIDE, ""])
-        middle = fixed(TAIL, 0, [WIDE, "  CROSS-FILE COMPARISON", THIN])
-        end = fixed(TAIL, 90, [WIDE])
+        middle = [WIDE, "  CROSS-FILE COMPARISON", THIN]
+        end = [fixed(TAIL, 90, ["", WIDE])]
     else:
         head = fixed(HEAD, 0, ["# JSON Schema Analysis Report", "", f"> **Generated:** {generated}  ", f"> **Files analyzed:** {total}", ""])
-        middle = fixed(TAIL, 0, ["---", "## Cross-File Comparison", "", "| Metric | Value |", "|--------|-------|"])
-        end = fixed(TAIL, 90, [""])
+        middle = ["---", "## Cross-File Comparison", "", "| Metric | Value |", "|--------|-------|"]
+        end = []
+    tail = []
+    if compared:
+        types = written(pf.json_key_types(files), "json-keys")
+        sets = written(pf.key_sets(types, F.lit(compared)), "json-sets")
+        tail = [fixed(TAIL, 0, middle), *[
+            lines.select(F.lit(TAIL).alias("block"), F.lit(0).cast("bigint").alias("file_no"), "step", "trail", "sub", "line")
+            for lines in _compared(style, sets, types, compared)]]
     out = head
-    for more in (part(10, before), tree, part(90, after), middle, compared, *tail, end):
+    for more in (part(10, before), tree, part(90, after), *tail, *end):
         out = out.unionByName(more)
     return out
 
 
+def _write_json(files: DataFrame, path: str, generated: str) -> None:
+    """Tables ``files``, ``fields``, ``keys``, ``unique``, ``conflicts`` and one row of ``summary`` as JSON lines.
+
+    ``shared`` of a key says whether all compared files have it; the compared files are
+    those of root type object. Without any the summary has a note and no key is listed.
+    """
+    profile = written(pf.json_file_profile(files), "json-files")
+    total, compared = profile.agg(F.count("*"), F.count_if(F.col("root_type") == "object")).first()
+    types = written(pf.json_key_types(files), "json-keys")
+    sets = written(pf.key_sets(types, F.lit(compared)), "json-sets")
+    profile.withColumn("analyzed", F.lit(generated)).write.json(f"{path}/files")
+    pf.json_field_profile(files).drop("trail").write.json(f"{path}/fields")
+    sets.write.json(f"{path}/keys")
+    pf.unshared_keys(types, F.lit(compared)).write.json(f"{path}/unique")
+    pf.type_conflicts(types, F.lit(compared)).write.json(f"{path}/conflicts")
+    note = "No root-object files to compare." if total and not compared else None
+    pf.json_consistency(sets).select(
+        F.lit(generated).alias("generated"), F.lit(total).alias("file_count"), F.lit(compared).alias("files_compared"),
+        "all_keys", "shared_keys", "consistency_pct", F.lit(note).cast("string").alias("note")).write.json(f"{path}/summary")
+
+
 def write_schema_report(files: DataFrame, path: str, generated: str, fmt: str = "text") -> None:
-    """Write the report below ``path``: ordered lines, or three JSON tables for ``json``."""
+    """Write the report below ``path``: ordered lines (``text``, ``markdown``), or JSON tables for ``json``."""
     if fmt == "json":
-        pf.json_file_profile(files).withColumn("analyzed", F.lit(generated)).write.json(f"{path}/files")
-        pf.json_field_profile(files).drop("trail").write.json(f"{path}/fields")
-        pf.json_key_sets(files).write.json(f"{path}/keys")
+        _write_json(files, path, generated)
         return
     if fmt not in ("text", "markdown"):
         raise ValueError(f"unknown format {fmt}")

@@ -11,7 +11,7 @@ from sedgemill.operators.html_tree import parse
 from sedgemill.operators.shuffles import lookup_join, with_row_index
 from sedgemill.operators.upsert import insert_or_ignore
 from sedgemill.plans.merge_queries import Sides
-from sedgemill.sinks import archive_records, current_tables, write_archives, write_tables
+from sedgemill.sinks import archive_records, current_tables, write_archives, write_schema_report, write_tables
 from sedgemill.sinks.tables import store_state
 from sedgemill.sources import archive_documents, read_archives, read_ledger, read_manifest, read_worklist
 
@@ -240,6 +240,53 @@ def test_split_and_row_index(spark):
     assert [r[0] for r in numbered] == [0, 1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 9, 2000, 2001])
+def test_halves_of_any_size(spark, monkeypatch, n):
+    monkeypatch.setattr(pl, "SORTED_AT_MOST", 5)
+    sources = spark.range(0, n, 1, 4).select(((F.col("id") * 7919 + 13) % 1_000_003 - 500).alias("pos"))
+    values = sorted(r.pos for r in sources.collect())
+    halves = [sorted(r.pos for r in pl.split_group(sources, g, "pos").collect()) for g in (1, 2)]
+    assert halves == [values[:(n + 1) // 2], values[(n + 1) // 2:]]
+
+
+def test_halves_with_ties_and_without_positions(spark, monkeypatch):
+    monkeypatch.setattr(pl, "SORTED_AT_MOST", 2)
+    rows_ = [(5,)] * 30 + [(1,), (9,), (None,), (None,)]
+    counted = pl.with_halves(spark.createDataFrame(rows_, "pos long"), "pos").groupBy("pos", "half").count()
+    assert rows(counted, "pos", "half", "count") == sorted([(5, 1, 30), (1, 1, 1), (9, 2, 1), (None, 2, 2)], key=repr)
+    halves = pl.with_halves(spark.range(100).select("id"), "id")
+    plan = halves._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def _report(spark, texts, fmt, folder):
+    files = spark.createDataFrame([(f"/f/{i}.json", len(t), t) for i, t in enumerate(texts)], "path string, size long, text string")
+    write_schema_report(files, str(folder), "now", fmt)
+    return "\n".join(r.value for r in spark.read.text(str(folder), wholetext=True).orderBy(F.input_file_name()).collect())
+
+
+def test_report_of_files_that_agree(spark, tmp_path):
+    out = _report(spark, ['{"a":1}', '{"a":2}', "[]"], "text", tmp_path / "t")
+    assert "  Files compared : 2\n" in out and "  Unique keys  : none\n" in out and "  Type conflicts: none  ✓\n" in out
+    out = _report(spark, ['{"a":1}', '{"a":2}'], "markdown", tmp_path / "m")
+    assert "**Unique keys:**" not in out and "✅ **No type conflicts detected.**" in out
+
+
+def test_report_of_files_that_differ(spark, tmp_path):
+    out = _report(spark, ['{"a":1,"b":1}', '{"a":"x"}'], "text", tmp_path / "t")
+    assert "    • b → 0.json\n\n  ⚠  TYPE CONFLICTS:\n    • 'a':\n        0.json: integer\n        1.json: string\n\n====" in out
+    out = _report(spark, ['{"b":1}', '{"a":"x"}'], "text", tmp_path / "n")
+    assert "  Shared keys  : none\n" in out
+
+
+def test_report_without_root_objects(spark, tmp_path):
+    assert "COMPARISON" not in _report(spark, ["[1]", "{bad"], "text", tmp_path / "t")
+    files = spark.createDataFrame([("/f/0.json", 3, "[1]")], "path string, size long, text string")
+    write_schema_report(files, str(tmp_path / "j"), "now", "json")
+    summary = spark.read.json(str(tmp_path / "j" / "summary")).first()
+    assert (summary.files_compared, summary.file_count, summary.note) == (0, 1, "No root-object files to compare.")
+
+
 def test_api_pages(spark):
     pages = spark.createDataFrame([(1, 40), (3, None)], "page long, items_total long")
     assert rows(api_index.api_failed_pages(pages), "page") == [(2,)]
