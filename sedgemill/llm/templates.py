@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,14 +148,46 @@ def _filter(windows: DataFrame) -> np.ndarray:
     return bits.view(np.uint64)
 
 
+def template_classes(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(item_id, class_item_id, n_items): items of one template, named by the smallest id among them.
+
+    Two items are of one template if their template tokens are equal and the same of their
+    slots share a value, so a document holds both or neither. An id whose rows have several
+    templates is a class of its own, as is each item without a token. A null id names a class
+    only where there is no other.
+    """
+
+    def keys(part: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
+        h, kind, span, _, first = canonical(texts)
+        raw, out = texts.data.tobytes(), []
+        for low, high in zip(first.tolist(), first[1:].tolist()):
+            seen: dict[bytes, int] = {}
+            slots = [seen.setdefault(raw[a:b].decode("utf-8", "replace").lower(), len(seen))
+                     for (a, b), k in zip(span[low:high].tolist(), kind[low:high].tolist()) if k]
+            mark = hashlib.blake2b(h[low:high].tobytes() + b"/" + repr(slots).encode(), digest_size=16)
+            out.append(mark.hexdigest() if high > low else None)
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string())], ["id", "mark"])
+
+    items = benchmark.select(F.col(item_id).cast("long").alias("_id"), F.col(item_text).alias("_text"))
+    marked = map_texts(items, "_text", "id long, mark string", keys)
+    one = F.count("*") == F.count("mark")
+    own = F.concat(F.lit("id "), F.coalesce(F.col("id").cast("string"), F.lit("null")))
+    by_id = written(marked.groupBy("id").agg(
+        F.when(one & (F.min("mark") == F.max("mark")), F.min("mark")).alias("mark")).withColumn("mark", F.coalesce("mark", own)), "template-marks")
+    named = by_id.groupBy("mark").agg(F.min("id").alias("class_item_id"), F.count("*").alias("n_items"))
+    return by_id.join(named, "mark").select(F.col("id").alias("item_id"), "class_item_id", "n_items")
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", width: int = 6, least_tokens: int = 4, least_covered: float = 0.5,
 ) -> DataFrame:
     """Documents that hold a benchmark item, as it is or with other numbers, names or units.
 
-    Columns: doc_id, item_id, position, covered_tokens, item_tokens, n_slots, changed_slots.
-    Texts become templates with typed placeholders; windows of ``width`` tokens are joined on
+    Columns: doc_id, item_id, position, covered_tokens, item_tokens, n_slots, changed_slots, n_items.
+    Items of one template have one row for a document, that of their smallest id, with their
+    number in ``n_items``; ``template_classes`` lists them. ``changed_slots`` counts the slots
+    with another value than that item has. Texts become templates with typed placeholders; windows of ``width`` tokens are joined on
     their hash. A document holds an item if, along one alignment of the two, windows cover
     ``least_covered`` of the item's tokens and every value in the item's slots stands for one
     value throughout. ``position`` is the template token of the document at which the best
@@ -168,6 +201,9 @@ def contaminated(
     widths = list(range(least_tokens, width + 1))
     items = benchmark.select(F.col(item_id).cast("long").alias("_id"), F.col(item_text).alias("_text"))
     windows = written(map_texts(items, "_text", ROW_SCHEMA, lambda p, t: _rows(p, t, widths, True, None)), "template-items")
+    classes = written(template_classes(benchmark, item_id, item_text), "template-classes")
+    heads = classes.where(F.col("item_id").eqNullSafe(F.col("class_item_id"))).select(F.col("item_id").alias("id"), "n_items")
+    windows = windows.join(heads, windows.id.eqNullSafe(heads.id), "left_semi")
     used = sorted(r[0] for r in windows.select("width").distinct().collect())
     bits = _filter(windows)
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
@@ -197,7 +233,8 @@ def contaminated(
         F.coalesce("changed_slots", F.lit(0)).alias("changed_slots"))
     best = F.min_by(F.struct("position", "covered_tokens", "item_tokens", "n_slots", "changed_slots"),
                     F.struct(-F.col("covered_tokens"), F.col("position"))).alias("_b")
-    return fitting.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "_b.*")
+    rows = fitting.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "_b.*")
+    return rows.join(heads, rows.item_id.eqNullSafe(heads.id)).drop("id")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

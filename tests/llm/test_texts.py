@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sedgemill.llm import boosting, docstats, language, packing, repetition, templates, transducer, urls
@@ -295,6 +296,33 @@ def test_leaks_exact_and_asked_again(spark, frame):
     assert templates.contaminated(docs, bench.limit(0)).count() == 0 and templates.contaminated(frame([]), bench).count() == 0
 
 
+def test_items_of_one_template_are_one_row(spark, frame):
+    rnd = random.Random(10)
+    ask = lambda a, b, name, c: f"A farmer near {name} has {a} cows and {b} sheep and then sells {c} cows to the dairy man"
+    told = [ask(rnd.randint(10, 99), rnd.randint(100, 999), rnd.choice(["Boston", "Denver"]), None) for _ in range(40)]
+    same = [t.replace("None", t.split(" has ")[1].split()[0]) for t in told]  # cows sold are the cows owned
+    other = [t.replace("None", "7") for t in told]
+    plain = ["what is the best way to cook an egg at home", "No 5", "5", None, "", "?!"]
+    items = [(i, t) for i, t in enumerate(same[:20] + other[:20] + plain)] + [(0, same[0]), (20, same[25]), (None, same[3])]
+    docs = [(i, f"{sentence(rnd, 12)}. So: {t}. {sentence(rnd, 9)}") for i, t in enumerate(same + other + plain[:1])]
+    schema = "item_id long, text string"
+    bench = spark.createDataFrame(items, schema)
+    classes = {r.item_id: (r.class_item_id, r.n_items) for r in templates.template_classes(bench).collect()}
+    assert classes[0] == classes[19] == (0, 21) and classes[None] == (0, 21)
+    assert classes[20] == (20, 1) and classes[21] == classes[39] == (21, 19) and classes[43] == (43, 1) and len(classes) == 47
+    got = templates.contaminated(frame(docs), bench).collect()
+    assert len(got) == len({(r.doc_id, r.item_id) for r in got})
+    members = collections.defaultdict(list)
+    for item, (head, _) in classes.items():
+        members[head].append(item)
+    held = {(r.doc_id, i) for r in got for i in members[r.item_id]}
+    assert all(r.n_items == len(members[r.item_id]) for r in got)
+    # Each item searched alone.
+    for i in (0, 7, 19, 20, 21, 33, 40, 41, 43):
+        alone = templates.contaminated(frame(docs), bench.where(F.col("item_id") == i)).collect()
+        assert {r.doc_id for r in alone} == {d for d, item in held if item == i}, i
+
+
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]
 
 
