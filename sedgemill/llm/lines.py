@@ -143,9 +143,11 @@ def without_common_blocks(docs: DataFrame, blocks: DataFrame, doc_id: str = "doc
 
     The other rows and columns stay as they are.
     """
-    name, list_name = free_name(docs, "_key"), free_name(docs, "_gone")
-    gone = blocks.groupBy(F.col("key").alias(name)).agg(F.collect_set(F.struct("line_start", "n_lines")).alias(list_name))
-    joined = docs.withColumn(name, row_key(doc_id, text)).join(gone, name, "left")
+    name, own, list_name = free_name(docs, "_key"), free_name(docs, "_own"), free_name(docs, "_gone")
+    known = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(LAST_ID)).alias(own)
+    gone = blocks.groupBy(F.col("key").alias(name), known("doc_id")).agg(
+        F.collect_set(F.struct("line_start", "n_lines")).alias(list_name))
+    joined = docs.withColumns({name: row_key(doc_id, text), own: known(doc_id)}).join(gone, [name, own], "left")
     inside = lambda i: F.exists(list_name, lambda g: (i >= g["line_start"]) & (i < g["line_start"] + g["n_lines"]))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~inside(i)), "\n")
     whole = F.col(list_name).isNull()

@@ -185,7 +185,9 @@ def near_duplicates(
 
 def keep_first_of_class(docs: DataFrame, classes: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` for each class: that of the smallest id, and of the smallest key among rows of that id."""
-    name = free_name(docs, "_key")
-    kept = classes.where(F.col("key") == F.col("component_key")).select(F.col("key").alias(name)).distinct()
-    keyed = docs.withColumn(name, row_key(doc_id, text))
-    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
+    key, own = free_name(docs, "_key"), free_name(docs, "_own")
+    kept = classes.where((F.col("key") == F.col("component_key")) & F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("key").alias(key), F.col("doc_id").alias(own)).distinct()
+    keyed = docs.withColumns({key: row_key(doc_id, text), own: F.col(doc_id).cast("long")})
+    same = (keyed[key] == kept[key]) & keyed[own].eqNullSafe(kept[own])
+    return keyed.join(kept, same, "left_semi").dropDuplicates([key, own]).drop(key, own)
