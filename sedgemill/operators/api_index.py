@@ -66,15 +66,16 @@ def docs_pending(items: DataFrame, archives: DataFrame) -> DataFrame:
     """Groups to download: those with an address and no non-empty ``<slug>.zip`` (name, size)."""
     named = items.withColumn("slug", F.coalesce("slug", F.lit("unknown")))
     wanted = named.where(F.coalesce("download_url", F.lit("")) != "").withColumn("name", F.concat("slug", F.lit(".zip")))
-    have = archives.where(F.col("size") > 0).select("name")
+    # Keys of all items compress so well that they would be sent whole through the driver; a merge join never is.
+    have = archives.where(F.col("size") > 0).select("name").hint("merge")
     return wanted.join(have, "name", "left_anti")
 
 
 def docs_outcomes(items: DataFrame, pending: DataFrame, fetched: DataFrame) -> DataFrame:
     """(page, pos, slug, ok) per group; ``fetched`` has (page, pos, ok) of the attempted ones."""
-    tried = pending.select("page", "pos").join(fetched, ["page", "pos"], "left").select(
+    tried = pending.select("page", "pos").join(fetched.hint("merge"), ["page", "pos"], "left").select(
         "page", "pos", F.coalesce("ok", F.lit(False)).alias("ok"))
-    rows = items.join(tried, ["page", "pos"], "left")
+    rows = items.join(tried.hint("merge"), ["page", "pos"], "left")
     return rows.select(
         "page", "pos", F.coalesce("slug", F.lit("unknown")).alias("slug"), F.coalesce("ok", F.lit(True)).alias("ok"))
 
