@@ -92,7 +92,8 @@ def write_tables(tables: Tables, root: str, children: str = "replace", buckets:
 
     # Of each id the place of the record that wins in this load, narrow and once.
     place = F.struct(F.split("path", "/").alias("p"), "part", "post_pos")
-    winners = written(tables.posts.groupBy("id").agg(F.max(place).alias("_place")), "load-winners")
+    # The file is small for its rows (equal paths): joins with it are merge joins, which never pass it through the driver.
+    winners = written(tables.posts.groupBy("id").agg(F.max(place).alias("_place")), "load-winners").hint("merge")
     ids = winners.select("id")
 
     slugs = tables.sources.select("slug").unionByName(tables.posts.select(F.col("source_slug").alias("slug")))
