@@ -20,8 +20,7 @@ def _tag(name: str, value: Column) -> Column:
 
 def post_pages(spark, sf_dir) -> DataFrame:
     """The rendered feed pages, spread over the tasks of a small session too."""
-    parts = spark.sparkContext.defaultParallelism
-    write = lambda path: _post_pages(spark, sf_dir).repartition(parts, "page_no").write.parquet(path)
+    write = lambda path: _post_pages(spark, sf_dir).write.parquet(path)
     return spark.read.parquet(rendered(spark, sf_dir, "post-pages", write))
 
 
@@ -47,7 +46,9 @@ def _post_pages(spark, sf_dir) -> DataFrame:
         F.array_join(F.transform(of("video"), video), ""), F.array_join(F.transform(of("image"), image), ""),
         F.lit('<div class="pt-1 clearfix"><span class="float-right">'), more, F.lit("</span></div></article>"))
     blocks = records.select(F.floor(n / 20).alias("page_no"), n.alias("n"), article.alias("article"))
-    pages = blocks.groupBy("page_no").agg(F.array_join(F.transform(
+    # Blocks come together before they are listed, in parts that are not merged: no list is sorted and spilled before the shuffle.
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pages = blocks.repartition(parts, "page_no").groupBy("page_no").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("n", "article"))), lambda a: a["article"]), "\n").alias("body"))
     return pages.select("page_no", F.concat(
         F.lit('<html><body><script>var a = "<article class=post>";</script><article class="post"><p>no head</p></article>'),
