@@ -93,3 +93,15 @@ def test_feed_pages_are_shuffled_once(spark, tmp_path):
     pages = html_queries.post_pages(spark, str(tmp_path))
     assert pages.count() == 3
     assert html_queries.posts(spark, str(tmp_path)).count() == 44
+
+
+def test_tasks_that_nest_posts_grow_with_the_posts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sedgemill.operators.shuffles.TASK_BYTES", 2_000)
+    posts = spark.createDataFrame([(str(i), f"s{i % 40}", f"d{i:03d}", "x" * 100) for i in range(200)], POST)
+    slugs = [f"s{i}" for i in range(41)]
+    write_archives(make_sources(spark, *slugs), archive_records(posts), str(tmp_path / "in"), ["date_iso"])
+    # 110 tasks, however few Spark is set to: about as many hold one of 41 sources.
+    assert len(list((tmp_path / "in").glob("part-*.json"))) > 20
+    docs = read_archives(spark, str(tmp_path / "in"), layout="lines")
+    found = {s: [p.id for p in fl.explode_posts(docs).where(F.col("file_slug") == s).orderBy("post_pos").collect()] for s in ("s0", "s7", "s40")}
+    assert docs.count() == 41 and found == {"s0": ["0", "40", "80", "120", "160"], "s7": ["7", "47", "87", "127", "167"], "s40": []}
