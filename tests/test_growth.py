@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from sedgemill.operators import api_index as api, flatten as fl
-from sedgemill.plans import html_queries
+from sedgemill.operators import api_index as api, flatten as fl, merge as mg
+from sedgemill.plans import html_queries, merge_queries
 from sedgemill.sinks import archives as sink, tables as store
 from sedgemill.sinks.archives import archive_records, write_archives
 from sedgemill.sources import read_archives
@@ -105,3 +105,28 @@ def test_tasks_that_nest_posts_grow_with_the_posts(spark, tmp_path, monkeypatch)
     docs = read_archives(spark, str(tmp_path / "in"), layout="lines")
     found = {s: [p.id for p in fl.explode_posts(docs).where(F.col("file_slug") == s).orderBy("post_pos").collect()] for s in ("s0", "s7", "s40")}
     assert docs.count() == 41 and found == {"s0": ["0", "40", "80", "120", "160"], "s7": ["7", "47", "87", "127", "167"], "s40": []}
+
+
+def test_children_are_matched_as_one_list_per_post(spark, tmp_path):
+    media = spark.createDataFrame([(str(i), "image", f"u{i}{j}", f" l{j} ") for i in range(1, 5) for j in range(3)],
+                                  "post_id string, media_type string, url string, local_path string")
+    errors = media.select("post_id", "url", F.lit("e").alias("error"))
+    read = {}
+    for side, ids in (("old", "123"), ("new", "234")):
+        posts = spark.createDataFrame([(i, "a", "d" + i, side) for i in ids], POST)
+        write_archives(make_sources(spark, "a"), archive_records(posts, media, None, errors), str(tmp_path / side), ["date_iso"])
+        read[side] = read_archives(spark, str(tmp_path / side), layout="lines")
+    rows = fl.explode_posts(read["old"])
+    lists = fl.list_rows(rows, "media", fl.MEDIA_FIELDS)
+    assert lists.count() == 3
+    given = fl.flatten_media(rows)
+    assert fl.explode_lists(lists).select(*given.columns).exceptAll(given).isEmpty() and fl.explode_lists(lists).count() == given.count() == 9
+    sides = merge_queries.Sides(read["old"], read["new"])
+    for found in (sides.children("media", fl.MEDIA_FIELDS), sides.errors()):
+        plan = plan_of(found)
+        assert plan.index("posexplode(items") < plan.index("Join")  # opened behind the joins, so above them in the plan
+    kept = sorted((r.post_id, r.side, r.pos) for r in sides.children("media", fl.MEDIA_FIELDS).collect())
+    assert kept == [(p, s, n) for p, s in (("1", "old"), ("2", "new"), ("3", "new")) for n in range(3)]
+    gone = mg.old_only_posts(mg.sample_fields(sides.old), mg.sample_fields(sides.new), sides.groups(False), sides.matches)
+    assert "media" not in gone.columns
+    assert {(r.id, r.media_count, r.links_count) for r in mg.old_only_sample(gone).collect()} == {("1", 3, 0)}
