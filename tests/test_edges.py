@@ -212,6 +212,37 @@ def test_files_are_walked_as_streams_to_the_same_rows(spark, tmp_path, monkeypat
     assert sorted(map(str, fl.load_stats(whole).collect())) == sorted(map(str, fl.load_stats(parts).collect()))
 
 
+def test_documents_of_a_bundle_are_those_of_separate_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archive_stream, "PART_POSTS", 3)
+    monkeypatch.setattr(archive_stream, "CHUNK", 16)
+    posts = [{"id": str(i), "content": 'a } { ] "quoted" \\ \n \u00e9' * (i % 4), "media": [{"type": "image", "url": f"u{i}"}], "n": 1.50} for i in range(20)]
+    documents = [
+        json.dumps({"metadata": {"slug": "plain", "name": "N"}, "scraped_at": "t", "posts": posts}),
+        json.dumps({"posts": posts[:7], "metadata": {"slug": "late"}, "part": 2}, indent=1, ensure_ascii=False),
+        '{"metadata": {"slug": "none"}, "posts": null}', '{"metadata": {"slug": "empty"}, "posts": [ ], "scraped_at": "}"}', "{}",
+        '{"metadata": {"slug": "text"}, "posts": "x"}', '{"metadata": {"slug": "twice"}, "posts": [{"id": "no"}], "posts": [{"id": "yes"}]}',
+        json.dumps({"metadata": {"slug": "last"}, "posts": posts[:3]}),
+    ]
+    said = lambda docs: sorted((tuple(r) for r in docs.groupBy("file_slug", "error").agg(
+        F.sum(F.coalesce(F.size("posts"), F.lit(0)))).collect()), key=str)
+    content = lambda docs: sorted(map(str, fl.explode_posts(docs).drop("path").collect()))
+    for n, text in enumerate(documents):
+        write(tmp_path / "files" / f"part-{n:05d}-00000000-0000-0000-0000-000000000000.json", text)
+    files = read_archives(spark, str(tmp_path / "files"))
+    for name, between in (("lines", "\n"), ("close", ""), ("spaced", " \n\t\n ")):
+        write(tmp_path / name / "some name.json", between.join(documents) + between)
+        write(tmp_path / name / "blank.json", " \n ")
+        bundle = read_archives(spark, str(tmp_path / name), layout="bundles")
+        assert said(bundle) == said(files) and content(bundle) == content(files)
+    # What stands behind a fault is one unreadable document; those before it hold, and other files too.
+    write(tmp_path / "cut" / "a.json", documents[0] + "\n" + documents[1][:-40] + "\n" + documents[7])
+    write(tmp_path / "cut" / "b.json", documents[7] + "x")
+    cut = read_archives(spark, str(tmp_path / "cut"), layout="bundles")
+    bad = "not a JSON object with a list of posts"
+    assert said(cut) == sorted([("plain", None, 20), ("last", None, 3), (None, bad, 0)], key=str)
+    assert cut.where("error IS NOT NULL").count() == 2
+
+
 def test_one_document_per_source_of_any_size(spark, tmp_path):
     posts = spark.range(3000).select(F.col("id").cast("string"), F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("source_slug"),
                                      F.lpad(F.pmod(F.col("id") * 7919, F.lit(3000)).cast("string"), 5, "0").alias("date_iso"), F.lit('a "q"\n} é').alias("content"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sedgemill.operators import api_index as api, flatten as fl, merge as mg
-from sedgemill.plans import html_queries, merge_queries
+from sedgemill.plans import archive_queries, html_queries, merge_queries
 from sedgemill.sinks import archives as sink, tables as store
 from sedgemill.sinks.archives import archive_records, write_archives
 from sedgemill.sources import read_archives
@@ -164,3 +164,21 @@ def test_groups_of_a_merge_hold_only_wanted_fields(spark, tmp_path):
     groups = sides.groups(fields=["content"])
     assert set(groups.schema["old"].dataType.names) == {"content", "part", "post_pos", "side"}
     assert [(r.id, r.content, r.side) for r in mg.merge_posts(groups).collect()] == [("1", "new", "new")]
+
+
+def test_streamed_archives_do_not_take_a_file_per_source(spark, tmp_path):
+    days = "date_add(DATE'1996-01-01', CAST(id % 900 AS INT))"
+    spark.sql(f"""SELECT id AS o_orderkey, id % 300 AS o_custkey, 'O' AS o_orderstatus, {days} AS o_orderdate, '1-URGENT' AS o_orderpriority
+                  FROM range(1, 2000)""").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("SELECT id AS l_orderkey, 1 AS l_partkey, 2 AS l_suppkey, 1 AS l_linenumber FROM range(1, 2000)").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("SELECT id AS c_custkey, 'n' AS c_name FROM range(300)").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.sql("SELECT id AS page_id, '<p>' AS html FROM range(1)").write.parquet(str(tmp_path / "pages.parquet"))
+    for name in ("events", "documents"):
+        spark.range(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    listed = archive_queries.read_archives_stream_query(spark, str(tmp_path))
+    found = {r.file_slug: (r.failed, r.listed_posts) for r in listed.collect()}
+    want = {f"page{s}": (False, sum(1 + (p % 8 == 0) for p in range(1, 2000) if p % 300 == s)) for s in range(300)}
+    want |= {f"page{900_000_000 + s}": (False, 0) for s in range(0, 300, 10)}
+    assert found == want | {"broken": (True, 0)}
+    # 330 sources: as many files as tasks, not as sources.
+    assert 2 <= len(listed.inputFiles()) <= 2 * 4 + 1
