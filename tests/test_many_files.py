@@ -95,3 +95,25 @@ def test_media_of_a_folder_per_source(spark, tmp_path):
         slug = f"folder=page{p % 150}" if p % 150 % 3 == 0 else f"page{p % 150}"
         want.append((slug, str(p), f"/archive/data/{slug}/media/{p}_{p}_1.jpg"))
     assert found == sorted(want)
+
+
+def test_archives_in_a_file_per_source(spark, tmp_path):
+    root = make_tables(spark, tmp_path, 150)
+    listed, tasks = tasks_of(spark, lambda: archive_queries.read_archives_query(spark, root))
+    assert tasks and max(tasks) <= many_files.ROUNDS ** 2 * 4
+    found = {r.file_slug: (r.failed, r.listed_posts) for r in listed.collect()}
+    posts = lambda s: sum(1 + (p % 8 == 0) for p in (s, s + 150))
+    want = {f"page{s}": (False, posts(s)) for s in range(150)} | {f"page{900_000_000 + s}": (False, 0) for s in range(0, 150, 10)}
+    assert found == want | {"broken": (True, 0)}
+
+
+def test_files_of_a_source_are_plain_files(spark, tmp_path):
+    posts = spark.range(30).selectExpr("CAST(id AS STRING) AS id", "concat('s', id % 10) AS source_slug", "'d' AS date_iso")
+    sources = spark.createDataFrame([(f"s{i}", "n", "u", "h", "t") for i in range(11)], SOURCE)
+    write_archives(sources, archive_records(posts), str(tmp_path / "f"), ["date_iso"], layout="files", posts_per_document=2)
+    names = [n for n in files_below(tmp_path / "f") if "SUCCESS" not in n]
+    assert len(names) == 21 and all(n.endswith(".json") for n in names)
+    assert json.loads((tmp_path / "f" / next(n for n in names if n.startswith("slug=s10/"))).read_text())["posts"] == []
+    docs = read_archives(spark, str(tmp_path / "f"))
+    assert sorted((r.file_slug, r.part) for r in docs.collect()) == sorted([(f"s{i}", n) for i in range(10) for n in (0, 1)] + [("s10", 0)])
+    assert fl.explode_posts(docs).count() == 30
