@@ -117,3 +117,25 @@ def test_files_of_a_source_are_plain_files(spark, tmp_path):
     docs = read_archives(spark, str(tmp_path / "f"))
     assert sorted((r.file_slug, r.part) for r in docs.collect()) == sorted([(f"s{i}", n) for i in range(10) for n in (0, 1)] + [("s10", 0)])
     assert fl.explode_posts(docs).count() == 30
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    for i in range(120):
+        (tmp_path / f"{i}").mkdir()
+        (tmp_path / f"{i}" / "d.json").write_text(json.dumps({"metadata": {"slug": f"s{i}"}, "posts": [{"id": str(i)}]}))
+    (tmp_path / "large.json").write_text(json.dumps({"metadata": {"slug": "large"}, "posts": [{"id": "x", "content": "c" * 3000}]}))
+    monkeypatch.setattr(many_files, "TASK_FILES", 40)
+    monkeypatch.setattr(many_files, "SMALL_FILE", 1000)
+    monkeypatch.setattr(many_files, "ROUNDS", 1)
+    before = spark.conf.get(many_files.LISTING)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    try:
+        docs, tasks = tasks_of(spark, lambda: read_archives(spark, str(tmp_path)))
+        files, more = tasks_of(spark, lambda: read_file_inventory(spark, str(tmp_path), "*.json", recursive=True))
+        assert max(tasks + more) <= 4 and spark.conf.get(many_files.LISTING) == before
+        # Four tasks for the small files, one for the large one.
+        assert docs.rdd.getNumPartitions() <= 5 and files.rdd.getNumPartitions() <= 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.file_slug for r in docs.collect()) == ["d"] * 120 + ["large"]
+    assert files.count() == 121 and files.where("size > 0 AND mtime IS NOT NULL").select("path").distinct().count() == 121
