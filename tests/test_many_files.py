@@ -139,3 +139,28 @@ def test_small_files_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(r.file_slug for r in docs.collect()) == ["d"] * 120 + ["large"]
     assert files.count() == 121 and files.where("size > 0 AND mtime IS NOT NULL").select("path").distinct().count() == 121
+
+
+def test_files_held_whole_are_walked_where_they_are_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archive_stream, "PART_POSTS", 3)
+    posts = [{"id": str(i), "content": 'a } { ] "quoted" \\ \n é' * (i % 4)} for i in range(20)]
+    texts = {
+        "plain": json.dumps({"metadata": {"slug": "p"}, "posts": posts}), "none": '{"metadata": {"slug": "n"}, "posts": null}', "bare": "{}", "blank": "",
+        "space": " \n", "empty": '{"posts": [ ], "scraped_at": "}"}', "cut": json.dumps({"posts": posts})[:-40], "behind": '{"posts": []} x',
+        "text": '{"posts": "x"}', "twice": '{"posts": [{"id": "no"}], "posts": [{"id": "yes"}], "part": 3}', "then": '{"posts": [{"id": "no"}], "posts": []}',
+        "long": json.dumps({"scraped_at": "t", "posts": posts * 5}),
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    said = lambda docs: sorted(map(str, docs.withColumn("metadata", F.to_json("metadata")).withColumn(
+        "posts", F.transform("posts", lambda p: F.to_json(p))).drop("scraped_at", "consolidated_at", "sources").collect()))
+    read = lambda: said(read_archives(spark, str(tmp_path), layout="stream"))
+    monkeypatch.setattr(archive_stream, "AT_ONCE", 0)
+    fragments = read()
+    monkeypatch.setattr(archive_stream, "AT_ONCE", 1500)  # "long" is larger
+    assert read() == fragments
+    assert len(fragments) == 7 + 34 + 9  # a blank file has no document
+    # Files of which none is large do not leave the tasks that read them.
+    monkeypatch.setattr(archive_stream, "AT_ONCE", 1 << 20)
+    monkeypatch.setattr(archive_stream, "lookup_join", lambda *a: 1 / 0)
+    assert read() == fragments
